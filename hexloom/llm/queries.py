@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_and_decode
 from .common import table
+from .sharding import shard_documents
 from .url_filters import ALLOW, BLOCK, match_urls
 
 QUERIES: dict = {}
@@ -41,3 +43,28 @@ hits as (select p.id, r.host || r.path as rule, r.verdict,
 select p.page_id, p.host, p.path, h.rule, coalesce(h.verdict, 'allow') as verdict
 from parts p left join hits h on h.id = p.id and h.k = 1
 """
+
+
+def vocabulary_path() -> str:
+    """The public byte-level BPE vocabulary of the token query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_and_decode(docs, vocabulary_path()).drop("text")
+
+
+QUERIES["op7_bpe"] = op7_bpe
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes, with a gapless slot in the shard."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard_documents(docs, shards=24)
+
+
+QUERIES["op9_sharding"] = op9_sharding

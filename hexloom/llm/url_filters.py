@@ -74,13 +74,12 @@ def match_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     starts = rules.select(key.alias("key"), F.lit(START).alias("kind"), F.lit(1).alias("step"), rule.alias("rule"))
     ends = rules.select(F.concat(key, F.unhex(F.lit("FF"))).alias("key"), F.lit(END).alias("kind"), F.lit(-1).alias("step"))
 
-    # Numbers of labels that rules have: a host has 127 at most, so this is one short row.
-    depths = rules.agg(F.sort_array(F.collect_set(F.size(labels))).alias("depths"))
+    # Numbers of labels that rules have: a host has 127 at most, so this is a short list.
+    depths = sorted(r[0] for r in rules.select(F.size(labels)).distinct().collect())
     points = (
         pages.select(row.alias("row"), host.alias("host"), path.alias("path"))
         .withColumn("id", F.monotonically_increasing_id())
-        .crossJoin(F.broadcast(depths))
-        .withColumn("depth", F.explode_outer(F.filter("depths", lambda d: d <= F.size(labels))))
+        .withColumn("depth", F.explode_outer(F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda d: d <= F.size(labels))))
         .select(
             F.coalesce(_key(labels, F.coalesce("depth", F.lit(0)), F.col("path")), F.lit(b"")).alias("key"),
             F.lit(POINT).alias("kind"), F.lit(0).alias("step"), "id", "row", "host", "path",
