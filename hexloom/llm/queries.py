@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_and_decode
 from .common import table
+from .html_extract import extract_pages
 from .sharding import shard_documents
 from .url_filters import ALLOW, BLOCK, match_urls
 
@@ -68,3 +69,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_sharding"] = op9_sharding
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES["op3_html_extraction"] = op3_html_extraction
