@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode_and_decode
-from .common import table
+from .common import fresh_dir, table
 from .html_extract import extract_pages
 from .sharding import shard_documents
 from .url_filters import ALLOW, BLOCK, match_urls
+from .warc import ROW_ID, read_warc, write_warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -77,3 +79,30 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_html_extraction"] = op3_html_extraction
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back: responses with their payloads, revisits by their headers alone."""
+    path = fresh_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    number = lambda c: F.substring_index(c, ROW_ID, -1).cast("long")
+    columns = "record_id string, record_type string, refers_to string, payload_digest string, payload_length bigint"
+    full = read_warc(spark, path, "record_id string, record_type string, payload binary").where("record_type = 'response'")
+    again = read_warc(spark, path, columns).where("record_type = 'revisit'")
+    return full.select(
+        number("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"),
+    ).unionByName(
+        again.select(number("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    )
+
+
+QUERIES["op8_warc"] = op8_warc
+ORACLES["op8_warc"] = """
+with p as (select page_id, coalesce(html, '') as body, strlen(coalesce(html, '')) as n from pages),
+k as (select body, max(page_id) as keeper, count(*) as rows from p where n >= 1000 group by body)
+select p.page_id, p.n as payload_bytes, sha1(p.body) as payload_digest,
+  case when k.rows > 1 and p.page_id <> k.keeper then 'revisit' else 'response' end as record_type,
+  case when k.rows > 1 and p.page_id <> k.keeper then k.keeper end as refers_to
+from p left join k on k.body = p.body
+"""
