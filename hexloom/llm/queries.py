@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_and_decode
 from .common import fresh_dir, table
 from .html_extract import extract_pages
+from .lm import held_out, score, train
 from .sharding import shard_documents
 from .url_filters import ALLOW, BLOCK, match_urls
 from .warc import ROW_ID, read_warc, write_warc
@@ -106,3 +107,12 @@ select p.page_id, p.n as payload_bytes, sha1(p.body) as payload_digest,
   case when k.rows > 1 and p.page_id <> k.keeper then k.keeper end as refers_to
 from p left join k on k.body = p.body
 """
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a bigram model of the documents whose crc32(doc_id) mod 10 is not 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"), 10, 0))
+    return score(docs, train(docs.where(~F.col("held_out")))).drop("text")
+
+
+QUERIES["op2_lm_scoring"] = op2_lm_scoring
