@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_and_decode
 from .common import fresh_dir, table
 from .html_extract import extract_pages
+from . import language_id
 from .lm import held_out, score, train
 from .sharding import shard_documents
 from .url_filters import ALLOW, BLOCK, match_urls
@@ -116,3 +117,13 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_lm_scoring"] = op2_lm_scoring
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those whose crc32(doc_id) mod 3 is not 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
+    field = language_id.train(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), field).drop("text")
+
+
+QUERIES["op10_language_id"] = op10_language_id
