@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .bpe import encode_and_decode
 from .common import fresh_dir, table
 from .html_extract import extract_pages
@@ -127,3 +128,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_language_id"] = op10_language_id
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other vectors of each vector whose id is divisible by 50."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES["op4_nearest"] = op4_nearest
