@@ -11,6 +11,7 @@ from .common import fresh_dir, table
 from .html_extract import extract_pages
 from . import language_id
 from .lm import held_out, score, train
+from .near_duplicates import near_duplicates
 from .sharding import shard_documents
 from .url_filters import ALLOW, BLOCK, match_urls
 from .warc import ROW_ID, read_warc, write_warc
@@ -136,3 +137,11 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_nearest"] = op4_nearest
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates and the number of links of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_jaccard_join"] = op6_jaccard_join
