@@ -1,8 +1,67 @@
-"""Placeholder until the four stages exist."""
+"""The corpus pipeline: language, near duplicates, benchmark passages, tokens.
 
-STAGES: list = []
+``run(spark, sf_dir)`` applies ``STAGES`` to the documents in order. Each stage takes
+``(spark, docs, sf_dir)`` and returns a table, which is written to the shared folder and
+read back as the next one's documents. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hexloom.llm import language_id
+from hexloom.llm.bpe import encode_and_decode
+from hexloom.llm.common import table, written
+from hexloom.llm.decontaminate import contaminated
+from hexloom.llm.near_duplicates import near_duplicates
+from hexloom.llm.queries import vocabulary_path
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language; texts that are null or hold no letter go.
+
+    The field is learned from the text and non-null lang of the documents it is given.
+    """
+    found = language_id.predict(docs, language_id.train(docs))
+    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest doc_id; of rows with that doc_id, one.
+
+    A document without a doc_id stays if it is of no other document's class.
+    """
+    classes = near_duplicates(docs)
+    stays = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
+    kept = docs.join(stays.where("doc_id is not null"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark, as it is or re-parameterised."""
+    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of each document."""
+    return encode_and_decode(docs.select("doc_id", "text"), vocabulary_path()).drop("text")
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", no_benchmark),
+    ("BPE encoding and decoding", tokens),
+]
+#: SQL expresses neither a learned field nor min-hashes; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each on all that the one before kept."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{k}")
+    return docs

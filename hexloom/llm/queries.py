@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .ann import nearest
 from .bpe import encode_and_decode
 from .common import fresh_dir, table
+from .decontaminate import contaminated
 from .html_extract import extract_pages
 from . import language_id
 from .lm import held_out, score, train
@@ -145,3 +146,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_jaccard_join"] = op6_jaccard_join
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of a document and a benchmark item that it holds."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op5_decontamination"] = op5_decontamination
