@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of a record batch that Spark hands to Python; keeps very long texts from filling a worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -5,9 +5,9 @@ texts; the counts travel as packed arrays, one for each shard of the 64-bit
 bigram hash, so that no word is a row and no key, however frequent, is more
 than one entry for each task. A reduce task merges the arrays of one shard, writes
 them sorted, and passes on, for each word, how many bigrams it starts (by the
-counts 1, 2, 3 and more that fix its discounts) and how many it ends. A second
-aggregation adds these up with the words' own counts into the word table. The
-number of shards grows with the corpus.
+counts 1, 2, 3 and more that fix its discounts) and how many it ends, again as
+packed arrays for each shard of the word hash. A second set of tasks adds these up
+into the word table. The number of shards grows with the corpus.
 
 Storage. A shard of bigrams is a file of sorted 64-bit hashes followed by their
 counts; the word table is the same with six numbers for each word. The files are in
@@ -51,10 +51,11 @@ from .warc import filesystem
 #: Bigram tokens that one shard is meant for.
 SHARD_TOKENS = 4_000_000
 #: Tokens after which a map task passes its counts on.
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 2_000_000
 #: Hashes of what is no word: the begin and the end of a text. No word holds a blank.
 BEGIN, END = (xxhash.xxh64_intdigest(s) for s in (b" begin", b" end"))
 _WORD_FIELDS = ("count", "ends", "once", "twice", "more", "all")
+_WORD_KINDS = (np.int64, np.uint32, np.uint32, np.uint32, np.uint32, np.int64)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -96,6 +97,15 @@ def _merge(keys: list[np.ndarray], columns: list[list[np.ndarray]]) -> tuple[np.
     return key[first], [np.add.reduceat(np.concatenate(c)[order], first) if len(key) else np.zeros(0, np.int64) for c in columns]
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Counts in as few bytes each as they need."""
+    return x.astype(np.uint32 if not len(x) or x.max() < 1 << 32 else np.uint64).tobytes()
+
+
+def _unpacked(x: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(x, np.uint32 if len(x) == 4 * n else np.uint64).astype(np.int64)
+
+
 @dataclass
 class Model:
     """Where the arrays are, and the few numbers that hold for the whole corpus."""
@@ -199,7 +209,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         n = np.add.reduceat(n[order], first)
         key, left, right = key[first], left[order][first], right[order][first]
-        _write(path, f"bigrams-{shard:06d}", [key, np.minimum(n, 2**32 - 1).astype(np.uint32)])
+        _write(path, f"bigrams-{shard:06d}", [key, np.minimum(n, 255).astype(np.uint8), n[n >= 255]])
         # For each word: as a right word its count and the bigrams it ends, as a left word the bigrams it starts and their tokens.
         ones = np.ones(len(n), np.int64)
         zero = np.zeros(len(n), np.int64)
@@ -208,30 +218,29 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             [[n, zero], [ones, zero], [zero, (n == 1).astype(np.int64)], [zero, (n == 2).astype(np.int64)], [zero, (n >= 3).astype(np.int64)], [zero, n]],
         )
         kinds = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [len(n)]
-        out = pd.DataFrame({"word": word.view(np.int64)} | dict(zip(_WORD_FIELDS, sums)))
-        for k, v in enumerate(kinds):
-            out[f"k{k}"] = np.r_[v, np.zeros(len(out) - 1, np.int64)]
-        return out
+        cuts = np.searchsorted(_shard(word, shards), np.arange(shards + 1))
+        rows = []
+        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                rows.append((s, word[a:b].tobytes(), *[_packed(x[a:b]) for x in sums], kinds if not rows else [0] * 5))
+        return pd.DataFrame(rows, columns=["shard", "words", *_WORD_FIELDS, "kinds"])
 
-    ddl = "word bigint, " + ", ".join(f"{c} bigint" for c in (*_WORD_FIELDS, "k0", "k1", "k2", "k3", "k4"))
     packed = docs.select(F.col(text).alias("text")).mapInPandas(count, "shard int, words binary, runs binary, right binary, n binary, large binary")
-    parts = packed.groupBy("shard").applyInPandas(reduce, ddl)
-    words = parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in (*_WORD_FIELDS, "k0", "k1", "k2", "k3", "k4")])
-
-    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = [b for b in batches if len(b)]
-        if not got:
-            return
-        pdf = pd.concat(got)
-        part = TaskContext.get().partitionId()
-        key = pdf["word"].to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        _write(path, f"words-{part:06d}", [key[order], *[pdf[c].to_numpy()[order].astype(np.int64) for c in _WORD_FIELDS]])
-        ends, kinds = pdf["ends"].to_numpy(), pdf[["k0", "k1", "k2", "k3", "k4"]].to_numpy().sum(axis=0)
-        yield pd.DataFrame([[int(pdf["count"].sum()), int((pdf["count"] > 0).sum()), *[int((ends == k).sum()) for k in (1, 2, 3, 4)], int((ends >= 3).sum()), *map(int, kinds)]], columns=totals)
+    fields = ", ".join(f"{c} binary" for c in _WORD_FIELDS)
+    parts = packed.groupBy("shard").applyInPandas(reduce, f"shard int, words binary, {fields}, kinds array<bigint>")
+
+    def store(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(w, np.uint64) for w in pdf["words"]]
+        columns = [[_unpacked(x, len(k)) for x, k in zip(pdf[c], keys)] for c in _WORD_FIELDS]
+        key, sums = _merge(keys, columns)
+        _write(path, f"words-{int(pdf['shard'].iloc[0]):06d}", [key, *[x.astype(kind) for x, kind in zip(sums, _WORD_KINDS)]])
+        n, ends = sums[:2]
+        kinds = np.sum([list(k) for k in pdf["kinds"]], axis=0)
+        return pd.DataFrame([[int(n.sum()), int((n > 0).sum()), *[int((ends == k).sum()) for k in (1, 2, 3, 4)], int((ends >= 3).sum()), *map(int, kinds)]], columns=totals)
 
     totals = ["tokens", "types", *[f"e{k}" for k in range(5)], *[f"k{k}" for k in range(5)]]
-    t = words.mapInPandas(store, ", ".join(f"{c} bigint" for c in totals)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals]).first()
+    words = parts.groupBy("shard").applyInPandas(store, ", ".join(f"{c} bigint" for c in totals))
+    t = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals]).first()
     high, low = discounts(*(t[f"k{k}"] for k in range(4))), discounts(*(t[f"e{k}"] for k in range(4)))
     left = low[0] * t["e0"] + low[1] * t["e1"] + low[2] * t["e4"]
     return Model(path, shards, t["tokens"], t["types"], t["k4"], high, low, left / t["k4"] if t["k4"] else 1.0)
@@ -252,6 +261,8 @@ class Arrays:
         for kind in (np.uint64, *kinds):
             self.columns.append(np.memmap(file, kind, "r", at, (n,)) if n else np.zeros(0, kind))
             at += n * np.dtype(kind).itemsize
+        rest = (os.path.getsize(file) - at) // 8
+        self.large = np.memmap(file, np.int64, "r", at, (rest,)) if rest else np.zeros(0, np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For sorted keys: which are there, and the places of those."""
@@ -279,18 +290,22 @@ class Scorer:
                     while block := source.read(1 << 20):
                         out.write(block)
             base = local
-        self.words = [Arrays(os.path.join(base, n), [np.int64] * len(_WORD_FIELDS)) for n in sorted(names) if n.startswith("words-")]
-        self.bigrams = {int(n[8:]): Arrays(os.path.join(base, n), [np.uint32]) for n in names if n.startswith("bigrams-")}
+        self.words = {int(n[6:]): Arrays(os.path.join(base, n), _WORD_KINDS) for n in names if n.startswith("words-")}
+        self.bigrams = {int(n[8:]): Arrays(os.path.join(base, n), [np.uint8]) for n in names if n.startswith("bigrams-")}
+        # Counts from 255 on are at the end of the file, in order.
+        self.full = {s: np.flatnonzero(a.columns[1] == 255) for s, a in self.bigrams.items()}
 
     def word_numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The six numbers of each word, zero for words never seen."""
         order = np.argsort(hashes)
         keys = hashes[order]
         out = np.zeros((len(hashes), len(_WORD_FIELDS)), np.int64)
-        for a in self.words:
-            hit, at = a.find(keys)
-            for k in range(len(_WORD_FIELDS)):
-                out[order[hit], k] = a.columns[k + 1][at]
+        cuts = np.searchsorted(_shard(keys, self.model.shards), np.arange(self.model.shards + 1))
+        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b and s in self.words:
+                hit, at = self.words[s].find(keys[a:b])
+                for k in range(len(_WORD_FIELDS)):
+                    out[order[a:b][hit], k] = self.words[s].columns[k + 1][at]
         return out
 
     def bigram_counts(self, keys: np.ndarray) -> np.ndarray:
@@ -300,7 +315,9 @@ class Scorer:
         for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if a < b and s in self.bigrams:
                 hit, at = self.bigrams[s].find(keys[a:b])
-                out[a:b][hit] = self.bigrams[s].columns[1][at]
+                n = self.bigrams[s].columns[1][at].astype(np.int64)
+                n[n == 255] = self.bigrams[s].large[np.searchsorted(self.full[s], at[n == 255])]
+                out[a:b][hit] = n
         return out
 
     def score(self, texts) -> dict[str, np.ndarray]:

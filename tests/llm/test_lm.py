@@ -55,7 +55,7 @@ def corpus(n=120):
 
 def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_TOKENS", 40)
-    texts = corpus()
+    texts = [*corpus(), "hot pair " * 700]
     test = [*texts[:10], "unseen words only here", "w1 unseen w2", None, "", "The\x0bTHE x É", "w1 " * 30_000]
     brute = Brute(texts)
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
