@@ -13,3 +13,8 @@ def register(name: str, run, sql: str | None = None) -> None:
     QUERIES[name] = run
     if sql is not None:
         ORACLES[name] = sql
+
+
+def load() -> None:
+    """Register the queries of all modules."""
+    from . import points, terrain  # noqa: F401
