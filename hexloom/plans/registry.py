@@ -17,4 +17,4 @@ def register(name: str, run, sql: str | None = None) -> None:
 
 def load() -> None:
     """Register the queries of all modules."""
-    from . import points, terrain  # noqa: F401
+    from . import control, points, rivers, terrain  # noqa: F401

@@ -49,9 +49,9 @@ hexed = lambda s, d: r.hex_of_pixels(laid(s, d), GRID)
 register("a06_hex_of_pixels", lambda s, d: hexed(s, d).select("row", "col", "q", "r"), HEXED + " select row, col, q, r from hexed")
 register(
     "a02_zonal_elevation",
-    lambda s, d: r.zonal_elevation(hexed(s, d).withColumns({"slope_deg": F.col("elev") / 40, "ruggedness": F.col("elev") / 90}), ["q", "r"], F.col("cover") != 0).select("q", "r", *[F.round(c, 7).alias(c) for c in ("elevation_mean_m", "elevation_min_m", "elevation_max_m", "elevation_range_m", "slope_mean_deg", "slope_p90_deg", "terrain_roughness", "dem_nodata_fraction")]),
-    HEXED + """ select q, r, round(avg(elev) filter (cover <> 0), 7) as elevation_mean_m, round(min(elev) filter (cover <> 0), 7) as elevation_min_m, round(max(elev) filter (cover <> 0), 7) as elevation_max_m, round(max(elev) filter (cover <> 0) - min(elev) filter (cover <> 0), 7) as elevation_range_m,
-round(avg(elev / 40) filter (cover <> 0), 7) as slope_mean_deg, round(quantile_cont(elev / 40, 0.9) filter (cover <> 0), 7) as slope_p90_deg, round(avg(elev / 90) filter (cover <> 0), 7) as terrain_roughness, round(1 - count(*) filter (cover <> 0) / count(*), 7) as dem_nodata_fraction from hexed group by q, r""",
+    lambda s, d: r.zonal_elevation(hexed(s, d).withColumns({"slope_deg": F.col("elev") / 37, "ruggedness": F.col("elev") / 90}), ["q", "r"], F.col("cover") != 0).select("q", "r", *[F.round(c, 9).alias(c) for c in ("elevation_mean_m", "elevation_min_m", "elevation_max_m", "elevation_range_m", "slope_mean_deg", "slope_p90_deg", "terrain_roughness", "dem_nodata_fraction")]),
+    HEXED + """ select q, r, round(avg(elev) filter (cover <> 0), 9) as elevation_mean_m, round(min(elev) filter (cover <> 0), 9) as elevation_min_m, round(max(elev) filter (cover <> 0), 9) as elevation_max_m, round(max(elev) filter (cover <> 0) - min(elev) filter (cover <> 0), 9) as elevation_range_m,
+round(avg(elev / 37) filter (cover <> 0), 9) as slope_mean_deg, round(quantile_cont(elev / 37, 0.9) filter (cover <> 0), 9) as slope_p90_deg, round(avg(elev / 90) filter (cover <> 0), 9) as terrain_roughness, round(1 - count(*) filter (cover <> 0) / count(*), 9) as dem_nodata_fraction from hexed group by q, r""",
 )
 CODES = dict(zip(range(1, 12), r.COVER.values()))
 register(
@@ -67,13 +67,13 @@ register(
 
 
 def a05(s, d):
-    z = hexed(s, d).withColumns({"slope_deg": F.col("elev") / 40, "ruggedness": F.col("elev") / 90})
+    z = hexed(s, d).withColumns({"slope_deg": F.col("elev") / 37, "ruggedness": F.col("elev") / 90})
     terrain = r.region_terrain(r.zonal_elevation(z, ["q", "r"], F.col("cover") > 6), r.zonal_cover(z, ["q", "r"], F.col("cover"), CODES), r.zonal_mode(z, ["q", "r"], "climate"), None, ["q", "r"])
-    return terrain.select("q", "r", F.round("elevation_mean_m", 7).alias("elevation_mean_m"), F.round("lc_tree_fraction", 6).alias("lc_tree_fraction"), "climate")
+    return terrain.select("q", "r", F.round("elevation_mean_m", 9).alias("elevation_mean_m"), F.round("lc_tree_fraction", 6).alias("lc_tree_fraction"), "climate")
 
 
 register("a05_region_terrain", a05, HEXED + """, c as (select q, r, climate, count(*) as n from hexed group by all), k as (select *, row_number() over (partition by q, r order by case when climate > 0 then n else 0 end desc, climate) as rn from c),
-z as (select q, r, round(coalesce(avg(elev) filter (cover > 6), 0), 7) as elevation_mean_m, round(coalesce(count(*) filter (cover = 1) / nullif(count(*) filter (cover between 1 and 11), 0), 0), 6) as lc_tree_fraction from hexed group by q, r) select z.*, case when k.climate > 0 then k.climate else 0 end as climate from z join k on k.q = z.q and k.r = z.r and k.rn = 1""")
+z as (select q, r, round(coalesce(avg(elev) filter (cover > 6), 0), 9) as elevation_mean_m, round(coalesce(count(*) filter (cover = 1) / nullif(count(*) filter (cover between 1 and 11), 0), 0), 6) as lc_tree_fraction from hexed group by q, r) select z.*, case when k.climate > 0 then k.climate else 0 end as climate from z join k on k.q = z.q and k.r = z.r and k.rn = 1""")
 
 # Layers of the stand-in hexes.
 LETTER = "case when climate = 0 then '?' else substr(list_extract([" + ", ".join(f"'{c}'" for c in r.CLIMATES) + "], climate), 1, 1) end"
