@@ -1,11 +1,14 @@
-"""Distances and areas on the WGS84 ellipsoid, as Column expressions."""
+"""Distances and areas on the WGS84 ellipsoid."""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .projection import to_wgs84
 
@@ -21,49 +24,36 @@ def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: fl
     return F.asin(F.sqrt(F.least(F.lit(1.0), h))) * (2 * radius)
 
 
-def geodesic(lon1: Column, lat1: Column, lon2: Column, lat2: Column, rounds: int = 8) -> Column:
-    """Distance in metres on the ellipsoid by Vincenty's inverse formula with a fixed number of rounds.
+@F.pandas_udf(DoubleType())
+def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
+    """Distance in metres on the ellipsoid by Vincenty's inverse formula, for whole batches at once.
 
-    The rounds run as one fold over an array, so the expression stays small. Nearly antipodal
-    places, for which the rounds don't settle, get the distance on a sphere.
+    Nearly antipodal places, for which the rounds don't settle, get the distance on a sphere.
     """
-    u = lambda lat: F.atan(F.tan(F.radians(lat)) * (1 - FLATTENING))
-    u1, u2 = u(lat1), u(lat2)
-    given = F.struct(
-        F.radians(lon2 - lon1).alias("l"), (F.sin(u1) * F.sin(u2)).alias("ss"), (F.cos(u1) * F.cos(u2)).alias("cc"),
-        (F.cos(u1) * F.sin(u2)).alias("cs"), (F.sin(u1) * F.cos(u2)).alias("sc"), F.cos(u2).alias("c2"),
-    )
-
-    def angles(g: Column, lam: Column) -> tuple[Column, Column, Column, Column, Column]:
-        sin_sigma = F.sqrt(F.pow(g["c2"] * F.sin(lam), 2) + F.pow(g["cs"] - g["sc"] * F.cos(lam), 2))
-        cos_sigma = g["ss"] + g["cc"] * F.cos(lam)
-        sin_alpha = F.when(sin_sigma == 0, 0.0).otherwise(g["cc"] * F.sin(lam) / sin_sigma)
-        cos2_alpha = 1 - sin_alpha * sin_alpha
-        cos_2m = F.when(cos2_alpha == 0, 0.0).otherwise(cos_sigma - 2 * g["ss"] / cos2_alpha)
-        return sin_sigma, cos_sigma, sin_alpha, cos2_alpha, cos_2m
-
-    def again(state: Column, _: Column) -> Column:
-        g, lam = state["g"], state["lam"]
-        sin_sigma, cos_sigma, sin_alpha, cos2_alpha, cos_2m = angles(g, lam)
-        c = FLATTENING / 16 * cos2_alpha * (4 + FLATTENING * (4 - 3 * cos2_alpha))
-        sigma = F.atan2(sin_sigma, cos_sigma)
-        turn = sigma + c * sin_sigma * (cos_2m + c * cos_sigma * (2 * cos_2m * cos_2m - 1))
-        return F.struct(g.alias("g"), (g["l"] + (1 - c) * FLATTENING * sin_alpha * turn).alias("lam"), lam.alias("before"))
-
-    def finish(state: Column) -> Column:
-        g, lam = state["g"], state["lam"]
-        sin_sigma, cos_sigma, _, cos2_alpha, cos_2m = angles(g, lam)
-        uu = cos2_alpha * ((A * A - B * B) / (B * B))
-        big_a = 1 + uu / 16384 * (4096 + uu * (-768 + uu * (320 - 175 * uu)))
-        big_b = uu / 1024 * (256 + uu * (-128 + uu * (74 - 47 * uu)))
-        q = 2 * cos_2m * cos_2m - 1
-        delta = big_b * sin_sigma * (cos_2m + big_b / 4 * (cos_sigma * q - big_b / 6 * cos_2m * (4 * sin_sigma * sin_sigma - 3) * (4 * cos_2m * cos_2m - 3)))
-        far = F.abs(lam - state["before"]) > 1e-9
-        return F.when(~far, B * big_a * (F.atan2(sin_sigma, cos_sigma) - delta))
-
-    start = F.struct(given.alias("g"), given["l"].alias("lam"), given["l"].alias("before"))
-    exact = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, again, finish)
-    return F.coalesce(exact, haversine(lon1, lat1, lon2, lat2))
+    lon1, lat1, lon2, lat2 = (np.radians(v.to_numpy(float)) for v in (lon1, lat1, lon2, lat2))
+    u1, u2 = np.arctan((1 - FLATTENING) * np.tan(lat1)), np.arctan((1 - FLATTENING) * np.tan(lat2))
+    s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
+    diff = lon2 - lon1
+    lam = diff
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for _ in range(12):
+            sl, cl = np.sin(lam), np.cos(lam)
+            sin_sigma = np.hypot(c2 * sl, c1 * s2 - s1 * c2 * cl)
+            cos_sigma = s1 * s2 + c1 * c2 * cl
+            sigma = np.arctan2(sin_sigma, cos_sigma)
+            sin_alpha = np.where(sin_sigma == 0, 0.0, c1 * c2 * sl / sin_sigma)
+            cos2 = 1 - sin_alpha**2
+            mid = np.where(cos2 == 0, 0.0, cos_sigma - 2 * s1 * s2 / cos2)
+            c = FLATTENING / 16 * cos2 * (4 + FLATTENING * (4 - 3 * cos2))
+            before, lam = lam, diff + (1 - c) * FLATTENING * sin_alpha * (sigma + c * sin_sigma * (mid + c * cos_sigma * (2 * mid**2 - 1)))
+    w = cos2 * (A * A - B * B) / (B * B)
+    big_a = 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w)))
+    big_b = w / 1024 * (256 + w * (-128 + w * (74 - 47 * w)))
+    q = 2 * mid**2 - 1
+    delta = big_b * sin_sigma * (mid + big_b / 4 * (cos_sigma * q - big_b / 6 * mid * (4 * sin_sigma**2 - 3) * (4 * mid**2 - 3)))
+    h = np.sin((lat2 - lat1) / 2) ** 2 + np.cos(lat1) * np.cos(lat2) * np.sin(diff / 2) ** 2
+    sphere = 2 * 6371008.8 * np.arcsin(np.sqrt(np.minimum(h, 1)))
+    return pd.Series(np.where(np.abs(lam - before) > 1e-9, sphere, B * big_a * (sigma - delta)))
 
 
 def geodesic_of_projected(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
