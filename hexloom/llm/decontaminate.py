@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, written
+from .wordhash import Chunk, chunks, hash_of, range_hashes, shingle_hashes
 
 #: Words of a window, and the least number of words in it that are no placeholders.
 WINDOW, LEAST_WORDS = 8, 4
@@ -35,8 +36,6 @@ WINDOW, LEAST_WORDS = 8, 4
 COVERED, COVERED_WORDS, CONSISTENT = 0.5, 13, 0.8
 #: Bits of the array of window hashes.
 BITS = 1 << 24
-#: Words whose reading a worker remembers.
-REMEMBERED = 1_000_000
 
 #: Units and currencies.
 UNITS = set(
@@ -48,80 +47,101 @@ UNITS = set(
 NUMBER_WORDS = set("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half dozen".split())
 
 _NUMBER = re.compile(r"[$€£¥]?[+-]?(?:\d+(?:[.,:/]\d+)*|\d+)(?:st|nd|rd|th)?(%|°[cf]?|[a-z]{1,3}[23]?)?$")
-_ENDS = "\"'“”‘’«»()[]{}<>.,;:!?¿¡…-–—*#_~`|"
-_STOPS = (".", "!", "?", "…", ":", "\"", "”", ".)", "*", "#", "|", ">")
+#: Punctuation at the ends of words, and the ends of words after which a sentence begins.
+_ENDS, _STOPS = "\"'()[]{}<>.,;:!?-*#_~`|", ".!?:\"*#|>"
 
 LITERAL, NUM, UNIT, NAME = 0, 1, 2, 3
 _SLOT = {k: np.uint64(xxhash.xxh64_intdigest(s)) for k, s in ((NUM, " NUM"), (UNIT, " UNIT"), (NAME, " NAME"))}
 
 
-def read_word(word: str) -> tuple[int, int, bool, bool]:
-    """Kind of a word in itself, hash of the word without its ends, whether it begins with a capital, and whether a sentence ends with it."""
-    core = word.strip(_ENDS)
-    low = core.lower()
-    if not low:
-        low = word
-    kind = LITERAL
-    if low in UNITS:
-        kind = UNIT
-    elif _NUMBER.match(low) or low in NUMBER_WORDS:
-        kind = NUM
-    return kind, xxhash.xxh64_intdigest(low), bool(core) and core[0].isupper(), word.endswith(_STOPS)
-
-
-class Reader:
-    """Templates of texts, with the words that were read before."""
-
-    def __init__(self):
-        self.known: dict[str, int] = {}
-        self.table = np.zeros((1024, 4), np.uint64)
-
-    def template(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template hashes of a text's words, kinds, and hashes of the words themselves.
-
-        A name is a word with a capital that does not begin a sentence or the text; a unit follows a number.
-        """
-        words = text.split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.uint64)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        try:
-            at = [known[w] for w in words]
-        except KeyError:
-            for w in dict.fromkeys(words):
-                if w not in known:
-                    if len(known) == len(self.table):
-                        self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                    self.table[len(known)] = read_word(w)
-                    known[w] = len(known)
-            at = [known[w] for w in words]
-        kind, value, capital, stop = self.table[np.array(at)].T
-        kind = kind.astype(np.uint8)
-        inside = np.r_[False, stop[:-1] == 0]
-        kind[(kind == UNIT) & ~np.r_[False, kind[:-1] == NUM]] = LITERAL
-        kind[(kind == LITERAL) & (capital == 1) & inside] = NAME
-        template = value.copy()
-        for k, h in _SLOT.items():
-            template[kind == k] = h
-        return template, kind, value
-
-
-def windows(template: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of a template's windows. A text shorter than a window is one window; windows of almost only placeholders are left out."""
-    size = min(WINDOW, len(template))
-    if size < LEAST_WORDS:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    n = len(template) - size + 1
-    h = np.full(n, size, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            h = (h ^ template[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(32)
-    words = np.cumsum(np.r_[0, kind == LITERAL])
-    at = np.flatnonzero(words[size:] - words[:-size] >= LEAST_WORDS)
-    return at, h[at]
+def _set(words: set[str]) -> np.ndarray:
+    return np.sort(np.array([hash_of(w) for w in words], np.uint64))
+
+
+_UNITS, _NUMBER_WORDS = _set(UNITS), _set(NUMBER_WORDS)
+_STRIPPED, _STOPPED, _DIGIT = (np.zeros(256, bool) for _ in range(3))
+_STRIPPED[list(_ENDS.encode())] = True
+_STOPPED[list(_STOPS.encode())] = True
+_DIGIT[48:58] = True
+
+
+def _in(sorted_set: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(sorted_set, values), len(sorted_set) - 1)
+    return sorted_set[at] == values
+
+
+def _capitals(chunk: Chunk, at: np.ndarray) -> np.ndarray:
+    """Whether the character at each word's first place that is no punctuation is a capital."""
+    before = "\n".join([*chunk.texts, ""]).encode()
+    if len(before) == len(chunk.data):  # lower case has the same bytes but for the letters
+        given = np.frombuffer(before, np.uint8)
+        last = len(given) - 1
+        two = chunk.data[at] >= 0xC0
+        nxt = np.minimum(at + 1, last)
+        return (given[at] != chunk.data[at]) | (two & (given[nxt] != chunk.data[nxt]))
+    return np.array([w.lstrip(_ENDS)[:1].isupper() for t in chunk.texts for w in t.split()], bool)
+
+
+def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template hashes of a chunk's words, kinds, and hashes of the words without punctuation at their ends.
+
+    A name is a word with a capital that does not begin a sentence or the text; a unit follows a number.
+    """
+    data, starts, ends = chunk.data, chunk.starts, chunk.ends
+    core = np.flatnonzero(~_STRIPPED[data])
+    first, last = np.searchsorted(core, starts), np.searchsorted(core, ends) - 1
+    bare = first <= last  # some word is left
+    pick = lambda at, other: np.where(bare, core[np.clip(at, 0, len(core) - 1)], other) if len(core) else other
+    low, high = pick(first, starts), pick(last, ends - 1) + 1
+    value = range_hashes(data, low, high)
+    kind = np.zeros(len(value), np.uint8)
+    digits = np.r_[0, np.cumsum(_DIGIT[data])]
+    for k in np.flatnonzero(digits[high] > digits[low]):
+        kind[k] = NUM if _NUMBER.match(data[low[k] : high[k]].tobytes().decode("utf-8", "replace")) else LITERAL
+    kind[_in(_NUMBER_WORDS, value)] = NUM
+    after_number = np.r_[False, kind[:-1] == NUM]
+    begins = np.zeros(len(value) + 1, bool)
+    begins[chunk.places[:-1]] = True
+    begins = begins[:-1]
+    kind[(kind == LITERAL) & after_number & ~begins & _in(_UNITS, value)] = UNIT
+    inside = ~begins & ~np.r_[True, _STOPPED[data[ends[:-1] - 1]]]
+    kind[(kind == LITERAL) & inside & bare & _capitals(chunk, low)] = NAME
+    out = value.copy()
+    for k, h in _SLOT.items():
+        out[kind == k] = h
+    return out, kind, value
+
+
+def windows(texts, bits: np.ndarray | None = None) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
+    """For each window of each text: the text's number, its number of words, place and hash of the window, kinds and word hashes in it.
+
+    A text shorter than a window is one window; windows with too few words that are no placeholders are left
+    out, and with ``bits`` those whose bits are not set.
+    """
+    for chunk in chunks(texts):
+        if not len(chunk.starts):
+            continue
+        t, kind, value = template(chunk)
+        counts = np.diff(chunk.places)
+        groups = [(WINDOW, np.flatnonzero(counts >= WINDOW))]
+        groups += [(int(n), np.flatnonzero(counts == n)) for n in np.unique(counts[counts < WINDOW]) if n >= LEAST_WORDS]
+        literal = np.r_[0, np.cumsum(kind == LITERAL)]
+        for size, own in groups:
+            if not len(own) or len(t) < size:
+                continue
+            owner = np.repeat(np.arange(len(counts)), counts)
+            allowed = np.zeros(len(counts), bool)
+            allowed[own] = True
+            n = len(t) - size + 1
+            fine = allowed[owner[:n]] & (np.arange(n) + size <= chunk.places[owner[:n] + 1]) & (literal[size:] - literal[:-size] >= LEAST_WORDS)
+            at = np.flatnonzero(fine)
+            h = shingle_hashes(t, size)[at]
+            if bits is not None:
+                fits = maybe(bits, h)
+                at, h = at[fits], h[fits]
+            for a, x in zip(at.tolist(), h.view(np.int64).tolist()):
+                k = int(owner[a])
+                yield chunk.first + k, int(counts[k]), a - int(chunk.places[k]), x, kind[a : a + size].tobytes(), value[a : a + size].tobytes()
 
 
 def bit_array(hashes: np.ndarray) -> np.ndarray:
@@ -145,17 +165,6 @@ def maybe(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 _WINDOWS = "at int, hash bigint, kinds binary, hashes binary"
 
 
-def _rows(reader: Reader, text: str | None, bits: np.ndarray | None):
-    """A text's windows with the kinds and word hashes in them, and its number of words."""
-    template, kind, value = reader.template(text)
-    at, h = windows(template, kind)
-    if bits is not None and len(at):
-        fits = maybe(bits, h)
-        at, h = at[fits], h[fits]
-    size = min(WINDOW, len(template))
-    return len(template), [(int(a), int(x), kind[a : a + size].tobytes(), value[a : a + size].tobytes()) for a, x in zip(at, h.view(np.int64))]
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows of ``docs`` that hold a passage of a benchmark item, as it is or with other numbers, names or units.
 
@@ -176,12 +185,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     doc_type, item_type = rows.schema["doc"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
 
     def read_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
         for b in batches:
-            out = []
-            for i, t in zip(b["item"], b["text"]):
-                n, found = _rows(reader, t, None)
-                out += [(i, xxhash.xxh64_intdigest(t) >> 1, n, *w) for w in found]
+            item, text = b["item"].tolist(), b["text"].tolist()
+            out = [(item[k], xxhash.xxh64_intdigest(text[k]) >> 1, n, *w) for k, n, *w in windows(text)]
             yield pd.DataFrame(out, columns=["item", "version", "words", "item_at", "hash", "item_kinds", "item_hashes"])
 
     kept = written(
@@ -202,11 +208,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     shared = spark.sparkContext.broadcast(bits)
 
     def read_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
         for b in batches:
-            out = []
-            for i, t in zip(b["doc"], b["text"]):
-                out += [(i, *w) for w in _rows(reader, t, shared.value)[1]]
+            doc = b["doc"].tolist()
+            out = [(doc[k], *w) for k, _, *w in windows(b["text"], shared.value)]
             yield pd.DataFrame(out, columns=["doc", "at", "hash", "kinds", "hashes"])
 
     hits = rows.mapInPandas(read_docs, f"doc {doc_type}, {_WINDOWS}").distinct()

@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from hexloom.llm.decontaminate import LITERAL, NAME, NUM, UNIT, Reader, bit_array, contaminated, maybe
+from hexloom.llm.decontaminate import LITERAL, NAME, NUM, UNIT, bit_array, contaminated, maybe, template
+from hexloom.llm.wordhash import chunks, hash_of
 import numpy as np
 
 ITEM = "A train leaves Paris at 9 am and travels 120 km to reach Lyon while another train leaves Lyon at 10 am and travels 80 km towards Paris; when do they meet?"
@@ -16,8 +17,11 @@ def pairs(df):
 
 
 def test_kinds():
-    _, kind, _ = Reader().template("Mary paid $5 for 3 kg of rice in Rome. Then 7kg, 20% and twelve days passed by a kg")
-    assert kind.tolist() == [LITERAL, LITERAL, NUM, LITERAL, NUM, UNIT, LITERAL, LITERAL, LITERAL, NAME, LITERAL, NUM, NUM, LITERAL, NUM, UNIT, LITERAL, LITERAL, LITERAL, LITERAL]
+    (chunk,) = chunks(["Mary paid $5 for 3 kg of rice in Rome. Then 7kg, 20% and twelve days passed by a kg", None, "Été à Évry (Paris)"])
+    _, kind, value = template(chunk)
+    assert chunk.places.tolist() == [0, 20, 20, 24] and value[9] == hash_of("rome") and value[-1] == hash_of("paris")
+    assert kind[20:].tolist() == [LITERAL, LITERAL, NAME, NAME]
+    assert kind[:20].tolist() == [LITERAL, LITERAL, NUM, LITERAL, NUM, UNIT, LITERAL, LITERAL, LITERAL, NAME, LITERAL, NUM, NUM, LITERAL, NUM, UNIT, LITERAL, LITERAL, LITERAL, LITERAL]
 
 
 def test_leaks_and_clean_documents(spark):
