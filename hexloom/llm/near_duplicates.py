@@ -24,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, written
 from .components import components
+from .wordhash import chunks, shingle_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 #: Tries, hashes in each, and the chance of finding a pair at the threshold that prefixes are shortened for.
@@ -38,36 +38,21 @@ TREES, DEPTH, TARGET = 32, 8, 0.9999
 BLOCK, TASK_ROWS = 256, 1000
 #: Nodes up to which their table may be broadcast (24 bytes each).
 BROADCAST_NODES = 1_000_000
-#: Word hashes a worker remembers.
-REMEMBERED = 1_000_000
 
 _seeds = np.random.default_rng(20).integers(0, 1 << 32, (2, TREES * DEPTH), np.uint64)
 _A, _B = (_seeds[0] | np.uint64(1)).astype(np.uint32), _seeds[1].astype(np.uint32)
-_known: dict[str, int] = {}
-
-
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's runs of words; a shorter text is one run; a text without words has none."""
-    found = text.lower().split() if text else []
-    if not found:
-        return np.zeros(0, np.uint64)
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    try:
-        h = [_known[w] for w in found]
-    except KeyError:
-        for w in found:
-            if w not in _known:
-                _known[w] = xxhash.xxh64_intdigest(w)
-        h = [_known[w] for w in found]
-    h = np.array(h, np.uint64)
-    n = max(1, len(h) - words + 1)
-    out = np.full(n, len(h) if len(h) < words else words, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(min(words, len(h))):
-            out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(32)
-    return np.unique(out)
+
+
+def shingles(texts, words: int = WORDS) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its runs of words; a shorter text is one run; a text without words has none."""
+    for chunk in chunks(texts):
+        h = chunk.hashes()
+        runs = shingle_hashes(h, words) if len(h) >= words else h[:0]
+        for a, b in zip(chunk.places[:-1].tolist(), chunk.places[1:].tolist()):
+            if b - a >= words:
+                yield np.unique(runs[a : b - words + 1])
+            else:
+                yield shingle_hashes(h[a:b], b - a) if a < b else h[:0]
 
 
 def signature(sets: np.ndarray) -> bytes:
@@ -147,8 +132,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             nodes, signs = [], []
-            for value in b["text"]:
-                s = shingles(value)
+            for s in shingles(b["text"]):
                 nodes.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 signs.append(signature(s) if len(s) >= least - 1e-9 else None)
             yield pd.DataFrame({"id": b["id"], "node": nodes, "sign": signs})
@@ -172,7 +156,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [shingles(t) for t in b["text"]]
+            found = list(shingles(b["text"]))
             own = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == n for s, n in zip(found, b["node"])]  # an id may be repeated
             b = b.drop(columns=["text", "id"]).assign(shingles=[s.tobytes() for s in found])
             yield b[own]
