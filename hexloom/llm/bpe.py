@@ -35,7 +35,7 @@ from .common import small_batches
 #: Fixed value: the pre-tokenisation pattern of byte-level BPE vocabularies of this family.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces whose ids (and pairs whose answer) a worker remembers, and the longest piece it remembers.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 64
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 
 
 def byte_of_char() -> dict[str, int]:
