@@ -17,4 +17,4 @@ def register(name: str, run, sql: str | None = None) -> None:
 
 def load() -> None:
     """Register the queries of all modules."""
-    from . import checks, control, georeference, points, rivers, spatial, terrain  # noqa: F401
+    from . import checks, control, georeference, islands, points, rivers, spatial, terrain  # noqa: F401
