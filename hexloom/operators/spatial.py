@@ -12,8 +12,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from hexloom.functions.geodesy import E2
 from hexloom.functions.hexgrid import GridSpec
+from hexloom.functions.ids import hashed_id
+from hexloom.functions.projection import RADIUS
 
 
 def cells_of_box(grid: GridSpec, min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> Column:
@@ -329,3 +333,58 @@ def within_distance_pairs(rings: DataFrame, limit_m: float) -> DataFrame:
     cross = (side("", "x1_b", "y1_b") * side("", "x2_b", "y2_b") < 0) & (side("_b", "x1", "y1") * side("_b", "x2", "y2") < 0)
     d = F.when(cross, 0.0).otherwise(F.least(to("x1", "y1", "_b"), to("x2", "y2", "_b"), to("x1_b", "y1_b", ""), to("x2_b", "y2_b", "")))
     return pairs.withColumn("d", d).groupBy(F.col("line_id").alias("a"), F.col("line_id_b").alias("b")).agg(F.min("d").alias("distance_m")).where(F.col("distance_m") <= limit_m)
+
+
+def ground_areas(rings: DataFrame, steps: int = 32) -> DataFrame:
+    """For each feature its area on the ellipsoid in square kilometres; holes count against it.
+
+    Under a side, which is straight in the projection, the area between it and the equator is summed over
+    ``steps`` parts with the authalic function of the latitude.
+    """
+    e = math.sqrt(E2)
+
+    @F.pandas_udf(DoubleType())
+    def area(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(xs, ys):
+            x, y = _ring(a, b)
+            part = np.arange(steps + 1) / steps
+            lat = np.arctan(np.sinh((y[:, None] + (np.roll(y, -1) - y)[:, None] * part) / RADIUS))
+            s = np.sin(lat)
+            q = (1 - E2) * (s / (1 - E2 * s * s) + np.log((1 + e * s) / (1 - e * s)) / (2 * e))
+            under = ((q[:, 1:] + q[:, :-1]) / 2).mean(axis=1) * (np.roll(x, -1) - x) / RADIUS
+            out.append(abs(float(under.sum())) * RADIUS**2 / 2 / 1e6)
+        return pd.Series(out)
+
+    each = rings.withColumn("km2", area("xs", "ys"))
+    return each.groupBy("feature_id").agg(F.sum(F.when(F.col("is_hole"), -F.col("km2")).otherwise(F.col("km2"))).alias("ground_km2"))
+
+
+def overlaps(rings: DataFrame, grid: GridSpec, least_m2: float = 1e-6) -> DataFrame:
+    """Pairs of features (a below b) whose outer rings overlap, and the area of the overlap.
+
+    Rings meet in cells; only pairs whose boxes overlap go on, and a cell adds the part of the overlap inside it.
+    """
+    each = covered(rings.where(~F.col("is_hole")), grid).withColumns({f"{c}{k}": f(k2) for c, f in (("lo_", F.array_min), ("hi_", F.array_max)) for k, k2 in (("x", "xs"), ("y", "ys"))})
+    names = {c: f"{c}_b" for c in each.columns if c not in ("q", "r")}
+    pairs = each.join(each.withColumnsRenamed(names), ["q", "r"]).where("feature_id < feature_id_b and lo_x < hi_x_b and lo_x_b < hi_x and lo_y < hi_y_b and lo_y_b < hi_y")
+
+    @F.pandas_udf(DoubleType())
+    def common(xs: pd.Series, ys: pd.Series, xb: pd.Series, yb: pd.Series, q: pd.Series, r: pd.Series) -> pd.Series:
+        out = []
+        for a, b, c, d, i, j in zip(xs, ys, xb, yb, q, r):
+            hexagon = _hexagon(grid, i, j)
+            one, two = clip_convex(*_ring(a, b), *hexagon), clip_convex(*_ring(c, d), *hexagon)
+            both = [p for p in (one, two) if len(p[0]) > 2]
+            out.append(union_area([one]) + union_area([two]) - union_area(both) if len(both) == 2 else 0.0)
+        return pd.Series(out)
+
+    found = pairs.select(F.col("feature_id").alias("a"), F.col("feature_id_b").alias("b"), common("xs", "ys", "xs_b", "ys_b", "q", "r").alias("m2"))
+    return found.groupBy("a", "b").agg(F.sum("m2").alias("overlap_m2")).where(F.col("overlap_m2") > least_m2)
+
+
+def land_fragments(land: DataFrame, hexes: DataFrame, grid: GridSpec) -> DataFrame:
+    """Land of one subject inside a hex that is not terrestrial: fragment_id, hex_id, subject, area_m2. Needs land (feature_id, q, r, area_m2), hexes (q, r, land_class)."""
+    wet = land.join(hexes.where("land_class <> 'land'").select("q", "r"), ["q", "r"])
+    hex_id = grid.hex_id(F.col("q"), F.col("r"))
+    return wet.where("area_m2 > 0").select(hashed_id("lfr_", hex_id, F.col("feature_id"), length=14).alias("fragment_id"), hex_id.alias("hex_id"), F.col("feature_id").alias("subject"), "area_m2")

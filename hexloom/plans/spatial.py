@@ -67,3 +67,17 @@ register(
 register("p18_touches_clip", lambda s, d: sp.touches_clip(rings(s, d), (15410000.0, 4210000.0, 15690000.0, 4490000.0), 500.0), HEAD + " select feature_id, x0 <= 15410500 or y0 <= 4210500 or x1 >= 15689500 or y1 >= 4489500 as touches_clip_boundary from b")
 register("p31_without_clip_edges", lambda s, d: sp.without_clip_edges(segments(s, d).select("line_id", F.greatest("x1", F.lit(15450000.0)).alias("x1"), "y1", F.greatest("x2", F.lit(15450000.0)).alias("x2"), "y2"), (15450000.0, 0.0, 9e9, 9e9)).groupBy("line_id").agg(F.count("*").alias("sides")), HEAD + " select feature_id as line_id, cast(case when x1 <= 15450001 then 0 when x0 <= 15450001 then 3 else 4 end as bigint) as sides from b where x1 > 15450001")
 register("f40_ring_faults", lambda s, d: sp.ring_faults(boxes(s, d).selectExpr("feature_id", "case when feature_id % 3 = 0 then array(cx, cx + hx, cx, cx + hx) when feature_id % 3 = 1 then array(cx, cx + hx) else array(cx, cx + hx, cx + hx, cx) end as xs", "case when feature_id % 3 = 0 then array(cy, cy + hy, cy + hy, cy - hy) when feature_id % 3 = 1 then array(cy, cy) else array(cy, cy, cy + hy, cy + hy) end as ys")), HEAD + " select feature_id, case when feature_id % 3 = 0 then 'CROSSES_ITSELF' else 'TOO_FEW_CORNERS' end as fault from boxes where feature_id % 3 < 2")
+
+Q = "(0.9933056200098587e0 * (s{0} / (1 - 0.0066943799901413165e0 * s{0} * s{0}) + ln((1 + 0.08181919084262149e0 * s{0}) / (1 - 0.08181919084262149e0 * s{0})) / (2 * 0.08181919084262149e0)))"
+register("f06_ground_areas", lambda s, d: sp.ground_areas(rings(s, d)).select("feature_id", F.round("ground_km2", 4).alias("ground_km2")), HEAD + ", l as (select feature_id, x0, x1, sin(atan(sinh(y0 / 6378137e0))) as s0, sin(atan(sinh(y1 / 6378137e0))) as s1 from b) select feature_id, round(6378137e0 * 6378137e0 / 2 * (" + Q.format(1) + " - " + Q.format(0) + ") * (x1 - x0) / 6378137e0 / 1e6, 4) as ground_km2 from l")
+
+
+def wide(s, d):
+    """Boxes three times as large, many of which overlap."""
+    return boxes(s, d).selectExpr("feature_id", "false as is_hole", "array(cx - 3 * hx, cx + 3 * hx, cx + 3 * hx, cx - 3 * hx) as xs", "array(cy - 3 * hy, cy - 3 * hy, cy + 3 * hy, cy + 3 * hy) as ys")
+
+
+OVERLAPS = HEAD + ", w as (select feature_id, cx - 3 * hx as x0, cx + 3 * hx as x1, cy - 3 * hy as y0, cy + 3 * hy as y1 from boxes), o as (select a.feature_id as a, b.feature_id as b, (least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)) as m from w a join w b on a.feature_id < b.feature_id and a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1)"
+register("j19_overlaps", lambda s, d: sp.overlaps(wide(s, d), GRID, 1.0).select("a", "b", F.round("overlap_m2", -1).alias("overlap_m2")), OVERLAPS + " select a, b, round(m, -1) as overlap_m2 from o where m > 1")
+register("j20_large_overlaps", lambda s, d: sp.overlaps(wide(s, d), GRID, 1e7).select("a", "b"), OVERLAPS + " select a, b from o where m > 1e7")
+register("m10_land_fragments", lambda s, d: sp.land_fragments(shares(s, d), sp.land_classes(shares(s, d).select("q", "r").distinct(), shares(s, d), GRID, 0.3), GRID).select("fragment_id", "hex_id", "subject", F.round("area_m2", 2).alias("area_m2")))
