@@ -2,9 +2,11 @@
 
 A text is read as words. Numbers, units and names become the placeholders NUM, UNIT
 and NAME, other words stay, in lower case and without punctuation at their ends; that is
-its template. A window is a number of template words in a row. Windows of the benchmark are
-joined by their hash to windows of the documents; hits of one item in one document
-on one diagonal (document place less item place) are an alignment. On an alignment
+its template. A window is a number of template words in a row, or of the words themselves:
+capitals make names of words, so a copy in other case has another template but the same words.
+Windows of the benchmark are joined by their hash to windows of the documents, plain ones to plain
+ones; hits of one item in one document on one diagonal (document place less item place) are an
+alignment. On an alignment
 the placeholders must be filled consistently: a slot value of the item must always be
 the same value in the document, and the other way round, for each kind of slot.
 So a question whose numbers, names or units were exchanged is found, and a text that
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 from .wordhash import Chunk, chunks, hash_of, range_hashes, shingle_hashes
 
-#: Words of a window, and the least number of words in it that are no placeholders.
+#: Words of a window, and the least number of words in it; in a window of a template that many are no placeholders.
 WINDOW, LEAST_WORDS = 8, 4
 #: An alignment covers this part of an item's words, or so many of them; this part of its slots must be consistent.
 COVERED, COVERED_WORDS, CONSISTENT = 0.5, 13, 0.8
@@ -112,36 +114,40 @@ def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, kind, value
 
 
-def windows(texts, bits: np.ndarray | None = None) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
+def windows(texts, bits: np.ndarray | None = None, sizes: list[int] | None = None) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
     """For each window of each text: the text's number, its number of words, place and hash of the window, kinds and word hashes in it.
 
-    A text shorter than a window is one window; windows with too few words that are no placeholders are left
-    out, and with ``bits`` those whose bits are not set.
+    Windows have each of ``sizes``; without, a text shorter than a window is one window. A window of the
+    template has ``LEAST_WORDS`` words that are no placeholders; where a window has a placeholder, the window of the words as
+    they are follows, whatever they are. With ``bits`` windows whose bits are not set are left out.
     """
-    for chunk in chunks(texts):
+    for chunk in chunks(t and t.replace("ß", "ss").replace("ẞ", "SS") for t in texts):  # in capitals ß is SS
         if not len(chunk.starts):
             continue
         t, kind, value = template(chunk)
         counts = np.diff(chunk.places)
-        groups = [(WINDOW, np.flatnonzero(counts >= WINDOW))]
-        groups += [(int(n), np.flatnonzero(counts == n)) for n in np.unique(counts[counts < WINDOW]) if n >= LEAST_WORDS]
+        if sizes is None:
+            groups = [(WINDOW, counts >= WINDOW)]
+            groups += [(int(n), counts == n) for n in np.unique(counts[counts < WINDOW]) if n >= LEAST_WORDS]
+        else:
+            groups = [(n, counts >= n) for n in sizes]
         literal = np.r_[0, np.cumsum(kind == LITERAL)]
-        for size, own in groups:
-            if not len(own) or len(t) < size:
+        owner = np.repeat(np.arange(len(counts)), counts)
+        for size, allowed in groups:
+            if not allowed.any() or len(t) < size:
                 continue
-            owner = np.repeat(np.arange(len(counts)), counts)
-            allowed = np.zeros(len(counts), bool)
-            allowed[own] = True
             n = len(t) - size + 1
-            fine = allowed[owner[:n]] & (np.arange(n) + size <= chunk.places[owner[:n] + 1]) & (literal[size:] - literal[:-size] >= LEAST_WORDS)
-            at = np.flatnonzero(fine)
-            h = shingle_hashes(t, size)[at]
-            if bits is not None:
-                fits = maybe(bits, h)
-                at, h = at[fits], h[fits]
-            for a, x in zip(at.tolist(), h.view(np.int64).tolist()):
-                k = int(owner[a])
-                yield chunk.first + k, int(counts[k]), a - int(chunk.places[k]), x, kind[a : a + size].tobytes(), value[a : a + size].tobytes()
+            whole = allowed[owner[:n]] & (np.arange(n) + size <= chunk.places[owner[:n] + 1])
+            literals = literal[size:] - literal[:-size]
+            for words, fine in ((t, whole & (literals >= LEAST_WORDS)), (value, whole & (literals < size))):
+                at = np.flatnonzero(fine)
+                h = shingle_hashes(words, size)[at]
+                if bits is not None:
+                    fits = maybe(bits, h)
+                    at, h = at[fits], h[fits]
+                for a, x in zip(at.tolist(), h.view(np.int64).tolist()):
+                    k = int(owner[a])
+                    yield chunk.first + k, int(counts[k]), a - int(chunk.places[k]), x, kind[a : a + size].tobytes(), value[a : a + size].tobytes()
 
 
 def bit_array(hashes: np.ndarray) -> np.ndarray:
@@ -172,10 +178,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     the best alignment), slots (of the item in it), exchanged (slots with another value in the document) and
     kind: ``verbatim`` or ``reparameterised``. An alignment counts if it covers ``COVERED`` of the
     item or ``COVERED_WORDS`` words of it, and ``CONSISTENT`` of its slots are filled consistently.
+    Windows that hold the item's very words count also without the others on their diagonal.
 
     Null and blank texts match nothing, nor do items or documents of fewer than ``LEAST_WORDS``
-    words that are no placeholders; rows with a null key in either table are left out.
-    A document as short as its item is compared whole. Repeated rows of either table give one row
+    words; an item of fewer that are no placeholders is found as it is only, in any case of letters. Rows with a null
+    key in either table are left out. An item shorter than a window is found whole, wherever in a document it is. Repeated rows of either table give one row
     for each pair. Other columns of either table are not read.
     """
     spark = docs.sparkSession
@@ -206,36 +213,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     for p in parts:
         bits |= np.frombuffer(p["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(bits)
+    sizes = sorted(r["size"] for r in kept.select((F.length("item_hashes") / 8).cast("int").alias("size")).distinct().collect())  # LEAST_WORDS to WINDOW
 
     def read_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             doc = b["doc"].tolist()
-            out = [(doc[k], *w) for k, _, *w in windows(b["text"], shared.value)]
+            out = [(doc[k], *w) for k, _, *w in windows(b["text"], shared.value, sizes)]
             yield pd.DataFrame(out, columns=["doc", "at", "hash", "kinds", "hashes"])
 
     hits = rows.mapInPandas(read_docs, f"doc {doc_type}, {_WINDOWS}").distinct()
     # The hit windows of one document on one diagonal; a diagonal of one item has as many rows as the item has words at most.
     joined = hits.join(kept, "hash").select("doc", "item", "version", "words", (F.col("at") - F.col("item_at")).alias("diagonal"), "item_at", "item_kinds", "item_hashes", "kinds", "hashes")
 
+    def score(rows: list[tuple], words: int) -> tuple | None:
+        """Part of the item's words, less the exchanged slots, and slots, if the rows make an alignment that counts."""
+        pairs = {at + k: pair for at, kinds, own, other in rows for k, pair in enumerate(zip(kinds, own, other))}
+        slots = [(kind, a, b) for kind, a, b in pairs.values() if kind != LITERAL]
+        there: dict = {}
+        back: dict = {}
+        for kind, a, b in slots:
+            there.setdefault((kind, a), set()).add(b)
+            back.setdefault((kind, b), set()).add(a)
+        fine = sum(len(there[kind, a]) == 1 and len(back[kind, b]) == 1 for kind, a, b in slots)
+        covered = len(pairs) / words
+        if (covered >= COVERED or len(pairs) >= COVERED_WORDS) and fine >= CONSISTENT * len(slots):
+            return covered, -sum(a != b for _, a, b in slots), len(slots)
+        return None
+
     def align(pdf: pd.DataFrame) -> pd.DataFrame:
         best: dict = {}
         for (doc, item, _, _), g in pdf.groupby(["doc", "item", "version", "diagonal"], sort=False):
-            pairs: dict[int, tuple] = {}
-            for r in g.itertuples(index=False):
-                own, other = np.frombuffer(r.item_hashes, np.uint64), np.frombuffer(r.hashes, np.uint64)
-                for k, (kind, a, b) in enumerate(zip(r.item_kinds, own, other)):
-                    pairs[r.item_at + k] = (kind, a, b)
-            slots = [(kind, a, b) for kind, a, b in pairs.values() if kind != LITERAL]
-            there: dict = {}
-            back: dict = {}
-            for kind, a, b in slots:
-                there.setdefault((kind, a), set()).add(b)
-                back.setdefault((kind, b), set()).add(a)
-            fine = sum(len(there[kind, a]) == 1 and len(back[kind, b]) == 1 for kind, a, b in slots)
-            covered = len(pairs) / int(g["words"].iloc[0])
-            changed = sum(a != b for _, a, b in slots)
-            if (covered >= COVERED or len(pairs) >= COVERED_WORDS) and fine >= CONSISTENT * len(slots):
-                best[doc, item] = max(best.get((doc, item), (0.0,)), (covered, -changed, len(slots)))
+            rows = [(r.item_at, r.item_kinds, np.frombuffer(r.item_hashes, np.uint64), np.frombuffer(r.hashes, np.uint64)) for r in g.itertuples(index=False)]
+            words = int(g["words"].iloc[0])
+            found = score(rows, words)
+            if found is None:  # what is as it is and what has the item's template may still count, each without the other
+                same, alike = (g["item_hashes"] == g["hashes"]).tolist(), (g["item_kinds"] == g["kinds"]).tolist()
+                alike = [x and r[1].count(LITERAL) >= LEAST_WORDS for x, r in zip(alike, rows)]
+                found = max((f for some in (same, alike) if not all(some) and (f := score([r for r, x in zip(rows, some) if x], words))), default=None)
+            if found:
+                best[doc, item] = max(best.get((doc, item), (0.0,)), found)
         return pd.DataFrame([(d, i, c, n, -x, "reparameterised" if x else "verbatim") for (d, i), (c, x, n) in best.items()], columns=["doc", "item", "covered", "slots", "exchanged", "kind"])
 
     schema = f"doc {doc_type}, item {item_type}, covered double, slots int, exchanged int, kind string"

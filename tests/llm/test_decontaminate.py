@@ -37,6 +37,36 @@ def test_leaks_and_clean_documents(spark):
     assert contaminated(d.where(F.lit(False)), b).count() == 0 and contaminated(d, b.where(F.lit(False))).count() == 0
 
 
+def test_copies_in_other_case_and_short_items(spark):
+    short, name, sharp = "Who wrote the Old Book?", "Jean Paul Sartre Junior", "Die große Straße führt am weißen Haus vorbei zum Fluß und bis zum alten Schloß"
+    docs = [
+        (2, ITEM.upper().replace("AM", "am")), (10, ITEM[:60]), (20, FILLER + ITEM.upper() + " " + FILLER), (21, FILLER + ITEM.title()), (22, ITEM.lower()),
+        (30, FILLER + short + " " + FILLER), (31, short), (32, FILLER + short.upper()), (33, FILLER + "who wrote the new book?"), (40, FILLER + name.lower() + " " + FILLER), (41, FILLER * 3), (42, "Jean Paul"), (50, sharp.upper()),
+    ]
+    items = [(100, ITEM), (200, short), (300, name), (400, "Jean Paul"), (500, sharp)]
+    got = pairs(contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    copies = [(d, 100) for d in (2, 20, 21, 22)] + [(d, 200) for d in (30, 31, 32)] + [(40, 300), (50, 500)]
+    assert [g for g in got if g[0] != 10] == [(d, i, "verbatim") for d, i in copies]
+    assert [g for g in got if g[0] == 10] == [(10, 100, "reparameterised")]  # its last word is cut
+
+
+def test_own_words_beside_an_inconsistent_copy(spark):
+    own = "the old keeper of the grey lighthouse by the northern sea wrote down every ship that passed"
+    item = own + " 1 then 2 then 3 then 4 then alpha beta gamma delta 5"
+    doc = own + " 6 then 6 then 6 then 6 then alpha beta gamma delta 6"
+    got = pairs(contaminated(spark.createDataFrame([(1, doc)], "doc_id long, text string"), spark.createDataFrame([(9, item)], "item_id long, text string")))
+    assert got == [(1, 9, "verbatim")]
+
+
+def test_every_item_in_other_case(spark):
+    items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("item_id", "text")
+    around = lambda c: F.concat(F.lit(FILLER), c, F.lit(" " + FILLER))
+    for change in (F.upper, F.lower, F.initcap):
+        docs = items.select(F.col("item_id").alias("doc_id"), around(change("text")).alias("text"))
+        got = {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()}
+        assert {(r.item_id, r.item_id) for r in items.collect()} <= got
+
+
 def test_against_plain_search(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
