@@ -41,6 +41,16 @@ register(
 )
 
 
+def j06_whole(s, d):
+    """The union of the boxes of two suppliers and of a second box of each."""
+    second = boxes(s, d).selectExpr("feature_id", "false as is_hole", "array(cx - 100, cx + hx * 1.5, cx + hx * 1.5, cx - 100) as xs", "array(cy - 50, cy - 50, cy + hy * 1.2, cy + hy * 1.2) as ys")
+    pair = F.floor(F.col("feature_id") / 2)
+    return sp.union_in_hexes(rings(s, d).unionByName(second).withColumn("pair", pair), GRID, ["pair"]).groupBy("pair").agg(F.round(F.sum("area_m2"), 1).alias("area_m2"))
+
+
+register("j06_union_whole", j06_whole)
+
+
 def places(s, d):
     return s.read.parquet(f"{d}/customer.parquet").selectExpr("c_custkey as id", "15400000e0 + ((c_custkey * 5077) % 30011) * 10e0 as x", "4200000e0 + ((c_custkey * 6301) % 29989) * 10e0 as y")
 

@@ -1,8 +1,10 @@
 """Queries over their whole table against brute force."""
 
-from collections import Counter
+from collections import Counter, defaultdict
 
-from hexloom.plans import registry
+import pytest
+
+from hexloom.plans import registry, spatial, terrain
 
 registry.load()
 
@@ -31,3 +33,25 @@ def test_components_of_all_rows(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     edges = [(r.a, r.b) for r in spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_partkey as a", "1000000 + l_suppkey as b").collect()]
     assert run(sf) == dict(union_find(edges))
+
+
+def test_whole_grid_is_filled(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {(r.row, r.col): r.elev for r in registry.QUERIES["s11_filled_whole"](spark, sf).collect()}
+    laid = {(r.row, r.col): round(r.elev, 4) for r in terrain.laid(spark, sf).collect()}
+    assert got == {(i, j): laid.get((i, j), 0.0) for i in range(512) for j in range(512)}
+
+
+def union_area(boxes):
+    xs, ys = sorted({x for b in boxes for x in b[:2]}), sorted({y for b in boxes for y in b[2:]})
+    cells = ((x0, x1, y0, y1) for x0, x1 in zip(xs, xs[1:]) for y0, y1 in zip(ys, ys[1:]))
+    return sum((x1 - x0) * (y1 - y0) for x0, x1, y0, y1 in cells if any(a <= x0 and x1 <= b and c <= y0 and y1 <= d for a, b, c, d in boxes))
+
+
+def test_union_of_all_features(spark):
+    sf = "/root/testdata/sf0.001"
+    pairs = defaultdict(list)
+    for r in spatial.boxes(spark, sf).collect():
+        pairs[r.feature_id // 2] += [(r.cx - r.hx, r.cx + r.hx, r.cy - r.hy, r.cy + r.hy), (r.cx - 100, r.cx + r.hx * 1.5, r.cy - 50, r.cy + r.hy * 1.2)]
+    got = {r.pair: r.area_m2 for r in registry.QUERIES["j06_union_whole"](spark, sf).collect()}
+    assert got == pytest.approx({p: union_area(b) for p, b in pairs.items()}, rel=1e-6)
