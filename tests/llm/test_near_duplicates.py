@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import hexloom.llm.near_duplicates as nd
 from hexloom.llm.components import components
-from hexloom.llm.near_duplicates import near_duplicates, prefix_length, signature, shingles
+from hexloom.llm.near_duplicates import least_link, matched, near_duplicates, one_of_each_class, prefix_length, shortened, signature, shingles
 
 
 def brute(rows, threshold=0.8):
@@ -71,6 +71,40 @@ def test_edges(spark):
     assert near_duplicates(df.where(F.lit(False))).count() == 0
 
 
+def test_null_keys_link_and_stay_apart(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    near = base + " extra"
+    df = spark.createDataFrame([(None, base), (3, near), (None, near + " more"), (None, "quite an other text of some words"), (2**60 + 1, "and one with a large key"), (None, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 3, 2), (3, 3, 2), (None, 3, 2), (None, None, 0), (2**60 + 1, 2**60 + 1, 0), (None, None, 0)], key=str)
+
+
+def test_one_of_each_class(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(5, base, "b"), (5, base, "a"), (5, "a unique text under the same key of five", "c"), (7, base + " extra", "d"), (None, base, "e"), (None, "only a null key holds this text", "f"), (None, "only a null key holds this text", "f"), (8, None, "g"), (8, None, "g"), (9, " ", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, r1 string").repartition(4)
+    got = sorted(tuple(r) for r in one_of_each_class(df).select("r1").collect())
+    assert got == [("a",), ("c",), ("f",), ("g",), ("g",), ("h",)]
+    assert one_of_each_class(df).columns == df.columns and one_of_each_class(df.where(F.lit(False))).count() == 0
+
+
+def test_prefixes_are_shortened_by_what_a_set_can_be_linked_to(spark):
+    assert [least_link(n) for n in (4, 6, 7, 8, 9, 1000)] == [0.8, 5 / 6, 6 / 7, 0.8, 0.8, 0.8]
+    assert [shortened(n) for n in (4, 6, 7, 9, 500)] == [6, 7, 8, 6, 6]
+    # Three nodes whose signatures agree in 6 hashes of one trie alone: the two that are shortened to 6 match past the one that is not.
+    own = lambda k: np.arange(nd.TREES * nd.DEPTH).astype(">u2") + k * 1000
+    signs = []
+    for k, length in ((1, 6), (2, 8), (3, 6)):
+        x = own(k).copy()
+        x[: nd.DEPTH] = [7] * 6 + [k, k]
+        signs.append((k, x.astype(">u2").tobytes(), length))
+    df = spark.createDataFrame(signs, "u long, sign binary, length int")
+    for parts in ("1", "8"):  # the matches across the borders of the order's parts too
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        assert [sorted(r) for r in matched(df, 6).distinct().collect()] == [[1, 3]]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_prefixes_and_signatures():
     k = prefix_length()
     assert 1 - (1 - 0.8**k) ** nd.TREES >= nd.TARGET
