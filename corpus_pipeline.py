@@ -14,7 +14,7 @@ from hexloom.llm import language_id
 from hexloom.llm.bpe import encode_and_decode
 from hexloom.llm.common import table, written
 from hexloom.llm.decontaminate import contaminated
-from hexloom.llm.near_duplicates import near_duplicates
+from hexloom.llm.near_duplicates import one_of_each_class
 from hexloom.llm.queries import vocabulary_path
 
 
@@ -28,14 +28,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest doc_id; of rows with that doc_id, one.
+    """Of each class of near duplicates one document, that with the smallest doc_id, null ones last.
 
-    A document without a doc_id stays if it is of no other document's class.
+    Documents are told apart by doc_id and text: two texts under one doc_id stay or go each
+    by its own class, and of rows equal in both one stays. Documents without words all stay.
     """
-    classes = near_duplicates(docs)
-    stays = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    kept = docs.join(stays.where("doc_id is not null"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return one_of_each_class(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
