@@ -51,6 +51,28 @@ def test_copies_and_bad_vectors(spark):
     assert [i for i, _ in got[100]] == [7, 101, 102, 103, 104]
 
 
+def test_repeated_queries_magnitudes_and_dimensions(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(40, 8))
+    x[3], x[4], x[5] = x[0] * 1e200, x[0] * 1e-200, x[0] + 0.1 * x[1]
+    x[5] *= 1e180
+    rows = [(k, [float(v) for v in x[k]]) for k in range(40)]
+    rows += [rows[0], rows[7]]  # a query and a candidate given twice
+    rows += [(50, [1.0, 2.0]), (51, [2.0, 1.0]), (52, [1.0, 2.5])]  # of another number of dimensions
+    got = {}
+    for g in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), F.col("vec_id").isin(0, 1, 50)).collect():
+        got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, g.score))
+    scaled = x / np.abs(x).max(axis=1, keepdims=True)
+    unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+    ids = np.array([*range(40), 7, 0])
+    for q, copies in ((0, 2), (1, 1)):
+        score = unit[ids] @ unit[q]
+        best = [j for j in np.lexsort((ids, -np.round(score, 12))) if ids[j] != q][:5]
+        assert sorted(got[q]) == sorted([(k + 1, int(ids[j]), s) for k, j in enumerate(best) for s in [next(g[2] for g in got[q] if g[:2] == (k + 1, ids[j]))]] * copies)
+        assert all(abs(g[2] - float(unit[g[1]] @ unit[q])) < 1e-12 for g in got[q])
+    assert [g[:2] for g in sorted(got[50])] == [(1, 52), (2, 51)]
+
+
 def test_few_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])], schema)
@@ -67,4 +89,6 @@ def test_scan_abandons_far_candidates():
     x /= np.linalg.norm(x, axis=0)
     q = x[:, 0] + 0.01 * r.normal(size=64)
     (kept,) = scan(x, q[None, :], 3)
-    assert 0 in kept and len(kept) < 200
+    assert 0 in kept and len(kept) < 10
+    (kept,) = scan(x, q[None, :], 3, np.arange(2000), np.array([0]))
+    assert 0 not in kept and len(kept) >= 3
