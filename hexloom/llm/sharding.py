@@ -1,13 +1,14 @@
 """Sharding as vector bin packing of groups of equal texts.
 
 A group has three sizes: bytes, tokens (words) and rows. Groups become parcels:
-a large group is a parcel of its own, and one above a set part of a shard is cut
-into pieces of about that size by a hash of the document, so that one text that
+a large group is a parcel of its own, and one above a whole shard's share is cut
+into pieces by a hash of the document, so that one text that
 fills a third of the corpus is spread over shards; all other groups are gathered
-by a hash of their text. The number of parcels is bounded by the number of
+by the length of their text and a hash of it, so that there are parcels of many short texts and
+parcels of few long ones to make up for what large groups leave uneven. The number of parcels is bounded by the number of
 shards alone, so their table of sizes is small however many documents there are. Parcels go, largest first, to
 the shard where the dot product of their sizes with the shard's residual
-capacity is highest among those whose bytes are furthest below their share, and
+capacity is highest among those with room for them in all three sizes, and
 the table of shards goes back to the documents by a broadcast join.
 
 Slots are numbered within a shard by counts per (shard, run) and a running sum
@@ -20,13 +21,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parcels of small groups for each shard; a group above such a part of a shard's share is a parcel of its own.
-PARCELS_A_SHARD = 512
-#: A group above such a part of a shard's share is cut.
+#: Parcels of small groups for each shard and class of lengths, and the classes: powers of two, from the first one on.
+PARCELS_A_CLASS, CLASSES, FIRST_CLASS = 64, 8, 4
+#: A group above such a part of a shard's share is a parcel of its own.
+PARCELS_A_SHARD = PARCELS_A_CLASS * CLASSES
+#: Pieces for each share that a group above a whole share is cut into.
 PIECES_A_SHARD = 8
 #: Rows that one run of slots has on average, and the least number of runs.
 ROWS_A_RUN, LEAST_RUNS = 100_000, 16
-#: Parts of a shard's share of bytes within which the dot product alone decides.
+#: Part of a shard's share that a parcel may be larger than the room for it.
 SLACK = 1 / 512
 
 
@@ -35,17 +38,20 @@ def pack(sizes: np.ndarray, shards: int) -> np.ndarray:
 
     Each measure is taken as a part of a shard's even share. Parcels go largest
     first to the shard with the highest dot product of the parcel with the
-    residual capacities, among the shards whose first measure is within ``SLACK``
-    of the emptiest one's; ties go to the lower shard.
+    residual capacities, among the shards that have room for it in each measure, or
+    else in the first one, or else, of all, the one with most room in the first; ties go to the lower shard.
     """
     total = sizes.sum(axis=0)
     parts = sizes * shards / np.where(total > 0, total, 1)
     residual = np.ones((shards, sizes.shape[1]))
     out = np.zeros(len(sizes), np.int32)
-    for k in np.lexsort((np.arange(len(sizes)), -parts.sum(axis=1), -parts[:, 0])):
-        fits = residual[:, 0] >= residual[:, 0].max() - SLACK
-        score = np.where(fits, residual @ parts[k], -np.inf)
-        out[k] = at = int(score.argmax())
+    for k in np.argsort(-parts.max(axis=1), kind="stable"):
+        fits = (residual >= parts[k] - SLACK).all(axis=1)
+        if not fits.any():
+            fits = residual[:, 0] >= parts[k, 0] - SLACK / 4
+        if not fits.any():
+            fits = residual[:, 0] >= residual[:, 0].max()
+        out[k] = at = int(np.where(fits, residual @ parts[k], -np.inf).argmax())
         residual[at] -= parts[k]
     return out
 
@@ -59,8 +65,8 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     grown_shard (null under this law).
 
     A null text counts as an empty one: size 8, checksum 0. Equal texts go to one
-    shard unless together they exceed 1 / ``PIECES_A_SHARD`` of a shard's share.
-    Repeated rows are all placed. An empty table gives no rows. Rows equal in key
+    shard unless together they exceed a shard's share, an even part of all bytes.
+    Tokens and rows are balanced as far as bytes and whole groups allow. Repeated rows are all placed. An empty table gives no rows. Rows equal in key
     and text have interchangeable slots. Shards can't be near equal where single
     texts are large against a shard's share.
     """
@@ -77,13 +83,14 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     total = rows.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
     share = max(1, (total["bytes"] or 0) // shards)
     # By their sizes there are at most shards * PARCELS_A_SHARD large groups, whatever the input.
-    large = groups.where(F.col("bytes") > share / PARCELS_A_SHARD).select("h1", "h2", F.ceil(F.col("bytes") * PIECES_A_SHARD / share).alias("pieces"))
+    pieces = F.when(F.col("bytes") > share, F.ceil(F.col("bytes") * PIECES_A_SHARD / share)).otherwise(1)
+    large = groups.where(F.col("bytes") > share / PARCELS_A_SHARD).select("h1", "h2", pieces.alias("pieces"))
     piece = F.pmod(F.xxhash64("key"), "pieces")
-    placed = rows.join(F.broadcast(large), ["h1", "h2"], "left").withColumn(
-        "parcel", F.when(F.col("pieces").isNull(), F.pmod("h1", F.lit(shards * PARCELS_A_SHARD))).otherwise(F.xxhash64("h1", "h2", piece))
-    )
+    length = F.least(F.lit(CLASSES - 1), F.greatest(F.lit(0), F.floor(F.log2("size")) - FIRST_CLASS))
+    small = F.pmod("h1", F.lit(shards * PARCELS_A_CLASS)) * CLASSES + length
+    placed = rows.join(F.broadcast(large), ["h1", "h2"], "left").withColumn("parcel", F.when(F.col("pieces").isNull(), small).otherwise(F.xxhash64("h1", "h2", piece)))
     parcels = placed.groupBy("parcel").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
-    found = parcels.orderBy("parcel").collect()  # 2 * shards * PARCELS_A_SHARD rows and some pieces
+    found = parcels.orderBy("parcel").collect()  # 2 * shards * PARCELS_A_SHARD rows and some pieces at most
     where = pack(np.array([[r["bytes"], r["tokens"], r["rows"]] for r in found], float).reshape(-1, 3), shards)
     spark = docs.sparkSession
     table = spark.createDataFrame([(r["parcel"], int(s)) for r, s in zip(found, where)], "parcel long, shard int")

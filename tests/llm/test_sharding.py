@@ -18,7 +18,30 @@ def test_sizes_slots_and_balance(spark):
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
     sums = got.groupby("shard")["size"].sum()
     assert len(sums) == 6 and sums.max() - sums.min() < 0.005 * sums.mean()
-    assert got.groupby("shard").doc_id.count().max() < 2 * got.groupby("shard").doc_id.count().min()
+    assert got[got.doc_id >= 10_000].shard.nunique() == 1  # by its bytes it fits in one shard
+    words = got.assign(tokens=[len(text[d].split()) for d in got.doc_id]).groupby("shard").tokens.sum()
+    assert words.max() < 1.05 * words.mean()
+
+
+def test_all_measures_are_even_on_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    got = shard_documents(docs, 24).toPandas()
+    words = docs.select("doc_id", F.size(F.split(F.trim(F.coalesce("text", F.lit(""))), r"\s+")).alias("words")).toPandas().drop_duplicates("doc_id")
+    got = got.merge(words, on="doc_id")
+    for measure in (got.groupby("shard")["size"].sum(), got.groupby("shard").words.sum(), got.groupby("shard").doc_id.count()):
+        assert len(measure) == 24 and 0.98 * measure.mean() < measure.min() and measure.max() < 1.02 * measure.mean()
+
+
+def test_groups_up_to_a_share_stay_whole(spark):
+    rows = [(k, f"text {k} " + "pad " * (k * 7 % 40), None, None) for k in range(3000)]
+    total = sum(len(r[1].encode()) + 8 for r in rows)
+    text = "a text that many documents share"
+    for part, shards in ((0.9, 1), (4.0, 4)):  # of a share of 8 shards
+        copies = int(part * total / 8 / (1 - part / 8) / (len(text) + 8))
+        got = placed(spark, rows + [(10_000 + k, text, None, None) for k in range(copies)], 8)
+        assert got[got.doc_id >= 10_000].shard.nunique() >= shards and (part > 1 or got[got.doc_id >= 10_000].shard.nunique() == 1)
+        sums = got.groupby("shard")["size"].sum()
+        assert len(sums) == 8 and sums.max() < 1.01 * sums.mean()
 
 
 def test_equal_texts_stay_together(spark):
