@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexloom.operators.components import components
 from hexloom.tables import written
 
 
@@ -92,22 +93,11 @@ def expectations(actual: DataFrame, expected: DataFrame, key: str = "metric") ->
 
 
 def components_of_edges(edges: DataFrame, name: str = "components") -> DataFrame:
-    """For every node of an edge table (a, b) the smallest node of its component: node, component.
-
-    Each round ties every node to the smallest label around it and then to that label's own label; rounds are written and
-    grow with the logarithm of the component's width.
-    """
-    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), name)
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), name)
-    while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        next_ = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "near").alias("label"), F.col("label").alias("before"))
-        up = next_.select(F.col("node").alias("up"), F.col("label").alias("over"))
-        moved = next_.join(up, F.col("label") == F.col("up")).select("node", F.least("label", "over").alias("label"), "before")
-        moved = written(moved, name)
-        labels = moved.select("node", "label")
-        if moved.where("label <> before").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+    """For every node of an edge table (a, b) the smallest node of its component: node, component. Edges with a null end count for nothing."""
+    given = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u is not null and v is not null").distinct(), name)
+    found = components(given, name)
+    nodes = given.select(F.col("u").alias("node")).union(given.select("v")).distinct()
+    return nodes.join(found, F.col("node") == F.col("u"), "left").select("node", F.coalesce("v", "node").alias("component"))
 
 
 def capped_clusters(nodes: DataFrame, edges: DataFrame, limit_m: float, diameter_m: float) -> DataFrame:
