@@ -2,45 +2,26 @@
 
 from __future__ import annotations
 
-import posixpath
-import tempfile
-import uuid
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from ..tables import fresh_dir, written  # noqa: F401
 
 #: Bytes of a record batch that Spark hands to Python; keeps very long texts from filling a worker.
 BATCH_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see, from ``spark.checkpoint.dir``.
-
-    A folder of our own is set only where the session names none, as in a local test.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return posixpath.join(shared_dir(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back: lineage ends there and no executor holds it alone."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound the record batches of this session's Python operators by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def row_keys(key: str, text: str) -> list[Column]:
+    """Two hashes of a row's key and text; equal rows, and those alone, have both in common."""
+    parts = [F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text)]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts[::-1])]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table by its name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

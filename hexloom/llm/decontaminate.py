@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import row_keys, small_batches, written
 from .wordhash import Chunk, chunks, hash_of, range_hashes, shingle_hashes
 
 #: Words of a window, and the least number of words in it; in a window of a template that many are no placeholders.
@@ -257,3 +257,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     schema = f"doc {doc_type}, item {item_type}, covered double, slots int, exchanged int, kind string"
     found = joined.groupBy("doc", F.pmod(F.xxhash64("item"), F.lit(16)).alias("part")).applyInPandas(align, schema)
     return found.select(F.col("doc").alias(key), F.col("item").alias(item), "covered", "slots", "exchanged", "kind")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no passage of a benchmark item, as ``contaminated`` finds them.
+
+    Rows are told apart by key and text, so of two texts under one key, or of rows with a null key, those that
+    hold a passage go and the others stay. Rows with a null or blank text stay.
+    """
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.withColumn("\0row", F.concat_ws(":", *row_keys(key, text)))
+    leaks = contaminated(rows, benchmark, "\0row", text, item, item_text).select("\0row").distinct()
+    return rows.join(leaks, "\0row", "left_anti").select(*names)

@@ -31,9 +31,8 @@ about n squared over 2^65, below 3 in 100 for 10^9 entries.
 from __future__ import annotations
 
 import functools
-import os
 import posixpath
-import tempfile
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +51,10 @@ from .warc import filesystem
 SHARD_TOKENS = 4_000_000
 #: Tokens after which a map task passes its counts on.
 FLUSH_TOKENS = 2_000_000
+#: Shards that counts are cut into at once, shards of the word table at most, and bytes of text whose counts are one part of a range of shards.
+FANOUT, WORD_SHARDS, PART_BYTES = 1024, 4096, 256 << 20
+#: Files that a worker maps at once, and bytes of files that it keeps where they cannot be mapped.
+MAPPED, KEPT_BYTES = 4096, 256 << 20
 #: Hashes of what is no word: the begin and the end of a text. No word holds a blank.
 BEGIN, END = (xxhash.xxh64_intdigest(s) for s in (b" begin", b" end"))
 _WORD_FIELDS = ("count", "ends", "once", "twice", "more", "all")
@@ -112,6 +115,7 @@ class Model:
 
     path: str
     shards: int
+    word_shards: int
     tokens: int  # N: all training tokens
     types: int  # V: different training tokens
     ends: int  # N(. .): different bigrams
@@ -129,18 +133,63 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(d if 0 < d <= k else 0.5 for k, d in enumerate(found, 1))
 
 
-def _write(path: str, name: str, arrays: list[np.ndarray]) -> None:
-    """Arrays end to end, preceded by the number of entries; whole or not at all."""
+def _write(path: str, name: str, arrays: list[np.ndarray], large: int = 0) -> None:
+    """Arrays end to end, preceded by the number of entries and of large counts; whole or not at all."""
     fs, base = filesystem(path)
     fs.create_dir(base, recursive=True)
     draft = posixpath.join(base, f".{name}.{TaskContext.get().taskAttemptId()}")
     with fs.open_output_stream(draft, compression=None) as out:
-        out.write(np.array([len(arrays[0])], np.int64).tobytes())
+        out.write(np.array([len(arrays[0]), large], np.int64).tobytes())
         for a in arrays:
             out.write(np.ascontiguousarray(a).data)
     fs.move(draft, posixpath.join(base, name))
 
 
+@dataclass
+class Counts:
+    """Bigrams in order of their hashes: hash, left and right word, count."""
+
+    key: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    n: np.ndarray
+
+    @staticmethod
+    def of(left: list[np.ndarray], right: list[np.ndarray], n: list[np.ndarray]) -> Counts:
+        """Counts of equal bigrams added up."""
+        left, right, n = (np.concatenate(x) for x in (left, right, n))
+        key = bigram_hash(left, right)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        return Counts(key[first], left[order][first], right[order][first], np.add.reduceat(n[order], first))
+
+    def packed(self, cut: np.ndarray) -> pd.DataFrame:
+        """A row for each run of one number in ``cut``: the number, and the bigrams as arrays, a left word once for all bigrams that it starts."""
+        rows = []
+        first = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
+        for a, b in zip(first, np.r_[first[1:], len(cut)]):
+            by = np.argsort(self.left[a:b], kind="stable")
+            words, begins = np.unique(self.left[a:b][by], return_index=True)
+            runs, n = np.diff(np.r_[begins, b - a]).astype(np.uint32), self.n[a:b][by]
+            rows.append((int(cut[a]), words.tobytes(), runs.tobytes(), self.right[a:b][by].tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes(), n[n >= 255].astype(np.int64).tobytes()))
+        return pd.DataFrame(rows, columns=["shard", "words", "runs", "right", "n", "large"])
+
+    @staticmethod
+    def unpacked(pdf: pd.DataFrame) -> Counts:
+        lefts, rights, ns = [], [], []
+        for r in pdf.itertuples(index=False):
+            lefts.append(np.repeat(np.frombuffer(r.words, np.uint64), np.frombuffer(r.runs, np.uint32)))
+            rights.append(np.frombuffer(r.right, np.uint64))
+            n = np.frombuffer(r.n, np.uint8).astype(np.int64)
+            n[n == 255] = np.frombuffer(r.large, np.int64)
+            ns.append(n)
+        return Counts.of(lefts, rights, ns)
+
+
+_PACKED = "shard int, words binary, runs binary, right binary, n binary, large binary"
+
+
 def train(docs: DataFrame, text: str = "text") -> Model:
     """Count the model over all rows of ``docs``. A null text is an empty one, which still has its end.
 
@@ -152,33 +201,17 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     # Characters over six is about the number of words; it only sets the number of shards.
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     shards = max(4, -(-size // (6 * SHARD_TOKENS)))
+    word_shards, fanout = min(shards, WORD_SHARDS), FANOUT
+    width = -(-shards // fanout)  # shards of a range
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list = []
         have = 0
 
         def flush() -> pd.DataFrame:
-            keys, cols = [], [[], [], []]
-            for left, right, n in held:
-                keys.append(bigram_hash(left, right))
-                for c, x in zip(cols, (left, right, n)):
-                    c.append(x)
-            key = np.concatenate(keys)
-            order = np.argsort(key, kind="stable")
-            key, left, right, n = key[order], *(np.concatenate(c)[order] for c in cols)
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            n = np.add.reduceat(n, first)
-            key, left, right = key[first], left[first], right[first]
+            counts = Counts.of(*zip(*held))
             held.clear()
-            cuts = np.searchsorted(_shard(key, shards), np.arange(shards + 1))
-            rows = []
-            for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if a < b:
-                    by = np.argsort(left[a:b], kind="stable")  # a left word once for all bigrams that it starts
-                    words, begins = np.unique(left[a:b][by], return_index=True)
-                    runs = np.diff(np.r_[begins, b - a]).astype(np.uint32)
-                    rows.append((s, words.tobytes(), runs.tobytes(), right[a:b][by].tobytes(), np.minimum(n[a:b][by], 255).astype(np.uint8).tobytes(), n[a:b][by][n[a:b][by] >= 255].astype(np.int64).tobytes()))
-            return pd.DataFrame(rows, columns=["shard", "words", "runs", "right", "n", "large"])
+            return counts.packed(_shard(counts.key, shards) // np.uint64(width))
 
         for batch in batches:
             run, table, sizes = token_ids(batch["text"])
@@ -193,39 +226,33 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         if held:
             yield flush()
 
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts = Counts.unpacked(pdf)
+        return counts.packed(_shard(counts.key, shards))
+
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        shard = int(pdf["shard"].iloc[0])
-        lefts, rights, ns = [], [], []
-        for r in pdf.itertuples(index=False):
-            lefts.append(np.repeat(np.frombuffer(r.words, np.uint64), np.frombuffer(r.runs, np.uint32)))
-            rights.append(np.frombuffer(r.right, np.uint64))
-            n = np.frombuffer(r.n, np.uint8).astype(np.int64)
-            n[n == 255] = np.frombuffer(r.large, np.int64)
-            ns.append(n)
-        left, right, n = (np.concatenate(x) for x in (lefts, rights, ns))
-        key = bigram_hash(left, right)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        n = np.add.reduceat(n[order], first)
-        key, left, right = key[first], left[order][first], right[order][first]
-        _write(path, f"bigrams-{shard:06d}", [key, np.minimum(n, 255).astype(np.uint8), n[n >= 255]])
+        counts = Counts.unpacked(pdf)
+        n, large = counts.n, np.flatnonzero(counts.n >= 255)
+        _write(path, f"bigrams-{int(pdf['shard'].iloc[0]):08d}", [counts.key, large, n[large], np.minimum(n, 255).astype(np.uint8)], len(large))
         # For each word: as a right word its count and the bigrams it ends, as a left word the bigrams it starts and their tokens.
         ones = np.ones(len(n), np.int64)
         zero = np.zeros(len(n), np.int64)
         word, sums = _merge(
-            [right, left],
+            [counts.right, counts.left],
             [[n, zero], [ones, zero], [zero, (n == 1).astype(np.int64)], [zero, (n == 2).astype(np.int64)], [zero, (n >= 3).astype(np.int64)], [zero, n]],
         )
         kinds = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [len(n)]
-        cuts = np.searchsorted(_shard(word, shards), np.arange(shards + 1))
+        cuts = np.searchsorted(_shard(word, word_shards), np.arange(word_shards + 1))
         rows = []
         for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if a < b:
                 rows.append((s, word[a:b].tobytes(), *[_packed(x[a:b]) for x in sums], kinds if not rows else [0] * 5))
         return pd.DataFrame(rows, columns=["shard", "words", *_WORD_FIELDS, "kinds"])
 
-    packed = docs.select(F.col(text).alias("text")).mapInPandas(count, "shard int, words binary, runs binary, right binary, n binary, large binary")
+    packed = docs.select(F.col(text).alias("text")).mapInPandas(count, _PACKED)
+    if width > 1:
+        parts = max(1, -(-size // (fanout * PART_BYTES)))
+        packed = packed.withColumn("part", F.pmod(F.xxhash64("words", "right"), F.lit(parts))).groupBy("shard", "part").applyInPandas(split, _PACKED)
     fields = ", ".join(f"{c} binary" for c in _WORD_FIELDS)
     parts = packed.groupBy("shard").applyInPandas(reduce, f"shard int, words binary, {fields}, kinds array<bigint>")
 
@@ -233,7 +260,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         keys = [np.frombuffer(w, np.uint64) for w in pdf["words"]]
         columns = [[_unpacked(x, len(k)) for x, k in zip(pdf[c], keys)] for c in _WORD_FIELDS]
         key, sums = _merge(keys, columns)
-        _write(path, f"words-{int(pdf['shard'].iloc[0]):06d}", [key, *[x.astype(kind) for x, kind in zip(sums, _WORD_KINDS)]])
+        _write(path, f"words-{int(pdf['shard'].iloc[0]):08d}", [key, *[x.astype(kind) for x, kind in zip(sums, _WORD_KINDS)]])
         n, ends = sums[:2]
         kinds = np.sum([list(k) for k in pdf["kinds"]], axis=0)
         return pd.DataFrame([[int(n.sum()), int((n > 0).sum()), *[int((ends == k).sum()) for k in (1, 2, 3, 4)], int((ends >= 3).sum()), *map(int, kinds)]], columns=totals)
@@ -243,7 +270,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     t = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals]).first()
     high, low = discounts(*(t[f"k{k}"] for k in range(4))), discounts(*(t[f"e{k}"] for k in range(4)))
     left = low[0] * t["e0"] + low[1] * t["e1"] + low[2] * t["e4"]
-    return Model(path, shards, t["tokens"], t["types"], t["k4"], high, low, left / t["k4"] if t["k4"] else 1.0)
+    return Model(path, shards, word_shards, t["tokens"], t["types"], t["k4"], high, low, left / t["k4"] if t["k4"] else 1.0)
 
 
 def _shard(key: np.ndarray, shards: int) -> np.ndarray:
@@ -252,17 +279,18 @@ def _shard(key: np.ndarray, shards: int) -> np.ndarray:
 
 
 class Arrays:
-    """One file of sorted hashes and numbers, mapped into memory."""
+    """One file of sorted hashes and numbers, as bytes that are mapped or read."""
 
-    def __init__(self, file: str, kinds: list):
-        n = int(np.fromfile(file, np.int64, 1)[0])
-        at = 8
+    def __init__(self, data: np.ndarray, kinds: list):
+        n, m = data[:16].view(np.int64)
+        self.bytes, at = len(data), 16
         self.columns = []
-        for kind in (np.uint64, *kinds):
-            self.columns.append(np.memmap(file, kind, "r", at, (n,)) if n else np.zeros(0, kind))
-            at += n * np.dtype(kind).itemsize
-        rest = (os.path.getsize(file) - at) // 8
-        self.large = np.memmap(file, np.int64, "r", at, (rest,)) if rest else np.zeros(0, np.int64)
+        for kind, size in ((np.uint64, n), *((np.int64, m) for _ in range(2 if m else 0)), *((k, n) for k in kinds)):
+            end = at + int(size) * np.dtype(kind).itemsize
+            self.columns.append(data[at:end].view(kind))
+            at = end
+        self.places, self.large = self.columns[1:3] if m else (np.zeros(0, np.int64),) * 2
+        self.columns = [self.columns[0], *self.columns[3 if m else 1 :]]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For sorted keys: which are there, and the places of those."""
@@ -278,46 +306,59 @@ class Scorer:
     """A model's files as a worker sees them."""
 
     def __init__(self, model: Model):
-        from pyarrow.fs import FileSelector
-
         self.model = model
-        fs, base = filesystem(model.path)
-        names = [x.base_name for x in fs.get_file_info(FileSelector(base, allow_not_found=True)) if not x.base_name.startswith(".")]
-        if fs.type_name != "local":  # no memory map over a remote store: a copy for the life of this worker
-            local = tempfile.mkdtemp()
-            for n in names:
-                with fs.open_input_stream(posixpath.join(base, n)) as source, open(os.path.join(local, n), "wb") as out:
-                    while block := source.read(1 << 20):
-                        out.write(block)
-            base = local
-        self.words = {int(n[6:]): Arrays(os.path.join(base, n), _WORD_KINDS) for n in names if n.startswith("words-")}
-        self.bigrams = {int(n[8:]): Arrays(os.path.join(base, n), [np.uint8]) for n in names if n.startswith("bigrams-")}
-        # Counts from 255 on are at the end of the file, in order.
-        self.full = {s: np.flatnonzero(a.columns[1] == 255) for s, a in self.bigrams.items()}
+        self.fs, self.base = filesystem(model.path)
+        self.local = self.fs.type_name == "local"
+        self.open: OrderedDict[str, Arrays | None] = OrderedDict()
+
+    def arrays(self, name: str, kinds: list) -> Arrays | None:
+        """A file of the model, None if there is none; those used last stay open."""
+        if name in self.open:
+            self.open.move_to_end(name)
+            return self.open[name]
+        path = posixpath.join(self.base, name)
+        try:
+            if self.local:
+                found = Arrays(np.memmap(path, np.uint8, "r"), kinds)
+            else:
+                with self.fs.open_input_file(path) as source:
+                    found = Arrays(np.frombuffer(source.read(), np.uint8), kinds)
+        except FileNotFoundError:
+            found = None
+        self.open[name] = found
+        kept = lambda: sum(a.bytes for a in self.open.values() if a)
+        while len(self.open) > 1 and (len(self.open) > MAPPED or not self.local and kept() > KEPT_BYTES):
+            self.open.popitem(last=False)
+        return found
+
+    def shards_of(self, keys: np.ndarray, kind: str, shards: int, kinds: list) -> Iterator[tuple[slice, Arrays]]:
+        """For sorted keys the runs that are in one shard, and its file."""
+        at = _shard(keys, shards)
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else []
+        for a, b in zip(first, np.r_[first[1:], len(at)].astype(int)):
+            found = self.arrays(f"{kind}-{int(at[a]):08d}", kinds)
+            if found:
+                yield slice(a, b), found
 
     def word_numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The six numbers of each word, zero for words never seen."""
         order = np.argsort(hashes)
         keys = hashes[order]
         out = np.zeros((len(hashes), len(_WORD_FIELDS)), np.int64)
-        cuts = np.searchsorted(_shard(keys, self.model.shards), np.arange(self.model.shards + 1))
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if a < b and s in self.words:
-                hit, at = self.words[s].find(keys[a:b])
-                for k in range(len(_WORD_FIELDS)):
-                    out[order[a:b][hit], k] = self.words[s].columns[k + 1][at]
+        for run, words in self.shards_of(keys, "words", self.model.word_shards, list(_WORD_KINDS)):
+            hit, at = words.find(keys[run])
+            for k in range(len(_WORD_FIELDS)):
+                out[order[run][hit], k] = words.columns[k + 1][at]
         return out
 
     def bigram_counts(self, keys: np.ndarray) -> np.ndarray:
         """The counts of bigram hashes in ascending order."""
         out = np.zeros(len(keys), np.int64)
-        cuts = np.searchsorted(_shard(keys, self.model.shards), np.arange(self.model.shards + 1))
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if a < b and s in self.bigrams:
-                hit, at = self.bigrams[s].find(keys[a:b])
-                n = self.bigrams[s].columns[1][at].astype(np.int64)
-                n[n == 255] = self.bigrams[s].large[np.searchsorted(self.full[s], at[n == 255])]
-                out[a:b][hit] = n
+        for run, bigrams in self.shards_of(keys, "bigrams", self.model.shards, [np.uint8]):
+            hit, at = bigrams.find(keys[run])
+            n = bigrams.columns[1][at].astype(np.int64)
+            n[n == 255] = bigrams.large[np.searchsorted(bigrams.places, at[n == 255])]
+            out[run][hit] = n
         return out
 
     def score(self, texts) -> dict[str, np.ndarray]:
@@ -365,14 +406,14 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     made = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double"
     names = [x.split()[0] for x in made.split(", ")]
     own = [f for f in docs.schema.fields if f.name not in names]
-    packed = (model.shards, model.tokens, model.types, model.ends, model.bigram_discounts, model.word_discounts, model.word_left)
+    packed = (model.shards, model.word_shards, model.tokens, model.types, model.ends, model.bigram_discounts, model.word_discounts, model.word_left)
     path = model.path
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 got = scorer(path, packed).score(batch["\0text"])
-                got |= {"train_tokens": packed[1], "perplexity": 10 ** np.minimum(-got["score"] / got["n_tokens"], 300)}
+                got |= {"train_tokens": packed[2], "perplexity": 10 ** np.minimum(-got["score"] / got["n_tokens"], 300)}
                 yield batch.drop(columns="\0text").assign(**{n: got[n] for n in names})
 
     schema = StructType([*own, *StructType.fromDDL(made).fields])

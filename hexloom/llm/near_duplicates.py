@@ -32,12 +32,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from .common import small_batches, written
-from .components import components
+from .common import row_keys, small_batches, written
+from ..operators.components import components
 from .wordhash import chunks, shingle_hashes
 
 WORDS, THRESHOLD = 5, 0.8
@@ -101,12 +101,6 @@ def shortened(shingles: int, threshold: float = THRESHOLD) -> int:
     return prefix_length(least_link(max(shingles, 1), threshold))
 
 
-def row_keys(key: str, text: str) -> list[Column]:
-    """Two hashes of a row's key and text; equal rows, and those alone, have both in common."""
-    parts = [F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text)]
-    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts[::-1])]
-
-
 _TIE = "u bigint, v bigint, part int, length int, tree int, high bigint, low bigint"
 
 

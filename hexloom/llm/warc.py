@@ -1,8 +1,9 @@
 """WARC archives: writing with revisit records, and a Spark data source that reads them.
 
-Writing: equal payloads of a least size are stored once. A native aggregation by
-digest finds the record that keeps the payload; the others are revisits that
-refer to it. Each task writes one archive under a name of its own attempt and
+Writing: equal payloads of a least size are stored once. A native aggregation of digests
+finds the record that keeps the payload; the others are revisits that
+refer to it. No payload travels by its digest: where digests that several records have are few, they are
+broadcast; else the revisits, without payloads, are found first and joined to the rows by key and digest. Each task writes one archive under a name of its own attempt and
 then renames it, so that a repeated task leaves one whole file.
 
 Every record is a gzip member that says its own length in an extra field, as the
@@ -31,10 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringStartsWith
 from pyspark.sql.types import StructType
 
-from .common import small_batches
+from .common import small_batches, written
 
 #: Payloads below so many bytes are always stored.
 LEAST_SHARED = 1000
+#: Bytes of the table of shared digests up to which it is broadcast, and bytes that a digest takes there.
+BROADCAST_BYTES, DIGEST_BYTES = 32 << 20, 160
 #: The date of records of pages that have none.
 NO_DATE = "1970-01-01T00:00:00Z"
 #: Bytes that a reader takes at first, which hold the headers of most records, and bytes of files in a partition.
@@ -83,15 +86,16 @@ def planned_records(pages: DataFrame, key: str = "page_id", url: str = "url", ht
     """The record of every page: id, url, html, digest, length, kind and refers_to."""
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"), body.alias("html"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("length"))
-    kept = (
-        rows.where((F.col("length") >= least) & F.col("id").isNotNull())
-        .groupBy("digest")
-        .agg(F.max("id").alias("keeper"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
-    )
-    revisit = F.col("keeper").isNotNull() & F.col("id").isNotNull() & (F.col("id") != F.col("keeper")) & (F.col("length") >= least)
-    return rows.join(kept, "digest", "left").select(
+    shared = (F.col("length") >= least) & F.col("id").isNotNull()
+    known = rows.select("id", "digest", "length")
+    kept = written(known.where(shared).groupBy("digest").agg(F.max("id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-digests")
+    if kept.count() * DIGEST_BYTES <= BROADCAST_BYTES:
+        rows = rows.join(F.broadcast(kept), "digest", "left")
+    else:
+        again = written(known.where(shared).join(kept, "digest").where("id != keeper").select("id", "digest", "keeper").distinct(), "warc-revisits")
+        rows = rows.join(again, ["id", "digest"], "left")
+    revisit = F.col("keeper").isNotNull() & shared & (F.col("id") != F.col("keeper"))
+    return rows.select(
         "id", "url", F.when(revisit, F.lit(b"")).otherwise(F.col("html")).alias("html"), "digest", "length",
         F.when(revisit, "revisit").otherwise("response").alias("kind"), F.when(revisit, F.col("keeper")).alias("refers_to"),
     )
@@ -133,6 +137,8 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
 
 
 class Files(InputPartition):
+    """The archives of one partition."""
+
     def __init__(self, files: list[str]):
         super().__init__(files)
         self.files = files

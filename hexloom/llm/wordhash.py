@@ -15,8 +15,8 @@ import numpy as np
 
 #: White space beyond ASCII.
 SPACES = "\x85\xa0                　"
-#: Bytes of text taken at once, unless one text has more.
-CHUNK = 1 << 20
+#: Bytes of text taken at once, unless one text has more, and bytes of it that running sums are kept for.
+CHUNK = PIECE = 1 << 20
 
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
@@ -26,10 +26,10 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of the multiplier and of its inverse."""
+    """The first powers, ``PIECE`` at most, of the multiplier and of its inverse."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_P, _INVERSE)):
-            steps = np.full(max(n, 1 << 16), base, np.uint64)
+            steps = np.full(min(max(n, 1 << 16), PIECE + 1), base, np.uint64)
             steps[0] = 1
             with np.errstate(over="ignore"):
                 _powers[k] = np.cumprod(steps, dtype=np.uint64)
@@ -45,12 +45,27 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each range of bytes, wherever in the data it is."""
-    up, down = _powers_of(len(data) + 1)
+    """A 64-bit hash of each range of bytes, wherever in the data it is; starts and ends are in order.
+
+    The running sums are made for ``PIECE`` bytes at once, so a long text takes no more memory for them than a short one.
+    """
+    before, after, down = (np.zeros(len(starts), np.uint64) for _ in range(3))
+    carry = np.uint64(0)
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        for at in range(0, len(data) or 1, PIECE):
+            part = data[at : at + PIECE]
+            up, inverse = _powers_of(len(part) + 1)
+            base, undone = (np.uint64(pow(x, at, 1 << 64)) for x in (_P, _INVERSE))
+            sums = np.empty(len(part) + 1, np.uint64)
+            sums[0] = carry
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+            sums[1:] = sums[1:] * base + carry
+            a, b = np.searchsorted(starts, (at, at + PIECE))
+            before[a:b], down[a:b] = sums[starts[a:b] - at], inverse[starts[a:b] - at] * undone
+            a, b = np.searchsorted(ends, (at, at + PIECE), "right") if at else (0, np.searchsorted(ends, PIECE, "right"))
+            after[a:b] = sums[ends[a:b] - at]
+            carry = sums[-1]
+        return mix((after - before) * down + (ends - starts).astype(np.uint64))
 
 
 def hash_of(word: str) -> int:

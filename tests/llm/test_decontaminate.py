@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from hexloom.llm.decontaminate import LITERAL, NAME, NUM, UNIT, bit_array, contaminated, maybe, template
+from hexloom.llm.decontaminate import LITERAL, NAME, NUM, UNIT, bit_array, clean, contaminated, maybe, template
+from hexloom.llm import wordhash
 from hexloom.llm.wordhash import chunks, hash_of
 import numpy as np
 
@@ -91,3 +92,24 @@ def test_slots_must_be_consistent(spark):
     mixed = " ".join(w + (f" {r.randrange(1000)}" if k % 3 == 0 else "") for k, w in enumerate(words))
     d = spark.createDataFrame([(1, same), (2, mixed)], "doc_id long, text string")
     assert pairs(contaminated(d, spark.createDataFrame([(9, item)], "item_id long, text string"))) == [(1, 9, "reparameterised")]
+
+
+def test_rows_that_stay(spark):
+    rows = [(1, FILLER + ITEM, "a"), (1, FILLER, "b"), (None, ITEM, "c"), (None, FILLER, "d"), (2, None, "e"), (2, None, "e"), (3, "", "f"), (3, FILLER, "g"), (3, FILLER, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item string")
+    bench = spark.createDataFrame([(100, ITEM)], "item_id long, text string")
+    kept = clean(docs, bench)
+    assert kept.columns == docs.columns and sorted(r["item"] for r in kept.collect()) == list("bdeefgg")
+    assert clean(docs.where(F.lit(False)), bench).count() == 0 and clean(docs, bench.where(F.lit(False))).count() == len(rows)
+
+
+def test_a_long_text_is_hashed_in_pieces(monkeypatch):
+    text = " ".join(f"word{k % 37}é" for k in range(5000))
+    (whole,) = chunks([text])
+    want = whole.hashes()
+    assert want[3] == hash_of("word3é") and want[0] == want[37]
+    for piece in (64, 1000, 4097):
+        monkeypatch.setattr(wordhash, "PIECE", piece)
+        monkeypatch.setattr(wordhash, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+        assert (whole.hashes() == want).all()
+        assert hash_of("word3é") == want[3]

@@ -53,8 +53,12 @@ def corpus(n=120):
     return [" ".join(r.choice(words[: r.choice([5, 20, 63])]) for _ in range(r.randint(0, 40))) for _ in range(n)]
 
 
-def test_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("fanout", [1024, 3])
+def test_against_brute_force(spark, monkeypatch, fanout):
     monkeypatch.setattr(lm, "SHARD_TOKENS", 40)
+    monkeypatch.setattr(lm, "FANOUT", fanout)  # with 3 the counts take two steps to their shards
+    monkeypatch.setattr(lm, "WORD_SHARDS", 7)
+    monkeypatch.setattr(lm, "PART_BYTES", 1000)
     texts = [*corpus(), "hot pair " * 700]
     test = [*texts[:10], "unseen words only here", "w1 unseen w2", None, "", "The\x0bTHE x É", "w1 " * 30_000]
     brute = Brute(texts)
@@ -81,3 +85,13 @@ def test_empty_and_repeated(spark):
     assert score(docs.where(F.lit(False)), train(docs)).count() == 0
     assert train(docs).tokens == 7
     assert BEGIN != END
+
+
+def test_files_that_cannot_be_mapped(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 40)
+    model = train(spark.createDataFrame([(t,) for t in corpus()], "text string"))
+    mapped, read = lm.Scorer(model), lm.Scorer(model)
+    read.local = False
+    monkeypatch.setattr(lm, "KEPT_BYTES", 3000)
+    a, b = (s.score(corpus()[:20]) for s in (mapped, read))
+    assert all((a[k] == b[k]).all() for k in a) and len(read.open) < len(mapped.open)

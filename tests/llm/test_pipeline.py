@@ -77,4 +77,8 @@ def test_empty_and_null_rows(spark, docs):
     odd = spark.createDataFrame([(None, "the of and by with", "en", None, None), (None, None, None, None, None), (7, "the of and by with", None, "s", 1), (7, "the of and by with", None, "s", 1)], docs.schema)
     kept = cp.one_of_each_group(spark, odd, SF).collect()
     assert sum(r.doc_id == 7 for r in kept) == 1
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    twice = spark.createDataFrame([(5, item, "en", "s", 1), (5, "an other text under the same key of this table", "en", "s", 2), (None, item, "en", "s", 3), (None, "a text that has no key at all here", "en", "s", 4)], docs.schema)
+    assert sorted(r.n_chars for r in cp.no_benchmark(spark, twice, SF).collect()) == [2, 4]
+    assert sorted(r.n_chars for r in cp.one_of_each_group(spark, twice, SF).collect()) == [1, 2, 4]
     assert cp.no_benchmark(spark, odd, SF).count() == 4 and cp.tokens(spark, odd, SF).count() == 4

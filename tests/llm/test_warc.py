@@ -2,8 +2,10 @@ import gzip
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from hexloom.llm import warc
 from hexloom.llm.common import fresh_dir
 from hexloom.llm.warc import read_warc, write_warc
 
@@ -15,7 +17,9 @@ ROWS = [
 SCHEMA = "page_id long, url string, html string, digest string"
 
 
-def test_round_trip(spark):
+@pytest.mark.parametrize("broadcast", [32 << 20, 0])
+def test_round_trip(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", broadcast)
     path = fresh_dir(spark, "warc")
     assert write_warc(spark.createDataFrame(ROWS, SCHEMA).repartition(3), path) == len(ROWS)
     got = read_warc(spark, path).toPandas()
