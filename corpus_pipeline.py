@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hexloom.llm import language_id
 from hexloom.llm.bpe import encode_and_decode
 from hexloom.llm.common import table, written
-from hexloom.llm.decontaminate import contaminated
+from hexloom.llm.decontaminate import clean
 from hexloom.llm.near_duplicates import one_of_each_class
 from hexloom.llm.queries import vocabulary_path
 
@@ -37,9 +37,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark, as it is or re-parameterised."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no passage of the benchmark, as it is or re-parameterised; those without a doc_id or text too."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
