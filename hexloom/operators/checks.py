@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ def coverage_class(reference_only: Column, own_only: Column, area: Column, absol
 
 
 def coverage_quality(ratio: Column, full: float = 0.98, partial: float = 0.5) -> Column:
+    """NONE, FULL, PARTIAL or LOW by the part of a cell that is covered; null counts as nothing."""
     return F.when(F.coalesce(ratio, F.lit(0.0)) <= 0, "NONE").when(ratio >= full, "FULL").when(ratio >= partial, "PARTIAL").otherwise("LOW")
 
 
@@ -100,38 +103,48 @@ def components_of_edges(edges: DataFrame, name: str = "components") -> DataFrame
     return nodes.join(found, F.col("node") == F.col("u"), "left").select("node", F.coalesce("v", "node").alias("component"))
 
 
+#: Directions that a cluster's extent is kept in.
+DIRECTIONS = 16
+
+
 def capped_clusters(nodes: DataFrame, edges: DataFrame, limit_m: float, diameter_m: float) -> DataFrame:
     """Single-link clusters in ascending order of distance whose diameter stays below a cap: id, cluster (the smallest id).
 
-    ``nodes`` has id, x, y; ``edges`` a, b, distance_m. Components of the edges within the limit are blocks that no merge leaves;
-    each block is merged on its own, so blocks are spread over the cluster.
+    ``nodes`` has id, x, y; ``edges`` a, b, distance_m; of equal distances the smaller a, then b, comes first. The result is that
+    of joining clusters edge by edge in that order, leaving out an edge whose clusters would be wider than the cap together.
+
+    An edge that is the first one left of both its clusters can be judged before all others, as no earlier one touches either. So in
+    each round all such edges are judged at once: those that fit join their clusters, the others go with all edges between the
+    two, which can only grow. Extents in some directions decide most pairs; for the rest the widest pair of members is looked
+    up by a join. Rounds are written tables; no task holds a cluster.
     """
-    import numpy as np
-    import pandas as pd
-
-    close = edges.where(F.col("distance_m") <= limit_m)
-    blocks = components_of_edges(close.select("a", "b"), "blocks")
-    members = nodes.join(blocks.withColumnRenamed("node", "id"), "id", "left").withColumn("block", F.coalesce("component", "id")).select("block", "id", "x", "y")
-    inside = close.join(blocks.select(F.col("node").alias("a"), F.col("component").alias("block")), "a").select("block", "a", "b", "distance_m")
-
-    def merge(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        ids = left["id"].tolist()
-        at = {i: k for k, i in enumerate(ids)}
-        xy = left[["x", "y"]].to_numpy(float)
-        groups = {k: [k] for k in range(len(ids))}
-        own = list(range(len(ids)))
-        for r in right.sort_values(["distance_m", "a", "b"]).itertuples(index=False):
-            p, q = own[at[r.a]], own[at[r.b]]
-            if p == q:
-                continue
-            both = groups[p] + groups[q]
-            d = xy[both][:, None, :] - xy[both][None, :, :]
-            if np.sqrt((d**2).sum(axis=2)).max() <= diameter_m:
-                groups[p] = both
-                for k in groups.pop(q):
-                    own[k] = p
-        least = {p: min(ids[k] for k in g) for p, g in groups.items()}
-        return pd.DataFrame({"id": ids, "cluster": [least[p] for p in own]})
-
-    kind = nodes.schema["id"].dataType.simpleString()
-    return members.groupBy("block").cogroup(inside.groupBy("block")).applyInPandas(merge, f"id {kind}, cluster {kind}")
+    turns = [math.pi * k / DIRECTIONS for k in range(DIRECTIONS)]
+    along = [F.col("x") * math.cos(t) + F.col("y") * math.sin(t) for t in turns]
+    own = written(nodes.select("id", F.col("id").alias("cluster"), "x", "y"), "clusters")
+    left = edges.where((F.col("distance_m") <= limit_m) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"), F.struct("distance_m", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).alias("o"))
+    left = written(left.groupBy("p", "q").agg(F.min("o").alias("o")), "clusters-edges")
+    while not left.isEmpty():
+        ends = left.select(F.col("p").alias("c"), "o").unionByName(left.select(F.col("q").alias("c"), "o"))
+        first = written(ends.groupBy("c").agg(F.min("o").alias("o")), "clusters-first")
+        at = lambda c: first.select(F.col("c").alias(c), F.col("o").alias(f"o{c}"))  # noqa: B023, E731
+        judged = left.join(at("p"), "p").where(F.col("o") == F.col("op")).join(at("q"), "q").where(F.col("o") == F.col("oq")).select("p", "q")
+        extent = own.groupBy("cluster").agg(*[f(c).alias(f"{n}{k}") for k, c in enumerate(along) for f, n in ((F.min, "l"), (F.max, "h"))])
+        extent = written(extent, "clusters-extents")
+        side = lambda c: extent.select(F.col("cluster").alias(c), *[F.col(x).alias(f"{c}{x}") for x in extent.columns[1:]])  # noqa: B023, E731
+        widths = [F.greatest(f"ph{k}", f"qh{k}") - F.least(f"pl{k}", f"ql{k}") for k in range(DIRECTIONS)]
+        # In the direction of the widest pair the extent is its distance; the next direction kept is half a step off at most.
+        judged = written(judged.join(side("p"), "p").join(side("q"), "q").select("p", "q", F.greatest(*widths).alias("width")), "clusters-judged")
+        sure = F.col("width") / math.cos(math.pi / (2 * DIRECTIONS)) <= diameter_m
+        unsure = judged.where(~sure & (F.col("width") <= diameter_m))
+        member = lambda c: own.select(F.col("cluster").alias(c), F.col("x").alias(f"x{c}"), F.col("y").alias(f"y{c}"))  # noqa: B023, E731
+        wide = unsure.join(member("p"), "p").join(member("q"), "q").where(F.hypot(F.col("xp") - F.col("xq"), F.col("yp") - F.col("yq")) > diameter_m).select("p", "q").distinct()
+        too_wide = judged.where(F.col("width") > diameter_m).select("p", "q").unionByName(wide)
+        judged = written(judged.select("p", "q").join(too_wide.withColumn("refused", F.lit(True)), ["p", "q"], "left").select("p", "q", F.coalesce("refused", F.lit(False)).alias("refused")), "clusters-decided")
+        joined = judged.where("not refused").select(F.col("q").alias("cluster"), F.col("p").alias("into"))
+        own = written(own.join(joined, "cluster", "left").select("id", F.coalesce("into", "cluster").alias("cluster"), "x", "y"), "clusters")
+        kept = left.join(judged.select("p", "q"), ["p", "q"], "left_anti")
+        for c in ("p", "q"):
+            kept = kept.join(joined.select(F.col("cluster").alias(c), "into"), c, "left").withColumn(c, F.coalesce("into", c)).drop("into")
+        kept = kept.where("p <> q").select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "o")
+        left = written(kept.groupBy("p", "q").agg(F.min("o").alias("o")), "clusters-edges")
+    return own.select("id", "cluster")

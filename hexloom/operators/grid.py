@@ -53,6 +53,53 @@ def in_chunk(lon: Column, lat: Column, west: float, south: float, step: float, n
     return F.when(inside, ix).cast("int"), F.when(inside, iy).cast("int")
 
 
+def hexes_of_boxes(boxes: DataFrame, grid: GridSpec) -> DataFrame:
+    """The cells (q, r) whose middle lies in each box (min_x, min_y, max_x, max_y and whatever else it has), its borders included. Null boxes have none."""
+    pointy = grid.orientation == "pointy"
+    axes = ("x", grid.origin_x), ("y", grid.origin_y)
+    (inner, inner_at), (outer, outer_at) = axes if pointy else axes[::-1]
+    step, wide = 1.5 * grid.side, grid.flat_to_flat
+    low, high = F.ceil((F.col(f"min_{outer}") - outer_at) / step - 1e-9), F.floor((F.col(f"max_{outer}") - outer_at) / step + 1e-9)
+    rows = boxes.where(low <= high).withColumn("a", F.explode(F.sequence(low, high)))
+    half = F.col("a") / 2.0
+    low, high = F.ceil((F.col(f"min_{inner}") - inner_at) / wide - half - 1e-9), F.floor((F.col(f"max_{inner}") - inner_at) / wide - half + 1e-9)
+    cells = rows.where(low <= high).withColumn("b", F.explode(F.sequence(low, high)))
+    return cells.withColumns({"q": F.col("b" if pointy else "a"), "r": F.col("a" if pointy else "b")}).drop("a", "b")
+
+
+def chunk_boxes(spark: SparkSession, box: tuple[float, float, float, float], nx: int, ny: int) -> DataFrame:
+    """A projected box (min_x, min_y, max_x, max_y) cut into chunks: chunk_id, its box, and whether it is in the last column or row."""
+    wide, high = (box[2] - box[0]) / nx, (box[3] - box[1]) / ny
+    cells = spark.range(nx * ny).select((F.col("id") % nx).alias("ix"), F.floor(F.col("id") / nx).alias("iy"))
+    return cells.select(
+        F.format_string("c_%03d_%03d", "ix", "iy").alias("chunk_id"), (box[0] + F.col("ix") * wide).alias("min_x"), (box[1] + F.col("iy") * high).alias("min_y"),
+        F.when(F.col("ix") == nx - 1, box[2]).otherwise(box[0] + (F.col("ix") + 1) * wide).alias("max_x"), F.when(F.col("iy") == ny - 1, box[3]).otherwise(box[1] + (F.col("iy") + 1) * high).alias("max_y"),
+        (F.col("ix") == nx - 1).alias("last_column"), (F.col("iy") == ny - 1).alias("last_row"),
+    )
+
+
+def hexes_of_chunks(chunks: DataFrame, grid: GridSpec) -> DataFrame:
+    """The cells of each chunk by their middle: boxes are open at their upper ends but for those of the last column and row (chunk_id, q, r)."""
+    cells = hexes_of_boxes(chunks, grid)
+    x, y = grid.centre(F.col("q"), F.col("r"))
+    return cells.where((F.col("last_column") | (x < F.col("max_x"))) & (F.col("last_row") | (y < F.col("max_y")))).select("chunk_id", "q", "r")
+
+
+def seam_faults(whole: DataFrame, chunked: DataFrame) -> DataFrame:
+    """One row: cells of the whole, those that no chunk has, those that several have, and those of chunks alone."""
+    both = whole.select("q", "r", F.lit(1).alias("w")).join(chunked.groupBy("q", "r").agg(F.count("*").alias("n")), ["q", "r"], "full")
+    return both.agg(
+        F.count("w").alias("hexes"), F.count_if(F.col("n").isNull()).alias("missing"), F.count_if(F.col("n") > 1).alias("doubled"), F.count_if(F.col("w").isNull()).alias("strays"),
+    )
+
+
+def without_dateline(boxes: DataFrame) -> DataFrame:
+    """Boxes of degrees (west, south, east, north) that cross the date line (west above east) as two boxes, one on each side."""
+    crosses = F.col("west") > F.col("east")
+    sides = F.when(crosses, F.array(F.struct(F.col("west").alias("a"), F.lit(180.0).alias("b")), F.struct(F.lit(-180.0).alias("a"), F.col("east").alias("b")))).otherwise(F.array(F.struct(F.col("west").alias("a"), F.col("east").alias("b"))))
+    return boxes.withColumn("side", F.explode(sides)).withColumns({"west": F.col("side.a"), "east": F.col("side.b")}).drop("side")
+
+
 def edge_graph(hexes: DataFrame, grid: GridSpec) -> DataFrame:
     """The sides of a set of pointy cells, each once: edge_id, its two nodes in lattice units, hex_a below hex_b (null on the border).
 

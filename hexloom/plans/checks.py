@@ -52,21 +52,27 @@ register("p27_representation", lambda s, d: lay(s, d).select("hex_id", k.represe
 register("t02_top_and_above", lambda s, d: k.top_and_above(s.read.parquet(f"{d}/orders.parquet").selectExpr("o_orderkey as id", "o_totalprice as err"), "err", "id", 20, 498_000.0).select("id", "err", F.col("rank").cast("bigint")), "with k as (select o_orderkey as id, o_totalprice as err, row_number() over (order by o_totalprice desc, o_orderkey) as rank from orders) select id, err, rank from k where rank <= 20 or err > 498000")
 register("t09_best_with_margin", lambda s, d: k.best_with_margin(hold(s, d).groupBy("polity_id", "hex_id").agg(F.sum("km2").alias("km2")), "polity_id", "hex_id", "km2").select("polity_id", "hex_id", "km2", "margin"), HOLD + ", s as (select polity_id, hex_id, sum(km2) as km2 from holdings group by all), k as (select *, row_number() over w as k, lead(km2) over w - km2 as margin from s window w as (partition by polity_id order by km2, hex_id)) select polity_id, hex_id, km2, margin from k where k = 1")
 register("q16_expectations", lambda s, d: k.expectations(t.metrics_table("r", lay(s, d).agg(F.count("*").alias("hexes"), F.countDistinct("climate").alias("climates"))).select("metric", "value"), s.createDataFrame([("hexes", "2000"), ("climates", "31"), ("lakes", "1")], "metric string, value string")), LAY + ", a as (select cast(count(*) as varchar) as h, cast(count(distinct climate) as varchar) as c from layers) select 'hexes' as metric, '2000' as expected, h as actual, h = '2000' as met from a union all select 'climates', '31', c, c = '31' from a union all select 'lakes', '1', null, false")
+def g07(s, d):
+    edges = s.read.parquet(f"{d}/lineitem.parquet").selectExpr("l_partkey as a", "1000000 + l_suppkey as b")
+    return k.components_of_edges(edges).groupBy("component").agg(F.count("*").alias("nodes"))
+
+
+#: Labels spread eight steps, more than any node of the given tables is from the smallest one; a test holds the query against union-find.
+SPREAD = ", ".join(f"l{n} as (select u.a as node, min(least(p.label, q.label)) as label from u join l{n - 1} p on p.node = u.b join l{n - 1} q on q.node = u.a group by 1)" for n in range(1, 9))
 register(
     "g07_components",
-    lambda s, d: k.components_of_edges(s.read.parquet(f"{d}/lineitem.parquet").where("l_quantity = 1 and l_discount < 0.02").selectExpr("l_partkey as a", "1000000 + l_suppkey as b")).groupBy("component").agg(F.count("*").alias("nodes")),
-    """with recursive e as (select distinct l_partkey as a, 1000000 + l_suppkey as b from lineitem where l_quantity = 1 and l_discount < 0.02), u as (select a, b from e union select b, a from e), r(node, label) as (select a, a from u union select u.b, r.label from r join u on u.a = r.node where r.label < u.b),
-m as (select node, min(label) as component from r group by node) select component, count(*) as nodes from m group by component""",
+    g07,
+    f"""with e as (select distinct l_partkey as a, 1000000 + l_suppkey as b from lineitem where l_partkey is not null and l_suppkey is not null),
+u as (select a, b from e union all select b, a from e), l0 as (select distinct a as node, a as label from u), {SPREAD}
+select label as component, count(*) as nodes from l8 group by 1""",
 )
-#: The whole table, which a recursive flood in SQL cannot afford; a test holds it against union-find.
-register("g07_components_whole", lambda s, d: k.components_of_edges(s.read.parquet(f"{d}/lineitem.parquet").selectExpr("l_partkey as a", "1000000 + l_suppkey as b")).groupBy("component").agg(F.count("*").alias("nodes")))
 
 
 def g09(s, d):
     from hexloom.functions.hexgrid import GridSpec
     from hexloom.operators.points import place_points
 
-    p = place_points(stand_in(s, d, "points"), GridSpec(6000.0)).where("id % 3 = 0").select("id", "x", "y")
+    p = place_points(stand_in(s, d, "points"), GridSpec(6000.0)).select("id", "x", "y")
     cell = lambda c: F.floor(F.col(c) / 4000)
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("i"), F.lit(b).alias("j")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
     a = p.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), near.alias("n")).select("a", "ax", "ay", (F.floor(F.col("ax") / 4000) + F.col("n.i")).alias("cx"), (F.floor(F.col("ay") / 4000) + F.col("n.j")).alias("cy"))

@@ -58,7 +58,31 @@ register("j16_bind_to_land", j16, PT + ", l as (select distinct q, r, centre_x,
 register("j18_region_of_points", lambda s, d: i.region_of_points(placed(s, d).select("id", "x", "y"), placed(s, d).where("id % 2 = 0").select("q", "r", F.concat(F.lit("r"), (F.col("id") % 4).cast("string")).alias("region"), (F.col("id") % 4).alias("region_order")).distinct(), GRID), PT + ", h as (select distinct q, r, id % 4 as o from placed where id % 2 = 0) select p.id, coalesce('r' || min(h.o), 'OUT_OF_REGION_COVERAGE') as region from placed p left join h on h.q = p.q and h.r = p.r group by p.id")
 register("j38_touching_sets", lambda s, d: i.touching(placed(s, d).select((F.col("id") % 200).alias("set_id"), "q", "r")), PT + ", s as (select distinct id % 200 as set_id, q, r from placed) select distinct a.set_id as a, b.set_id as b from s a join s b on a.set_id < b.set_id and greatest(abs(a.q - b.q), abs(a.r - b.r), abs(a.q - b.q + a.r - b.r)) <= 1")
 register("u01_set_difference", lambda s, d: (lambda a, b: a.exceptAll(b).withColumn("side", F.lit("only_first")).unionByName(b.exceptAll(a).withColumn("side", F.lit("only_second"))))(control(s, d).where("target_id % 2 = 0").select("target_id"), control(s, d).where("target_id % 3 = 0").select("target_id")), CO + " select target_id, case when target_id % 2 = 0 then 'only_first' else 'only_second' end as side from control where (target_id % 2 = 0) <> (target_id % 3 = 0)")
-register("u02_seam_check", lambda s, d: g.hexes_covering(s, GRID, 15_440_000.0, 4_150_000.0, 15_470_000.0, 4_180_000.0).join(g.hexes_covering(s, GRID, 15_440_000.0, 4_150_000.0, 15_455_000.0, 4_180_000.0).unionByName(g.hexes_covering(s, GRID, 15_455_000.0, 4_150_000.0, 15_470_000.0, 4_180_000.0)).join(stand_in(s, d, "points").limit(1).select(F.lit(1).alias("one")), F.lit(True)), ["q", "r"], "left_anti").agg(F.count("*").alias("missing")), "select cast(0 as bigint) as missing")
+def extent(s, d):
+    """The box of all places, in metres."""
+    return tuple(placed(s, d).agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first())
+
+
+def u02(s, d):
+    """The hexes of the box of all places in 7 by 5 chunks against those of the whole box."""
+    box = extent(s, d)
+    chunks = g.chunk_boxes(s, box, 7, 5)
+    whole = s.createDataFrame([box], "min_x double, min_y double, max_x double, max_y double")
+    return g.seam_faults(g.hexes_of_boxes(whole, GRID), g.hexes_of_chunks(chunks, GRID))
+
+
+#: The hexes whose middle is in the box of all places.
+IN_BOX = PT + """, b as (select min(x) as x0, min(y) as y0, max(x) as x1, max(y) as y1 from placed), side as (select 1.5e0 * 6000 / sqrt(3e0) as h),
+rr as (select unnest(range(cast(floor(y0 / h) as bigint) - 1, cast(ceil(y1 / h) as bigint) + 2)) as r, h, b.* from b, side),
+cc as (select r, unnest(range(cast(floor(x0 / 6000 - r / 2e0) as bigint) - 1, cast(ceil(x1 / 6000 - r / 2e0) as bigint) + 2)) as q, h, x0, y0, x1, y1 from rr),
+inside as (select q, r, 6000 * (q + r / 2e0) as x, h * r as y, x0, y0, x1, y1 from cc where 6000 * (q + r / 2e0) between x0 and x1 and h * r between y0 and y1)"""
+register("u02_seam_check", u02, IN_BOX + " select count(*) as hexes, cast(0 as bigint) as missing, cast(0 as bigint) as doubled, cast(0 as bigint) as strays from inside")
+register(
+    "p04_hexes_of_chunks",
+    lambda s, d: g.hexes_of_chunks(g.chunk_boxes(s, extent(s, d), 7, 5), GRID).groupBy("chunk_id").agg(F.count("*").alias("hexes")),
+    IN_BOX + """ select printf('c_%03d_%03d', least(6, cast(floor((x - x0) / ((x1 - x0) / 7)) as bigint)), least(4, cast(floor((y - y0) / ((y1 - y0) / 5)) as bigint))) as chunk_id,
+count(*) as hexes from inside group by 1""",
+)
 register("u05_union_rows", lambda s, d: control(s, d).where("status = 'CONTROLLED'").select("target_id", "status").unionByName(control(s, d).where("status = 'UNRESOLVED'").select("status", "target_id")), CO + " select target_id, status from control")
 register("u07_exact_duplicates", lambda s, d: hold(s, d).dropDuplicates(["hex_id", "polity_id", "km2"]), HOLD + " select distinct hex_id, polity_id, km2 from holdings")
 register("u09_recovered", lambda s, d: control(s, d).where("target_id % 2 = 0").join(control(s, d).where("target_id % 3 = 0").select("target_id", F.lit(True).alias("recovered")), "target_id", "left").groupBy(F.coalesce("recovered", F.lit(False)).alias("recovered")).agg(F.count("*").alias("hexes")), CO + " select target_id % 3 = 0 as recovered, count(*) as hexes from control where target_id % 2 = 0 group by 1")

@@ -33,22 +33,21 @@ register("j07_hex_lakes", lambda s, d: sp.hex_lakes(shares(s, d), GRID).withColu
 register("j08_memberships", lambda s, d: sp.memberships(shares(s, d), GRID).groupBy("q", "r").agg(F.round(F.sum("share_of_covered"), 6).alias("covered"), F.count_if("is_dominant").alias("dominants")).groupBy("covered", "dominants").count())
 register("j09_component_stats", lambda s, d: sp.component_stats(shares(s, d), sp.land_classes(shares(s, d).select("q", "r").distinct(), shares(s, d), GRID, 0.3)).select("feature_id", "hexes", F.round("area_m2", 2).alias("area_m2"), "represented", F.col("primary_hex.q").alias("q"), F.col("primary_hex.r").alias("r")))
 register("j04_length_is_kept", lambda s, d: sp.line_in_hexes(segments(s, d), GRID).groupBy("line_id").agg(F.round(F.sum("length_m"), 3).alias("length_m")), HEAD + " select feature_id as line_id, round(4 * (hx + hy), 3) as length_m from boxes")
-register(
-    "j06_union_in_hexes",
-    lambda s, d: (lambda two: sp.union_in_hexes(two, GRID, ["pair"]).groupBy("pair").agg(F.round(F.sum("area_m2"), 1).alias("area_m2")))(rings(s, d).withColumn("pair", F.floor(F.col("feature_id") / 2)).unionByName(
-        boxes(s, d).selectExpr("feature_id", "false as is_hole", "array(cx - 100, cx + hx * 1.5, cx + hx * 1.5, cx - 100) as xs", "array(cy - 50, cy - 50, cy + hy * 1.2, cy + hy * 1.2) as ys").withColumn("pair", F.floor(F.col("feature_id") / 2))).where("feature_id % 2 = 0")),
-    HEAD + " select cast(floor(feature_id / 2) as bigint) as pair, round(4 * hx * hy + (1.5e0 * hx + 100) * (1.2e0 * hy + 50) - (hx + 100) * (hy + 50), 1) as area_m2 from boxes where feature_id % 2 = 0",
-)
-
-
-def j06_whole(s, d):
+def j06(s, d):
     """The union of the boxes of two suppliers and of a second box of each."""
     second = boxes(s, d).selectExpr("feature_id", "false as is_hole", "array(cx - 100, cx + hx * 1.5, cx + hx * 1.5, cx - 100) as xs", "array(cy - 50, cy - 50, cy + hy * 1.2, cy + hy * 1.2) as ys")
     pair = F.floor(F.col("feature_id") / 2)
     return sp.union_in_hexes(rings(s, d).unionByName(second).withColumn("pair", pair), GRID, ["pair"]).groupBy("pair").agg(F.round(F.sum("area_m2"), 1).alias("area_m2"))
 
 
-register("j06_union_whole", j06_whole)
+#: The union by the slabs between all borders of a pair's boxes.
+UNION_SQL = """, two as (select cast(floor(feature_id / 2) as bigint) as pair, cx - hx as x0, cx + hx as x1, cy - hy as y0, cy + hy as y1 from boxes
+  union all select cast(floor(feature_id / 2) as bigint), cx - 100, cx + hx * 1.5e0, cy - 50, cy + hy * 1.2e0 from boxes),
+xs as (select pair, x as a, lead(x) over (partition by pair order by x) as b from (select distinct pair, unnest([x0, x1]) as x from two)),
+ys as (select pair, y as a, lead(y) over (partition by pair order by y) as b from (select distinct pair, unnest([y0, y1]) as y from two))
+select xs.pair, round(sum((xs.b - xs.a) * (ys.b - ys.a)), 1) as area_m2 from xs join ys on ys.pair = xs.pair
+where exists (select 1 from two t where t.pair = xs.pair and t.x0 <= xs.a and xs.b <= t.x1 and t.y0 <= ys.a and ys.b <= t.y1) group by xs.pair"""
+register("j06_union_in_hexes", j06, HEAD + UNION_SQL)
 
 
 def places(s, d):

@@ -26,11 +26,6 @@ from (select *, (p3, p1, p2, elev, cover, climate) as k from pixels) group by ro
 register("s11_mosaic", lambda s, d: laid(s, d).select("row", "col", F.round("elev", 4).alias("elev"), "cover"), LAID + " select row, col, round(elev, 4) as elev, cover from laid")
 register(
     "s11_filled",
-    lambda s, d: r.filled(s.range(64).select(F.col("id").alias("row")).crossJoin(s.range(64).select(F.col("id").alias("col"))), laid(s, d), {"elev": 0.0}).select("row", "col", F.round("elev", 4).alias("elev")),
-    LAID + " select a.row, b.col, round(coalesce(l.elev, 0), 4) as elev from range(64) a(row) cross join range(64) b(col) left join laid l on l.row = a.row and l.col = b.col",
-)
-register(
-    "s11_filled_whole",
     lambda s, d: r.filled(s.range(512).select(F.col("id").alias("row")).crossJoin(s.range(512).select(F.col("id").alias("col"))), laid(s, d), {"elev": 0.0}).select("row", "col", F.round("elev", 4).alias("elev")),
     LAID + " select a.row, b.col, round(coalesce(l.elev, 0), 4) as elev from range(512) a(row) cross join range(512) b(col) left join laid l on l.row = a.row and l.col = b.col",
 )

@@ -1,9 +1,12 @@
 """Queries over their whole table against brute force."""
 
+import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
 
+from hexloom.operators import checks
 from hexloom.plans import registry, spatial, terrain
 
 registry.load()
@@ -28,7 +31,7 @@ def union_find(edges):
 def test_components_of_all_rows(spark, tmp_path):
     rows = [(1, 1, 1), (2, 1, 30), (2, 2, 40), (7, 5, 2), (8, 5, 50), (9, 6, 50), (9, 6, 50)]
     spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_quantity long").write.parquet(f"{tmp_path}/lineitem.parquet")
-    run = lambda d: {r.component: r.nodes for r in registry.QUERIES["g07_components_whole"](spark, d).collect()}
+    run = lambda d: {r.component: r.nodes for r in registry.QUERIES["g07_components"](spark, d).collect()}
     assert run(tmp_path) == {1: 4, 7: 3, 9: 2}
     sf = "/root/testdata/sf0.001"
     edges = [(r.a, r.b) for r in spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_partkey as a", "1000000 + l_suppkey as b").collect()]
@@ -37,7 +40,7 @@ def test_components_of_all_rows(spark, tmp_path):
 
 def test_whole_grid_is_filled(spark):
     sf = "/root/testdata/sf0.001"
-    got = {(r.row, r.col): r.elev for r in registry.QUERIES["s11_filled_whole"](spark, sf).collect()}
+    got = {(r.row, r.col): r.elev for r in registry.QUERIES["s11_filled"](spark, sf).collect()}
     laid = {(r.row, r.col): round(r.elev, 4) for r in terrain.laid(spark, sf).collect()}
     assert got == {(i, j): laid.get((i, j), 0.0) for i in range(512) for j in range(512)}
 
@@ -53,5 +56,33 @@ def test_union_of_all_features(spark):
     pairs = defaultdict(list)
     for r in spatial.boxes(spark, sf).collect():
         pairs[r.feature_id // 2] += [(r.cx - r.hx, r.cx + r.hx, r.cy - r.hy, r.cy + r.hy), (r.cx - 100, r.cx + r.hx * 1.5, r.cy - 50, r.cy + r.hy * 1.2)]
-    got = {r.pair: r.area_m2 for r in registry.QUERIES["j06_union_whole"](spark, sf).collect()}
+    got = {r.pair: r.area_m2 for r in registry.QUERIES["j06_union_in_hexes"](spark, sf).collect()}
     assert got == pytest.approx({p: union_area(b) for p, b in pairs.items()}, rel=1e-6)
+
+
+def kruskal(points, edges, limit, cap):
+    own = {i: i for i, _, _ in points}
+    groups = {i: [i] for i in own}
+    at = {i: (x, y) for i, x, y in points}
+    for m, a, b in sorted(edges):
+        p, q = own[a], own[b]
+        if m > limit or p == q:
+            continue
+        both = groups[p] + groups[q]
+        if max(math.dist(at[i], at[j]) for i in both for j in both) <= cap:
+            for i in groups.pop(q):
+                own[i] = p
+            groups[p] = both
+    return {i: min(groups[p]) for i, p in own.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_capped_clusters_against_edge_by_edge(spark, seed):
+    r = random.Random(seed)
+    points = [(i, r.random() * 60 + (100 if i % 7 == 0 else 0), r.random() * 60) for i in range(90)] + [(95, 500.0, 500.0)]
+    edges = [(round(math.dist(a[1:], b[1:])), a[0], b[0]) for a in points for b in points if a[0] < b[0] and math.dist(a[1:], b[1:]) < 14]  # many ties
+    nodes = spark.createDataFrame(points, "id long, x double, y double")
+    df = spark.createDataFrame([(a, b, float(m)) for m, a, b in edges], "a long, b long, distance_m double")
+    got = {row.id: row.cluster for row in checks.capped_clusters(nodes, df, 12.0, 25.0).collect()}
+    assert got == kruskal(points, edges, 12.0, 25.0)
+    assert {row.id: row.cluster for row in checks.capped_clusters(nodes, df.where("a < 0"), 12.0, 25.0).collect()} == {i: i for i, _, _ in points}
