@@ -14,12 +14,12 @@ KEY = ["scenario_id", "target_type", "target_id"]
 def dominant(shares: DataFrame, by: str, holder: str, value: str) -> DataFrame:
     """For each group the holder with the most, its value, the runner-up's, the margin, the number of holders and whether there are several; of ties the smaller holder."""
     sums = shares.groupBy(by, holder).agg(F.sum(value).alias(value))
-    each = sums.groupBy(by).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("v"), holder))), 1, 2).alias("top"), F.count("*").alias("holders"))
-    one, two = F.col("top")[0], F.try_element_at("top", F.lit(2))
-    return each.select(
-        by, one[holder].alias(holder), (-one["v"]).alias(value), F.coalesce(-two["v"], F.lit(0.0)).alias("runner_up"), (-one["v"] - F.coalesce(-two["v"], F.lit(0.0))).alias("margin"),
-        "holders", (F.col("holders") > 1).alias("is_border"),
+    counts = sums.groupBy(by).agg(F.count("*").alias("holders"))
+    place = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(value), holder))
+    first = sums.withColumn("place", place).where("place <= 2").groupBy(by).agg(
+        F.max(F.when(F.col("place") == 1, F.col(holder))).alias(holder), F.max(F.when(F.col("place") == 1, F.col(value))).alias(value), F.coalesce(F.max(F.when(F.col("place") == 2, F.col(value))), F.lit(0.0)).alias("runner_up"),
     )
+    return first.join(counts, by).select(by, holder, value, "runner_up", (F.col(value) - F.col("runner_up")).alias("margin"), "holders", (F.col("holders") > 1).alias("is_border"))
 
 
 def ranked_shares(parts: DataFrame, by: str, key: str, value: str) -> DataFrame:
