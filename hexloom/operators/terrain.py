@@ -24,13 +24,50 @@ LAYERS = {
     "lake_majority": 0.5, "snow_ice": 0.4, "icecap_snow": 0.2, "wetland": 0.35, "desert_bare": 0.5, "slopes": [2.5, 6.0, 15.0],
     "mountain_alt_slope": 11.0, "mountain_alt_relief": 900.0, "forest_tree": 0.4, "urban": [0.1, 0.35, 0.65], "urban_face_from": "DENSE_URBAN", "hills_dominant_slope": 8.0,
 }
-#: Weights and ramps of the face scores.
-FACE_WEIGHTS = {
-    "open": 1.0, "plains_shrub": 0.6, "plains_moss": 0.4, "forest": 1.0, "rainforest": 1.25, "tundra_cover": 1.2, "tundra_bonus": 0.2, "desert_bare": 1.1, "desert_arid": 1.0,
-    "desert_other": 0.35, "wetland": 2.0, "urban": 2.2, "snow": 2.0, "icecap_bonus": 0.4, "damp": (8.0, 20.0, 0.65), "mountain": 1.15,
-    "mountain_slope": (10.0, 22.0, 1.0), "mountain_rough": (8.0, 25.0, 0.4), "mountain_relief": (500.0, 1200.0, 0.4),
-    "hills": 0.9, "hills_slope": (2.5, 7.0), "hills_fade": (12.0, 20.0),
+#: Inputs of scores and measures that are ramps (column, where it is 0, where it is 1).
+RAMPS = {
+    "damp_slope": ("slope_mean_deg", 8.0, 20.0), "hills_up": ("slope_mean_deg", 2.5, 7.0), "hills_down": ("slope_mean_deg", 12.0, 20.0),
+    "mountain_slope": ("slope_mean_deg", 10.0, 22.0), "mountain_rough": ("terrain_roughness", 8.0, 25.0), "mountain_relief": ("elevation_range_m", 500.0, 1200.0),
+    "steep": ("slope_mean_deg", 2.0, 30.0), "steep_for_wheels": ("slope_mean_deg", 1.5, 15.0), "steep_for_tracks": ("slope_mean_deg", 2.0, 20.0), "steep_for_attack": ("slope_mean_deg", 3.0, 20.0),
+    "rough": ("terrain_roughness", 5.0, 30.0),
 }
+#: Weights of the face scores by input; the empty name is a constant.
+FACE_TERMS = {
+    "plains": {"lc_grassland_fraction": 1.0, "lc_cropland_fraction": 1.0, "lc_shrub_fraction": 0.6, "lc_moss_lichen_fraction": 0.4},
+    "forest": {"lc_tree_fraction": 1.0}, "rainforest": {"lc_tree_fraction": 1.25},
+    "tundra": {"lc_moss_lichen_fraction": 1.2, "lc_grassland_fraction": 0.72, "lc_shrub_fraction": 0.48, "lc_bare_sparse_fraction": 0.36, "": 0.2},
+    "desert": {"lc_bare_sparse_fraction": 1.1}, "wetland": {"lc_herbaceous_wetland_fraction": 2.0, "lc_mangroves_fraction": 2.0},
+    "hills": {"hills_up": 0.9}, "mountain": {"mountain_slope": 1.15 / 1.8, "mountain_rough": 0.46 / 1.8, "mountain_relief": 0.46 / 1.8},
+    "urban": {"lc_built_up_fraction": 2.2}, "permanent_snow_ice": {"lc_snow_ice_fraction": 2.0, "is_ice_cap_climate": 0.4},
+}
+#: What a score is multiplied by: 1 less an input times a weight, or a flag's factor where it holds and where it does not.
+FACE_FACTORS = {
+    "plains": [("less", "damp_slope", 0.65), ("flag", "is_tundra_climate", 0.3, 1.0)], "forest": [("less", "damp_slope", 0.65)],
+    "rainforest": [("less", "damp_slope", 0.65), ("flag", "is_tropical", 1.0, 0.0)], "tundra": [("less", "lc_tree_fraction", 1.0), ("flag", "is_tundra_climate", 1.0, 0.0)],
+    "desert": [("flag", "is_arid", 1.0, 0.35)], "wetland": [("less", "damp_slope", 0.65)], "hills": [("less", "hills_down", 1.0)],
+}
+#: The constant and the weights of the measures of movement, each clipped to 0 to 1.
+MOVEMENT = {
+    "foot_mobility": {"": 1, "steep": -0.6, "wetland_fraction": -0.5, "permanent_snow_ice_fraction": -0.3},
+    "wheeled_mobility": {"": 1, "steep_for_wheels": -1, "wetland_fraction": -0.8, "tree_fraction": -0.3, "permanent_snow_ice_fraction": -0.4},
+    "tracked_mobility": {"": 1, "steep_for_tracks": -0.8, "wetland_fraction": -0.7, "tree_fraction": -0.2, "permanent_snow_ice_fraction": -0.3},
+    "concealment": {"tree_fraction": 0.75, "urban_fraction": 0.6, "rough": 0.15},
+    "defensive_value": {"steep_for_attack": 0.4, "rough": 0.3, "urban_fraction": 0.35, "tree_fraction": 0.2},
+    "logistics_passability": {"": 1, "steep": -0.7, "wetland_fraction": -0.7, "permanent_snow_ice_fraction": -0.5},
+    "construction_suitability": {"": 1, "steep": -0.8, "wetland_fraction": -0.9, "permanent_snow_ice_fraction": -0.8},
+    "deployment_capacity": {"": 1, "steep": -0.7, "wetland_fraction": -0.8, "tree_fraction": -0.4},
+}
+
+
+def weighted(terms: dict[str, float]) -> Column:
+    """The sum of inputs times their weights. An input is a ramp by its name, a flag or a column; the empty name is a constant."""
+    def value(name: str) -> Column:
+        if name in RAMPS:
+            column, low, high = RAMPS[name]
+            return ramp(F.col(column), low, high)
+        return F.lit(1.0) if not name else F.col(name).cast("double")
+
+    return reduce(lambda a, b: a + b, [value(name) * float(weight) for name, weight in terms.items()])
 
 
 def climate_flags(code: Column) -> dict[str, Column]:
@@ -44,28 +81,14 @@ def climate_flags(code: Column) -> dict[str, Column]:
     }
 
 
-def face_scores(weights: dict = FACE_WEIGHTS) -> dict[str, Column]:
-    """Ten scores from slope_mean_deg, terrain_roughness, elevation_range_m, lc_*_fraction and the climate flags."""
-    w, lc = weights, lambda n: F.col(f"lc_{n}_fraction")
-    slope, rough, relief = F.col("slope_mean_deg"), F.col("terrain_roughness"), F.col("elevation_range_m")
-    damp = 1 - w["damp"][2] * ramp(slope, w["damp"][0], w["damp"][1])
-    wet = lc("herbaceous_wetland") + lc("mangroves")
-    plains = (w["open"] * (lc("grassland") + lc("cropland")) + w["plains_shrub"] * lc("shrub") + w["plains_moss"] * lc("moss_lichen")) * damp
-    tundra = (w["tundra_cover"] * (lc("moss_lichen") + 0.6 * lc("grassland") + 0.4 * lc("shrub") + 0.3 * lc("bare_sparse")) + w["tundra_bonus"]) * (1 - lc("tree"))
-    ramps = [(slope, *w["mountain_slope"]), (rough, *w["mountain_rough"]), (relief, *w["mountain_relief"])]
-    mountain = sum((k * ramp(x, lo, hi) for x, lo, hi, k in ramps), F.lit(0.0)) / sum(k for *_, k in ramps) * w["mountain"]
-    return {
-        "plains_score": F.when(F.col("is_tundra_climate"), plains * 0.3).otherwise(plains),
-        "forest_score": w["forest"] * lc("tree") * damp,
-        "rainforest_score": F.when(F.col("is_tropical"), w["rainforest"] * lc("tree") * damp).otherwise(0.0),
-        "tundra_score": F.when(F.col("is_tundra_climate"), tundra).otherwise(0.0),
-        "desert_score": w["desert_bare"] * lc("bare_sparse") * F.when(F.col("is_arid"), w["desert_arid"]).otherwise(w["desert_other"]),
-        "wetland_score": w["wetland"] * wet * damp,
-        "hills_score": w["hills"] * ramp(slope, *w["hills_slope"]) * (1 - ramp(slope, *w["hills_fade"])),
-        "mountain_score": mountain,
-        "urban_score": w["urban"] * lc("built_up"),
-        "permanent_snow_ice_score": w["snow"] * lc("snow_ice") + F.when(F.col("is_ice_cap_climate"), w["icecap_bonus"]).otherwise(0.0),
-    }
+def face_scores(terms: dict = FACE_TERMS, factors: dict = FACE_FACTORS) -> dict[str, Column]:
+    """The score of each face in ``terms`` from slope_mean_deg, terrain_roughness, elevation_range_m, lc_*_fraction and the climate flags."""
+    def factor(kind: str, name: str, *numbers: float) -> Column:
+        if kind == "less":
+            return 1 - weighted({name: numbers[0]})
+        return F.when(F.col(name), numbers[0]).otherwise(numbers[1])
+
+    return {f"{face}_score": reduce(lambda a, b: a * b, [factor(*x) for x in factors.get(face, [])], weighted(of)) for face, of in terms.items()}
 
 
 def face_of_scores(names: list[str], is_water: Column) -> dict[str, Column]:
@@ -82,54 +105,49 @@ def face_of_scores(names: list[str], is_water: Column) -> dict[str, Column]:
     }
 
 
-def movement() -> dict[str, Column]:
-    """Nine measures of mobility, sight and logistics, 0 to 1."""
-    slope, rough, tree, wet, built, snow = (F.col(c) for c in ("slope_mean_deg", "terrain_roughness", "tree_fraction", "wetland_fraction", "urban_fraction", "permanent_snow_ice_fraction"))
-    steep = ramp(slope, 2.0, 30.0)
-    hidden = clip01(0.75 * tree + 0.6 * built + 0.15 * ramp(rough, 5, 30))
-    return {
-        "foot_mobility": clip01(1 - 0.6 * steep - 0.5 * wet - 0.3 * snow),
-        "wheeled_mobility": clip01(1 - ramp(slope, 1.5, 15.0) - 0.8 * wet - 0.3 * tree - 0.4 * snow),
-        "tracked_mobility": clip01(1 - 0.8 * ramp(slope, 2.0, 20.0) - 0.7 * wet - 0.2 * tree - 0.3 * snow),
-        "visibility": clip01(1 - hidden), "concealment": hidden,
-        "defensive_value": clip01(0.4 * ramp(slope, 3.0, 20.0) + 0.3 * ramp(rough, 5, 30) + 0.35 * built + 0.2 * tree),
-        "logistics_passability": clip01(1 - 0.7 * steep - 0.7 * wet - 0.5 * snow),
-        "construction_suitability": clip01(1 - 0.8 * steep - 0.9 * wet - 0.8 * snow),
-        "deployment_capacity": clip01(1 - 0.7 * steep - 0.8 * wet - 0.4 * tree),
-    }
+def movement(measures: dict = MOVEMENT) -> dict[str, Column]:
+    """Measures of mobility, sight and logistics, 0 to 1; what is not concealed is visible."""
+    out = {name: clip01(weighted(terms)) for name, terms in measures.items()}
+    return out | {"visibility": clip01(1 - out["concealment"])}
+
+
+def first_class(prefix: str, names: list[str], rules: list[tuple[str, Column, Column]]) -> dict[str, Column]:
+    """The class, its number and its confidence by the first rule (class, test, margin) whose test holds."""
+    pick = lambda k: F.coalesce(*[F.when(r[1], F.lit(r[0]) if k == 0 else r[2]) for r in rules])
+    return {prefix: pick(0), f"{prefix}_id": named_id(pick(0), names), f"{prefix.split('_')[0]}_confidence": clip01(pick(1))}
 
 
 def water_layer(t: dict = LAYERS) -> dict[str, Column]:
     """OCEAN by land class; LAKE where the inland water left after the sea's share is the majority; confidence by the margin."""
-    ocean = F.col("land_class") == "water"
-    inland = clip01(F.col("inland_water_fraction") - (1 - F.col("land_fraction")))
-    kind = F.when(ocean, "OCEAN").when(inland >= t["lake_majority"], "LAKE").otherwise("NONE")
-    return {"water_type": kind, "water_type_id": named_id(kind, WATER), "inland_water_est": inland, "water_confidence": F.when(ocean, 1.0).otherwise(clip01(F.abs(inland - t["lake_majority"]) / t["lake_majority"]))}
+    inland, least = clip01(F.col("inland_water_fraction") + F.col("land_fraction") - 1), t["lake_majority"]
+    margin = F.abs(inland / least - 1)
+    rules = [("OCEAN", F.col("land_class") == "water", F.lit(1.0)), ("LAKE", inland >= least, margin), ("NONE", F.lit(True), margin)]
+    return first_class("water_type", WATER, rules) | {"inland_water_est": inland}
 
 
 def surface_layer(t: dict = LAYERS) -> dict[str, Column]:
     """Snow and ice before wetland before desert (in an arid climate alone) before tundra before the ordinary surface."""
-    snow, wet, bare = F.col("permanent_snow_ice_fraction"), F.col("wetland_fraction"), F.col("bare_ground_fraction")
-    a, b, c = snow / t["snow_ice"], wet / t["wetland"], F.when(F.col("is_arid"), bare / t["desert_bare"]).otherwise(0.0)
-    tests = [
-        ((snow >= t["snow_ice"]) | (F.col("is_ice_cap_climate") & (snow >= t["icecap_snow"])), "PERMANENT_SNOW_ICE", a - 1),
-        (wet >= t["wetland"], "WETLAND", b - 1),
-        (F.col("is_arid") & (bare >= t["desert_bare"]), "DESERT", c - 1),
-        (F.col("is_tundra_climate"), "TUNDRA", 1 - F.greatest(a, b)),
-        (F.lit(True), "NORMAL", 1 - F.greatest(a, b, c)),
+    over = {n: F.col(c) / t[limit] for n, c, limit in (("ice", "permanent_snow_ice_fraction", "snow_ice"), ("wet", "wetland_fraction", "wetland"), ("bare", "bare_ground_fraction", "desert_bare"))}
+    at_least = lambda c, limit: F.col(c) >= t[limit]
+    arid = F.when(F.col("is_arid"), over["bare"]).otherwise(0.0)
+    rules = [
+        ("PERMANENT_SNOW_ICE", at_least("permanent_snow_ice_fraction", "snow_ice") | (F.col("is_ice_cap_climate") & at_least("permanent_snow_ice_fraction", "icecap_snow")), over["ice"] - 1),
+        ("WETLAND", at_least("wetland_fraction", "wetland"), over["wet"] - 1),
+        ("DESERT", F.col("is_arid") & at_least("bare_ground_fraction", "desert_bare"), arid - 1),
+        ("TUNDRA", F.col("is_tundra_climate"), 1 - F.greatest(over["ice"], over["wet"])),
+        ("NORMAL", F.lit(True), 1 - F.greatest(over["ice"], over["wet"], arid)),
     ]
-    chain = lambda k: reduce(lambda w, x: w.when(x[0], x[k]), tests[1:], F.when(tests[0][0], tests[0][k]))
-    return {"surface_class": chain(1), "surface_class_id": named_id(chain(1), SURFACES), "surface_confidence": clip01(chain(2))}
+    return first_class("surface_class", SURFACES, rules)
 
 
 def relief_layer(t: dict = LAYERS) -> dict[str, Column]:
     """By mean slope; a moderately steep hex with much local relief is a mountain too, with a confidence of a half at least."""
-    slope = F.col("slope_mean_deg")
-    other = (slope >= t["mountain_alt_slope"]) & (F.col("elevation_range_m") >= t["mountain_alt_relief"])
-    number = F.when(other, 3).otherwise(band(slope, t["slopes"]))
-    name = F.element_at(F.array(*map(F.lit, RELIEFS[1:])), (number + 1).cast("int"))
-    sure = band_confidence(slope, t["slopes"], number)
-    return {"relief_class": name, "relief_class_id": named_id(name, RELIEFS), "relief_confidence": F.when(other, F.greatest(sure, F.lit(0.5))).otherwise(sure)}
+    slope, bands = F.col("slope_mean_deg"), t["slopes"]
+    high = (slope >= t["mountain_alt_slope"]) & (F.col("elevation_range_m") >= t["mountain_alt_relief"])
+    last = len(bands)
+    rules = [(RELIEFS[last + 1], high, F.greatest(band_confidence(slope, bands, F.lit(last)), F.lit(0.5)))]
+    rules += [(RELIEFS[k + 1], band(slope, bands) == k, band_confidence(slope, bands, F.lit(k))) for k in range(last + 1)]
+    return first_class("relief_class", RELIEFS, rules)
 
 
 def vegetation_layer(t: dict = LAYERS) -> dict[str, Column]:
@@ -140,6 +158,7 @@ def vegetation_layer(t: dict = LAYERS) -> dict[str, Column]:
 
 
 def development_layer(t: dict = LAYERS) -> dict[str, Column]:
+    """By the built-up fraction."""
     number = band(F.col("urban_fraction"), t["urban"])
     name = F.element_at(F.array(*map(F.lit, DEVELOPMENTS)), (number + 1).cast("int"))
     return {"development_class": name, "development_class_id": named_id(name, DEVELOPMENTS), "development_confidence": band_confidence(F.col("urban_fraction"), t["urban"], number)}
