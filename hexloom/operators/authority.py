@@ -6,12 +6,15 @@ empty ones, summaries over nothing one row of nulls and zeros.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexloom.functions.ids import hashed_id, joined_ids
+from hexloom.functions.ids import frame_hash, hashed_id, joined_ids
 from hexloom.functions.predicates import cleaned
 
 # Cells
@@ -376,3 +379,106 @@ def shape_hash(xs: Column, ys: Column) -> Column:
     at = F.array_position(ring, F.array_min(ring)).cast("int")
     turned = F.concat(F.slice(ring, at, F.size(ring)), F.slice(ring, 1, at - 1))
     return F.sha1(F.array_join(F.transform(turned, lambda c: F.concat_ws(",", c["x"].cast("string"), c["y"].cast("string"))), ";"))
+
+
+# Rivers and extents
+
+
+def processing_order(branches: DataFrame, by: str = "river_id") -> DataFrame:
+    """Branches (branch_id, discharge) with their place in the order of importance in their river: larger discharge, then the smaller id, first."""
+    order = Window.partitionBy(by).orderBy(F.desc("discharge"), "branch_id")
+    return branches.withColumn("place", F.row_number().over(order))
+
+
+def snapping_summary(audit: DataFrame, by: str, limit_ratio: float, limit_m: float) -> DataFrame:
+    """For each river its edges, source and snapped length, their ratio, the 95th percentile and maximum of offsets, and a verdict (source_m, snapped_m, offset_m)."""
+    sums = audit.groupBy(by).agg(F.count("*").alias("edges"), F.sum("source_m").alias("source_m"), F.sum("snapped_m").alias("snapped_m"), F.percentile("offset_m", F.lit(0.95)).alias("offset_p95_m"), F.max("offset_m").alias("offset_max_m"))
+    ratio = F.try_divide("snapped_m", "source_m")
+    verdict = F.when(F.col("source_m") == 0, "N/A").when((ratio > limit_ratio) & (F.col("offset_p95_m") > limit_m), "FAIL").when((ratio > limit_ratio) | (F.col("offset_p95_m") > limit_m), "WARN").otherwise("PASS")
+    return sums.withColumns({"ratio": ratio, "verdict": verdict})
+
+
+def corridor_quality(cells: DataFrame, by: str) -> DataFrame:
+    """For each river that takes whole cells their number, area, the share of its line inside them, and the 95th percentile of distances (area_km2, line_m, inside_m, distance_m)."""
+    return cells.groupBy(by).agg(
+        F.count_distinct("hex_id").alias("hexes"), F.sum("area_km2").alias("area_km2"), F.try_divide(F.sum("inside_m"), F.sum("line_m")).alias("inside_share"), F.percentile("distance_m", F.lit(0.95)).alias("distance_p95_m"),
+    )
+
+
+def path_hexes(paths: DataFrame, edges: DataFrame) -> DataFrame:
+    """The cells on either side of the edges of paths (path_id, place, node); a step between nodes that no edge joins has none. Needs edges n1, n2, hex_a, hex_b."""
+    following = F.lead("node").over(Window.partitionBy("path_id").orderBy("place"))
+    steps = paths.withColumn("next", following).where("next is not null").select("path_id", F.least("node", "next").alias("n1"), F.greatest("node", "next").alias("n2")).distinct()
+    met = steps.join(edges.select("n1", "n2", "hex_a", "hex_b"), ["n1", "n2"])
+    return met.select("path_id", F.explode(F.array_compact(F.array("hex_a", "hex_b"))).alias("hex_id")).distinct()
+
+
+def group_extents(points: DataFrame, by: str) -> DataFrame:
+    """For each group (``by``, x, y) the largest distance between two of its points.
+
+    The two are corners of the convex hull. Each task cuts its points to the hulls of its groups, so only corners travel.
+    """
+    schema = f"{by} {points.schema[by].dataType.simpleString()}, x double, y double"
+
+    def corners(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf[["x", "y"]].drop_duplicates().sort_values(["x", "y"]).to_numpy(float)
+        kept = []
+        for run in (rows, rows[::-1]):  # the lower and the upper chain
+            chain: list[np.ndarray] = []
+            for p in run:
+                while len(chain) > 1 and np.linalg.det(np.array([chain[-1] - chain[-2], p - chain[-2]])) <= 0:
+                    chain.pop()
+                chain.append(p)
+            kept += chain
+        return pd.DataFrame(kept, columns=["x", "y"]).drop_duplicates()
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for group, g in b.groupby(by, sort=False):
+                yield corners(g).assign(**{by: group})[[by, "x", "y"]]
+
+    def widest(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = corners(pdf).to_numpy()
+        reach = max(float(np.hypot(*(c - p).T).max()) for p in c)
+        return pd.DataFrame({by: pdf[by].iloc[:1].to_numpy(), "extent_m": [reach]})
+
+    hulls = points.where(F.col(by).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()).select(by, F.col("x").cast("double"), F.col("y").cast("double")).mapInPandas(cut, schema)
+    return hulls.groupBy(by).applyInPandas(widest, f"{schema.split(',')[0]}, extent_m double")
+
+
+def plate_coordinates(points: DataFrame, ticks: DataFrame, field: tuple[float, float, float, float], by: str = "sheet") -> DataFrame:
+    """Points (px, py) of map sheets with the longitude and latitude that the sheet's own graduations give.
+
+    ``ticks`` has the sheet, kind (``MERIDIAN`` or ``PARALLEL``), degree, and its pixel on the first border (top or left) and the second (bottom or
+    right). A meridian runs straight between its two ticks; a point lies between two of them, and its degree is linear there; beyond the
+    outermost ones that one's degree stands. A sheet has a few dozen ticks, which travel as one array.
+    """
+    left, top, right, bottom = field
+
+    def lines(kind: str) -> DataFrame:
+        order = F.array_sort(F.collect_list(F.struct("first", "second", "degree")))
+        return ticks.where(F.col("kind") == kind).groupBy(by).agg(order.alias(kind))
+
+    def degree(kind: str, at: Column, along: Column) -> Column:
+        placed = F.transform(F.col(kind), lambda m: F.struct((m["first"] + (m["second"] - m["first"]) * along).alias("p"), m["degree"].alias("d")))
+        below, above = F.filter(placed, lambda m: m["p"] <= at), F.filter(placed, lambda m: m["p"] > at)
+        low, high = F.try_element_at(below, F.lit(-1)), F.try_element_at(above, F.lit(1))
+        between = low["d"] + (high["d"] - low["d"]) * (at - low["p"]) / (high["p"] - low["p"])
+        return F.when(low.isNull(), high["d"]).when(high.isNull(), low["d"]).otherwise(between)
+
+    both = points.join(lines("MERIDIAN"), by, "left").join(lines("PARALLEL"), by, "left")
+    return both.withColumns({
+        "lon": degree("MERIDIAN", F.col("px"), (F.col("py") - top) / (bottom - top)), "lat": degree("PARALLEL", F.col("py"), (F.col("px") - left) / (right - left)),
+    }).drop("MERIDIAN", "PARALLEL")
+
+
+def changed_groups(before: DataFrame, after: DataFrame, by: str) -> DataFrame:
+    """Groups of two tables whose contents are the same or not, by a hash of their rows in no order; a group of one side alone has changed."""
+    one, two = (frame_hash(t, [by]).select(by, F.col("content_sha256").alias(n)) for t, n in ((before, "one"), (after, "two")))
+    return one.join(two, by, "full").select(by, (~F.col("one").eqNullSafe(F.col("two"))).alias("changed"))
+
+
+def expected_values(points: DataFrame, layers: DataFrame, expectations: DataFrame) -> DataFrame:
+    """Expectations (id, layer, allowed: an array) at places (id, hex_id) against the layers' values (hex_id, layer, value): id, layer, value, met."""
+    at = expectations.join(points.select("id", "hex_id"), "id", "left").join(layers, ["hex_id", "layer"], "left")
+    return at.select("id", "layer", "value", F.coalesce(F.array_contains("allowed", F.col("value")), F.lit(False)).alias("met"))

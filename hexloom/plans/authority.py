@@ -592,3 +592,134 @@ register(
 )
 register("f02_centres", lambda s, d: rounded(placed(s, d).select("q", "r", "centre_x", "centre_y").distinct(), 3, "centre_x", "centre_y"), PT + " select distinct q, r, round(centre_x, 3) as centre_x, round(centre_y, 3) as centre_y from placed")
 register("f03_cells", lambda s, d: placed(s, d).select("id", "q", "r"), PT + " select id, q, r from placed")
+
+
+# Rivers, extents and sheets
+
+
+def branches(s, d):
+    return stand_in(s, d, "membership").groupBy("river_id", "branch_id").agg(F.max("discharge").alias("discharge"))
+
+
+MEM = cte("membership")
+register(
+    "t06_processing_order",
+    lambda s, d: a.processing_order(branches(s, d)).select("river_id", "branch_id", F.col("place").cast("bigint")),
+    MEM + ", b as (select river_id, branch_id, max(discharge) as q from membership group by all) select river_id, branch_id, row_number() over (partition by river_id order by q desc, branch_id) as place from b",
+)
+
+
+def audit(s, d):
+    return stand_in(s, d, "membership").select("river_id", (F.col("width") * 10).alias("source_m"), (F.col("width") * 10 + F.col("edge_id") % 7).alias("snapped_m"), (F.col("discharge") / 100).alias("offset_m"))
+
+
+register(
+    "a15_snapping_summary",
+    lambda s, d: rounded(a.snapping_summary(audit(s, d), "river_id", 1.012, 900.0), 6, "snapped_m", "offset_p95_m", "offset_max_m", "ratio"),
+    MEM + """, x as (select river_id, count(*) as edges, sum(width * 10) as source_m, sum(width * 10 + edge_id % 7) as s, quantile_cont(discharge / 100, 0.95) as p, max(discharge / 100) as m from membership group by 1)
+select river_id, edges, source_m, round(s, 6) as snapped_m, round(p, 6) as offset_p95_m, round(m, 6) as offset_max_m, round(s / source_m, 6) as ratio,
+case when s / source_m > 1.012e0 and p > 900 then 'FAIL' when s / source_m > 1.012e0 or p > 900 then 'WARN' else 'PASS' end as verdict from x""",
+)
+register(
+    "a16_corridor_quality",
+    lambda s, d: rounded(a.corridor_quality(stand_in(s, d, "membership").select("river_id", F.col("edge_id").alias("hex_id"), (F.col("width") / 2).alias("area_km2"), F.col("width").alias("line_m"), (F.col("width") * (F.col("edge_id") % 4) / 4).alias("inside_m"), (F.col("discharge") / 50).alias("distance_m")), "river_id"), 6, "inside_share", "distance_p95_m"),
+    MEM + " select river_id, count(distinct edge_id) as hexes, sum(width / 2) as area_km2, round(sum(width * (edge_id % 4) / 4) / sum(width), 6) as inside_share, round(quantile_cont(discharge / 50, 0.95), 6) as distance_p95_m from membership group by 1",
+)
+
+
+def g12(s, d):
+    """The way around each cell that holds a place, corner by corner, and the cells on both sides of it."""
+    cells = placed(s, d).select("q", "r").distinct()
+    corner = F.posexplode(F.array(*[F.struct((2 * F.col("q") + F.col("r") + dx).alias("x"), (3 * F.col("r") + dy).alias("y")) for dx, dy in ((1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1), (0, -2), (1, -1))]))
+    paths = cells.select(GRID.hex_id(F.col("q"), F.col("r")).alias("path_id"), corner.alias("place", "node"))
+    return a.path_hexes(paths, g.edge_graph(cells, GRID)).groupBy("path_id").agg(F.count("*").alias("hexes"))
+
+
+register(
+    "g12_path_hexes",
+    g12,
+    PT + ", c as (select distinct hex_id, q, r from placed) select c.hex_id as path_id, count(*) as hexes from c join c o on greatest(abs(c.q - o.q), abs(c.r - o.r), abs(c.q - o.q + c.r - o.r)) <= 1 group by 1",
+)
+register(
+    "f10_group_extents",
+    lambda s, d: rounded(a.group_extents(placed(s, d).withColumn("group", F.col("id") % 40), "group"), 3, "extent_m"),
+    PT + " select x.id % 40 as \"group\", round(max(sqrt((x.x - y.x) ** 2 + (x.y - y.y) ** 2)), 3) as extent_m from placed x join placed y on x.id % 40 = y.id % 40 group by 1",
+)
+
+
+def ticks(s, d):
+    """Six meridians and six parallels of each supplier's sheet, slanted by the sheet's number."""
+    return s.read.parquet(f"{d}/supplier.parquet").selectExpr("s_suppkey as sheet", "explode(sequence(0, 11)) as k").selectExpr(
+        "sheet", "case when k < 6 then 'MERIDIAN' else 'PARALLEL' end as kind", "cast(k % 6 as double) as degree", "(k % 6) * 10e0 as first", "(k % 6) * 10e0 + sheet % 5 as second"
+    )
+
+
+def w15(s, d):
+    points = s.read.parquet(f"{d}/lineitem.parquet").selectExpr("l_suppkey as sheet", "cast(l_quantity as double) as px", "cast(l_linenumber as double) * 7 as py").distinct()
+    return rounded(a.plate_coordinates(points, ticks(s, d), (0.0, 0.0, 50.0, 50.0)), 6, "lon", "lat").select("sheet", "px", "py", "lon", "lat")
+
+
+register(
+    "w15_plate_coordinates",
+    w15,
+    """with p as (select distinct l_suppkey as sheet, cast(l_quantity as double) as px, cast(l_linenumber as double) * 7 as py from lineitem),
+o as (select *, (sheet % 5) * py / 50 as sx, (sheet % 5) * px / 50 as sy from p)
+select sheet, px, py, round(greatest(0, least(5, (px - sx) / 10)), 6) as lon, round(greatest(0, least(5, (py - sy) / 10)), 6) as lat from o""",
+)
+register(
+    "q15_changed_groups",
+    lambda s, d: a.changed_groups(control(s, d).select("size", "target_id", "status"), control(s, d).select("size", F.when((F.col("size") % 9 == 0) & (F.col("target_id") % 2 == 0), -F.col("target_id")).otherwise(F.col("target_id")).alias("target_id"), "status"), "size"),
+    CO + " select size, bool_or(size % 9 = 0 and target_id % 2 = 0 and target_id <> 0) as changed from control group by 1",
+)
+
+
+def q01(s, d):
+    values = lay(s, d).select(F.col("hex_id").cast("string").alias("hex_id"), F.lit("land").alias("layer"), F.col("land_class").alias("value"))
+    points = named(s, d).select("id", (F.col("id") % 2500).cast("string").alias("hex_id"))
+    wanted = points.select("id", F.lit("land").alias("layer"), F.when(F.col("id") % 2 == 0, F.array(F.lit("land"))).otherwise(F.array(F.lit("water"), F.lit("coast"))).alias("allowed"))
+    return a.expected_values(points, values, wanted)
+
+
+register(
+    "q01_expected_values",
+    q01,
+    LAY + " select cast(c_custkey as bigint) as id, 'land' as layer, l.land_class as value, coalesce(case when c_custkey % 2 = 0 then l.land_class = 'land' else l.land_class = 'water' end, false) as met from customer left join layers l on l.hex_id = c_custkey % 2500",
+)
+
+
+def island_metrics(s, d):
+    units = hold(s, d).groupBy("hex_id").agg(F.sum("km2").alias("km2"), F.max("km2").alias("largest"))
+    return units.agg(F.count_if(F.col("largest") > F.col("km2")).alias("parts_above_whole"), F.count("*").alias("groups"), F.max("km2").alias("largest_km2"))
+
+
+register(
+    "q11_island_gates",
+    gate_query(island_metrics, [("parts_within_whole", "parts_above_whole", "=", 0), ("groups_there", "groups", ">=", 1), ("largest_in_bounds", "largest_km2", "<=", 1500)]),
+    HELD + ", u as (select hex_id, sum(km2) as km2, max(km2) as largest from held group by 1), m as (select count(*) filter (largest > km2) as p, count(*) as n, max(km2) as k from u) " + gate_sql(("parts_within_whole", "p", "=", 0), ("groups_there", "n", ">=", 1), ("largest_in_bounds", "k", "<=", 1500)),
+)
+
+
+def binding_metrics(s, d):
+    return bound(s, d, 5000.0).agg(F.count_if(F.col("method") == "UNRESOLVED").alias("unresolved"), F.count_if((F.col("method") == "CONTAINS") & (F.col("distance_m") > 0)).alias("inside_but_away"), F.max("distance_m").alias("farthest"))
+
+
+register(
+    "q12_binding_gates",
+    gate_query(binding_metrics, [("few_unresolved", "unresolved", "<=", 100), ("inside_is_here", "inside_but_away", "=", 0), ("within_limit", "farthest", "<=", 5000)]),
+    PLACES + bound_sql(5000, "0") + ", m as (select count(*) filter (method = 'UNRESOLVED') as u, count(*) filter (method = 'CONTAINS' and m > 0) as i, round(max(m), 6) as f from bound0) " + gate_sql(("few_unresolved", "u", "<=", 100), ("inside_is_here", "i", "=", 0), ("within_limit", "f", "<=", 5000)).replace("cast(f as double)", "cast(f as double)"),
+)
+register(
+    "j30_boundary_distance",
+    lambda s, d: spatial.nearest_segment(places(s, d), spatial.segments_of(rings(s, d)), 12_000.0).select("id", F.round(F.col("distance_m") * F.cos(F.atan(F.sinh(F.col("y") / 6378137.0))), 3).alias("ground_m")),
+    PLACES + f", m as (select p.id, p.y, min(case when x > x0 and x < x1 and y > y0 and y < y1 then least(x - x0, x1 - x, y - y0, y1 - y) else {DIST} end) as m from places p cross join b group by all) select id, case when m <= 12000 then round(m * cos(atan(sinh(y / 6378137e0))), 3) end as ground_m from m",
+)
+
+
+def j29(s, d):
+    """The exact land of each holder, a nation's suppliers' boxes united, in each cell, and who has most of it."""
+    owned = rings(s, d).join(s.read.parquet(f"{d}/supplier.parquet").selectExpr("cast(s_suppkey as bigint) as feature_id", "cast(s_nationkey as bigint) as polity_id"), "feature_id")
+    land = spatial.union_in_hexes(owned, GRID, ["polity_id"]).withColumn("hex_id", GRID.hex_id(F.col("q"), F.col("r")))
+    return rounded(dominant(land, "hex_id", "polity_id", "area_m2"), 1, "area_m2", "runner_up", "margin")
+
+
+register("j29_hex_binding", j29)

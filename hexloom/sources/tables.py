@@ -39,18 +39,19 @@ def by_id(registry: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def write_banded(rings: DataFrame, path: str, band_m: float) -> None:
-    """Rings with their boxes, in a folder for each band of northing, so that readers prune bands and row groups."""
+    """Rings with their boxes, in a folder for each number of further bands they reach into and each band of northing, so that readers prune bands and row groups."""
     boxed = rings.withColumns({"minx": F.array_min("xs"), "miny": F.array_min("ys"), "maxx": F.array_max("xs"), "maxy": F.array_max("ys")})
-    banded = boxed.withColumn("band", F.floor(F.col("miny") / band_m))
-    banded.repartitionByRange(F.col("band"), F.col("minx")).sortWithinPartitions("band", "minx").write.partitionBy("band").parquet(path)
+    band = F.floor(F.col("miny") / band_m)
+    banded = boxed.withColumns({"reach": F.floor(F.col("maxy") / band_m) - band, "band": band})
+    banded.repartitionByRange("reach", "band", "minx").sortWithinPartitions("reach", "band", "minx").write.partitionBy("reach", "band").parquet(path)
 
 
 def read_banded(spark: SparkSession, path: str, box: tuple[float, float, float, float], margin: float, band_m: float) -> DataFrame:
     """Rings whose box meets a box widened by a margin, without exact copies. Rings may reach over one band's end into the next ones."""
     x0, y0, x1, y1 = box[0] - margin, box[1] - margin, box[2] + margin, box[3] + margin
-    rings = spark.read.parquet(path).where(F.col("band") <= int(y1 // band_m))
+    rings = spark.read.parquet(path).where((F.col("band") <= int(y1 // band_m)) & (F.col("band") + F.col("reach") >= int(y0 // band_m)))
     hit = rings.where((F.col("minx") <= x1) & (F.col("maxx") >= x0) & (F.col("miny") <= y1) & (F.col("maxy") >= y0))
-    return hit.drop("band").dropDuplicates(["xs", "ys"])
+    return hit.drop("band", "reach").dropDuplicates(["xs", "ys"])
 
 
 def split_expected(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
@@ -77,14 +78,19 @@ def chunk_manifest(df: DataFrame, key: str, counts: dict[str, Column]) -> DataFr
 
 
 def file_manifest(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
-    """Files below a path with size and SHA-256; with ``known`` (path, size, modified, sha256) unchanged files keep their hash and are not read."""
+    """Files below a path with size and SHA-256; with ``known`` (path, size, modified, sha256) unchanged files keep their hash and are not read.
+
+    The listing leaves contents alone; its new paths are named to the scan that reads them.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    each = files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    columns = ["path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")]
+    digest = F.sha2("content", 256).alias("sha256")
     if known is None:
-        return each
-    listed = files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
-    same = listed.join(known, ["path", "size", "modified"])
-    return same.select("path", "size", "modified", "sha256").unionByName(each.join(same.select("path"), "path", "left_anti"))
+        return files.select(*columns, digest)
+    listed = files.select(*columns)
+    same = listed.join(known, ["path", "size", "modified"]).select("path", "size", "modified", "sha256")
+    new = [r["path"] for r in listed.join(known, ["path", "size", "modified"], "left_anti").select("path").collect()]
+    return same.unionByName(spark.read.format("binaryFile").load(new).select(*columns, digest)) if new else same
 
 
 def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from hexloom.operators import checks
+from hexloom.operators import authority, checks
+from hexloom.operators import spatial as kernels
 from hexloom.plans import registry, spatial, terrain
+from hexloom.sources import tables
 
 registry.load()
 
@@ -86,3 +90,45 @@ def test_capped_clusters_against_edge_by_edge(spark, seed):
     got = {row.id: row.cluster for row in checks.capped_clusters(nodes, df, 12.0, 25.0).collect()}
     assert got == kruskal(points, edges, 12.0, 25.0)
     assert {row.id: row.cluster for row in checks.capped_clusters(nodes, df.where("a < 0"), 12.0, 25.0).collect()} == {i: i for i, _, _ in points}
+
+
+def test_binding_of_holders_to_cells(spark):
+    sf = "/root/testdata/sf0.001"
+    nation = {r.s_suppkey: r.s_nationkey for r in spark.read.parquet(f"{sf}/supplier.parquet").collect()}
+    boxes = [(nation[r.feature_id], r.cx - r.hx, r.cy - r.hy, r.cx + r.hx, r.cy + r.hy) for r in spatial.boxes(spark, sf).collect()]
+    side = 6000 / math.sqrt(3)
+    got = registry.QUERIES["j29_hex_binding"](spark, sf).collect()
+    assert len(got) > 5
+    for row in got:
+        q, r = (int(x) for x in re.findall(r"[qr]([+-]\d+)", row.hex_id))
+        cx, cy = 6000 * (q + r / 2), 1.5 * side * r
+        hexagon = [np.array([cx + side * math.cos(math.radians(60 * k - 30)) for k in range(6)]), np.array([cy + side * math.sin(math.radians(60 * k - 30)) for k in range(6)])]
+        land = defaultdict(list)
+        for n, x0, y0, x1, y1 in boxes:
+            land[n].append(kernels.clip_convex(np.array([x0, x1, x1, x0]), np.array([y0, y0, y1, y1]), *hexagon))
+        areas = {n: kernels.union_area([p for p in parts if len(p[0]) > 2]) for n, parts in land.items()}
+        areas = sorted(((m, -n) for n, m in areas.items() if m > 1e-6), reverse=True)
+        assert row.polity_id == -areas[0][1] and row.area_m2 == pytest.approx(areas[0][0], abs=0.2) and row.holders == len(areas)
+        assert row.runner_up == pytest.approx(areas[1][0] if len(areas) > 1 else 0.0, abs=0.2)
+
+
+def test_unchanged_files_are_not_read(spark, tmp_path):
+    for n in ("a", "b"):
+        (tmp_path / n).write_text(n)
+    first = tables.file_manifest(spark, str(tmp_path))
+    known = spark.createDataFrame(first.withColumn("sha256", first["path"]).collect(), first.schema)  # hashes that no file has
+    (tmp_path / "c").write_text("c")
+    again = {r.path[-1]: r.sha256 for r in tables.file_manifest(spark, str(tmp_path), known).collect()}
+    assert again["a"].endswith("/a") and again["b"].endswith("/b") and len(again["c"]) == 64
+    assert tables.file_manifest(spark, str(tmp_path), tables.file_manifest(spark, str(tmp_path))).count() == 3
+
+
+def test_empty_and_null_rows_of_authority_tables(spark):
+    cells = spark.createDataFrame([], "hex_id string, owner string")
+    assert authority.anchored_owners(cells).count() == 0
+    assert authority.gates(spark.createDataFrame([(None,)], "n long"), [("g", "n", ">=", 0)]).first()["passed"] is False
+    hulls = spark.createDataFrame([(1, 0.0, 0.0), (1, 3.0, 4.0), (1, 1.0, 1.0), (2, 5.0, 5.0), (2, 5.0, 5.0), (None, 1.0, 1.0), (3, None, 1.0)], "g long, x double, y double")
+    assert {r.g: r.extent_m for r in authority.group_extents(hulls, "g").collect()} == {1: 5.0, 2: 0.0}
+    places = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 0.0)], "id long, x double, y double")
+    none = spark.createDataFrame([], "case_id long, x double, y double, radius_m double")
+    assert authority.outside_exclusions(places, none).count() == 2
