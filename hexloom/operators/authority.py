@@ -421,16 +421,16 @@ def group_extents(points: DataFrame, by: str) -> DataFrame:
     schema = f"{by} {points.schema[by].dataType.simpleString()}, x double, y double"
 
     def corners(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf[["x", "y"]].drop_duplicates().sort_values(["x", "y"]).to_numpy(float)
+        rows = sorted(set(zip(pdf["x"].tolist(), pdf["y"].tolist())))
         kept = []
         for run in (rows, rows[::-1]):  # the lower and the upper chain
-            chain: list[np.ndarray] = []
-            for p in run:
-                while len(chain) > 1 and np.linalg.det(np.array([chain[-1] - chain[-2], p - chain[-2]])) <= 0:
+            chain: list[tuple[float, float]] = []
+            for x, y in run:
+                while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (y - chain[-2][1]) <= (chain[-1][1] - chain[-2][1]) * (x - chain[-2][0]):
                     chain.pop()
-                chain.append(p)
+                chain.append((x, y))
             kept += chain
-        return pd.DataFrame(kept, columns=["x", "y"]).drop_duplicates()
+        return pd.DataFrame(sorted(set(kept)), columns=["x", "y"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -482,3 +482,41 @@ def expected_values(points: DataFrame, layers: DataFrame, expectations: DataFram
     """Expectations (id, layer, allowed: an array) at places (id, hex_id) against the layers' values (hex_id, layer, value): id, layer, value, met."""
     at = expectations.join(points.select("id", "hex_id"), "id", "left").join(layers, ["hex_id", "layer"], "left")
     return at.select("id", "layer", "value", F.coalesce(F.array_contains("allowed", F.col("value")), F.lit(False)).alias("met"))
+
+
+# Components and two-way audits
+
+
+def group_metrics(members: DataFrame, points: DataFrame, by: str) -> DataFrame:
+    """For each group of components (``by``, component_id, km2) its parts, area, largest part's share and id, and its extent over ``points`` (``by``, x, y)."""
+    sums = members.groupBy(by).agg(F.count("*").alias("parts"), F.sum("km2").alias("km2"), F.max("km2").alias("largest"))
+    named = group_id(members, by, "component_id", "isl_g_")
+    share = F.coalesce(F.try_divide("largest", "km2"), F.lit(0.0))
+    return sums.withColumn("largest_share", share).drop("largest").join(named, by).join(group_extents(points, by), by, "left")
+
+
+def admin_of_components(overlaps: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Each component's admin: the one with the largest overlap (component_id, admin_id, km2; of ties the smaller id), else the nearest (component_id, admin_id, distance_m).
+
+    ``nearest`` has a row for every component, with nulls where nothing is near.
+    """
+    best = overlaps.groupBy("component_id").agg(F.max_by("admin_id", F.struct("km2", (-F.col("admin_id")).alias("k"))).alias("largest"))
+    both = nearest.join(best, "component_id", "left")
+    method = F.when(F.col("largest").isNotNull(), "LARGEST_INTERSECTION").when(F.col("admin_id").isNotNull(), "NEAREST_POLYGON").otherwise("UNRESOLVED")
+    return both.select("component_id", F.coalesce("largest", "admin_id").alias("admin_id"), method.alias("method"), F.when(F.col("largest").isNull(), F.col("distance_m")).alias("distance_m"))
+
+
+def two_way_audit(areas: DataFrame, absolute: float, relative: float) -> DataFrame:
+    """Land by the coast against land by the admins (coast, admin, either: the area of both together): matched, under, over, their shares of the coast's, and a class."""
+    matched = F.col("coast") + F.col("admin") - F.col("either")
+    under, over = F.col("coast") - matched, F.col("admin") - matched
+    limit = F.greatest(F.lit(absolute), F.col("coast") * relative)
+    kind = F.when((under > limit) & (over > limit), "BIDIRECTIONAL_MISMATCH").when(under > limit, "UNDERCOVERED").when(over > limit, "OVERCOVERED").otherwise("MATCHED")
+    share = lambda c: F.try_divide(c, F.col("coast"))
+    return areas.withColumns({"matched": matched, "under": under, "over": over, "covered_fraction": F.least(F.lit(1.0), share(matched)), "symmetric_fraction": share(under + over), "coverage_class": kind})
+
+
+def component_areas(components: DataFrame, areas: DataFrame) -> DataFrame:
+    """For each component (node, component) its parts and area; nodes without a neighbour are components of their own. Areas: node, km2."""
+    own = areas.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return own.groupBy("component").agg(F.count("*").alias("parts"), F.sum("km2").alias("km2"))

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hexloom.functions.geodesy import geodesic, haversine
 from hexloom.functions.hexgrid import GridSpec
 from hexloom.functions.ids import hashed_id
+from hexloom.functions.projection import to_wgs84
 from hexloom.operators import authority as a
 from hexloom.operators import grid as g
 from hexloom.operators import islands as i
 from hexloom.operators import rasters, spatial
+from hexloom.operators.checks import components_of_edges
 from hexloom.operators.control import dominant
 from hexloom.operators.points import nearest_within, place_points
 from hexloom.sources import tables as t
+from hexloom.tables import fresh_dir
 
 from .registry import register
-from .spatial import DIST, PLACES, boxes, places, rings
+from .spatial import DIST, HEAD, OVERLAPS, PLACES, boxes, places, rings, wide
 from .standins import PLACED_SQL, cte, stand_in
 
 GRID = GridSpec(6000.0)
@@ -723,3 +727,160 @@ def j29(s, d):
 
 
 register("j29_hex_binding", j29)
+
+
+# Sources and sinks
+
+
+def s13(s, d):
+    path = fresh_dir(s, "query")
+    t.write_banded(rings(s, d), path, 20_000.0)
+    bands = s.read.parquet(path).groupBy("band", "reach").agg(F.count("*").alias("rings"))
+    return bands.select(F.col("band").cast("bigint"), F.col("reach").cast("bigint"), "rings")
+
+
+register("s13_banded_cache", s13, HEAD + " select cast(floor(y0 / 20000) as bigint) as band, cast(floor(y1 / 20000) - floor(y0 / 20000) as bigint) as reach, count(*) as rings from b group by all")
+
+
+def curated(table, columns, schema):
+    def run(s, d):
+        path = fresh_dir(s, "query")
+        s.read.parquet(f"{d}/{table}.parquet").selectExpr(*columns).write.options(header=True, nullValue="").csv(path)
+        return t.read_curated(s, path, schema)
+
+    return run
+
+
+register("s16_registry", curated("nation", ["n_nationkey as id", "n_name as name", "case when n_nationkey % 4 <> 0 then n_regionkey end as region"], "id bigint, name string, region bigint"), "select cast(n_nationkey as bigint) as id, n_name as name, case when n_nationkey % 4 <> 0 then cast(n_regionkey as bigint) end as region from nation")
+register("s18_assertions", curated("events", ["event_id as id", "event_type as kind", "user_id as subject"], "id bigint, kind string, subject bigint"), "select cast(event_id as bigint) as id, event_type as kind, cast(user_id as bigint) as subject from events")
+
+
+def s19(s, d):
+    """The hexes of all places as CSV, Parquet and GeoJSON: what each form holds when it is read back."""
+    cells = placed(s, d).select("hex_id", "centre_x", "centre_lon", "centre_lat").distinct()
+    path = fresh_dir(s, "query")
+    t.write_csv(cells, f"{path}/csv")
+    cells.write.parquet(f"{path}/parquet")
+    t.geojson_lines(cells, t.point_geometry(F.col("centre_lon"), F.col("centre_lat"))).write.text(f"{path}/geojson")
+    csv = s.read.schema("hex_id string, centre_x double, centre_lon double, centre_lat double").option("header", True).csv(f"{path}/csv")
+    forms = {"csv": csv.select("hex_id"), "parquet": s.read.parquet(f"{path}/parquet").select("hex_id"), "geojson": s.read.text(f"{path}/geojson").select(F.get_json_object("value", "$.properties.hex_id").alias("hex_id"))}
+    out = [df.agg(F.lit(n).alias("form"), F.countDistinct("hex_id").alias("hexes"), F.min("hex_id").alias("first")) for n, df in forms.items()]
+    return out[0].union(out[1]).union(out[2])
+
+
+register("s19_hex_outputs", s19, PT + ", c as (select count(distinct hex_id) as n, min(hex_id) as f from placed) select unnest(['csv', 'parquet', 'geojson']) as form, n as hexes, f as first from c")
+
+
+def s21(s, d):
+    """The coast between cells with and without a large place, written as GeoJSON lines and counted again."""
+    cells = placed(s, d).groupBy("q", "r").agg((F.max("population") >= 500_000).alias("land"))
+    edges = g.generated_coastline(cells, F.col("land"), GRID)
+    path = fresh_dir(s, "query")
+    (x1, y1), (x2, y2) = g.node_xy(GRID, F.col("n1")), g.node_xy(GRID, F.col("n2"))
+    ends = edges.select("edge_id", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+    (a1, b1), (a2, b2) = to_wgs84(F.col("x1"), F.col("y1")), to_wgs84(F.col("x2"), F.col("y2"))
+    t.geojson_lines(ends, t.line_geometry(a1, b1, a2, b2)).write.text(path)
+    return s.read.text(path).select(F.get_json_object("value", "$.properties.edge_id").alias("edge_id"), F.get_json_object("value", "$.geometry.type").alias("type"))
+
+
+register(
+    "s21_coast_outputs",
+    s21,
+    PT + ", c as (select hex_id, q, r, max(population) >= 500000 as land from placed group by all) select 'e_' || least(a.hex_id, b.hex_id) || '_' || greatest(a.hex_id, b.hex_id) as edge_id, 'LineString' as type from c a join c b on a.land and not b.land and greatest(abs(a.q - b.q), abs(a.r - b.r), abs(a.q - b.q + a.r - b.r)) = 1",
+)
+
+
+def s23(s, d):
+    path = fresh_dir(s, "query")
+    t.write_chunks(hold(s, d).withColumn("chunk_id", F.col("hex_id") % 11), path)
+    manifest = t.chunk_manifest(s.read.parquet(path).withColumn("chunk_id", F.col("chunk_id").cast("bigint")), "chunk_id", {"large": F.col("km2") > 60})
+    return manifest.select("chunk_id", "rows", "large")
+
+
+register("s23_chunk_tables", s23, HELD + " select hex_id % 11 as chunk_id, count(*) as rows, count(*) filter (km2 > 60) as large from held group by 1")
+
+# Components, distances and two-way audits
+
+register(
+    "p25_outlier_cause",
+    lambda s, d: lay(s, d).select("hex_id", a.outlier_cause(F.col("tree_fraction") * 20_000, F.col("urban_fraction") * 20_000, F.col("shrub_fraction") * 6e7, 6000.0, 3e7).alias("cause")),
+    LAY + " select hex_id, case when tree_fraction * 20000 > 9000 and shrub_fraction * 6e7 < 3e7 then 'SMALL_ISLAND_LOST' when tree_fraction * 20000 > 9000 then 'NARROW_PENINSULA' when urban_fraction * 20000 > 9000 then 'NARROW_INLET' else 'HEX_MAJORITY_QUANTISATION' end as cause from layers",
+)
+register(
+    "f07_distances",
+    lambda s, d: stand_in(s, d, "points").select("id", F.round(haversine(F.col("lon"), F.col("lat"), F.lit(139.7), F.lit(35.7)), 3).alias("sphere_m"), (F.abs(geodesic(F.col("lon"), F.col("lat"), F.lit(139.7), F.lit(35.7)) / haversine(F.col("lon"), F.col("lat"), F.lit(139.7), F.lit(35.7)) - 1) < 0.006).alias("ellipsoid_is_near")),
+    PT + " select id, round(2 * 6371008.8e0 * asin(sqrt(power(sin(radians(35.7e0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(35.7e0)) * power(sin(radians(139.7e0 - lon) / 2), 2))), 3) as sphere_m, true as ellipsoid_is_near from points",
+)
+
+
+def a19(s, d):
+    members = hold(s, d).select(F.col("polity_id").alias("group"), F.col("hex_id").alias("component_id"), "km2")
+    points = members.select("group", (F.col("component_id") % 97 * 1000.0).alias("x"), (F.col("component_id") % 89 * 1000.0).alias("y"))
+    return rounded(a.group_metrics(members, points, "group"), 6, "largest_share", "extent_m").select("group", "parts", "km2", "largest_share", "group_id", "extent_m")
+
+
+register(
+    "a19_group_metrics",
+    a19,
+    HELD + """, p as (select distinct polity_id, hex_id % 97 * 1000e0 as x, hex_id % 89 * 1000e0 as y from held), e as (select a.polity_id, round(max(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)), 6) as extent_m from p a join p b on a.polity_id = b.polity_id group by 1)
+select polity_id as "group", count(*) as parts, sum(km2) as km2, round(max(km2) / sum(km2), 6) as largest_share, 'isl_g_' || substr(sha1(string_agg(cast(hex_id as varchar), '|' order by cast(hex_id as varchar))), 1, 12) as group_id, max(extent_m) as extent_m from held join e using (polity_id) group by 1""",
+)
+
+
+def j31(s, d):
+    """The boxes of a pair of suppliers as land by the coast, a second box of each as land by the admins."""
+    pair = F.floor(F.col("feature_id") / 2)
+    coast = rings(s, d).withColumn("pair", pair)
+    admin = boxes(s, d).selectExpr("feature_id", "false as is_hole", "array(cx - 100, cx + hx * 1.5, cx + hx * 1.5, cx - 100) as xs", "array(cy - 50, cy - 50, cy + hy * 1.2, cy + hy * 1.2) as ys").withColumn("pair", pair)
+    area = lambda df, n: spatial.union_in_hexes(df, GRID, ["pair"]).groupBy("pair").agg((F.sum("area_m2") / 1e6).alias(n))
+    both = area(coast, "coast").join(area(admin, "admin"), "pair").join(area(coast.unionByName(admin), "either"), "pair")
+    return rounded(a.two_way_audit(both, 20.0, 0.05), 4, "coast", "admin", "matched", "under", "over").select("pair", "coast", "admin", "matched", "under", "over", "coverage_class")
+
+
+register(
+    "j31_two_way_audit",
+    j31,
+    HEAD + """, two as (select cast(floor(feature_id / 2) as bigint) as pair, true as c, cx - hx as x0, cx + hx as x1, cy - hy as y0, cy + hy as y1 from boxes
+  union all select cast(floor(feature_id / 2) as bigint), false, cx - 100, cx + hx * 1.5e0, cy - 50, cy + hy * 1.2e0 from boxes),
+xs as (select pair, x as a, lead(x) over (partition by pair order by x) as b from (select distinct pair, unnest([x0, x1]) as x from two)),
+ys as (select pair, y as a, lead(y) over (partition by pair order by y) as b from (select distinct pair, unnest([y0, y1]) as y from two)),
+k as (select xs.pair, (xs.b - xs.a) * (ys.b - ys.a) / 1e6 as m, bool_or(t.c) as c, bool_or(not t.c) as n from xs join ys on ys.pair = xs.pair join two t on t.pair = xs.pair and t.x0 <= xs.a and xs.b <= t.x1 and t.y0 <= ys.a and ys.b <= t.y1 group by xs.pair, xs.a, xs.b, ys.a, ys.b),
+v as (select pair, coalesce(sum(m) filter (c), 0) as coast, coalesce(sum(m) filter (n), 0) as admin, coalesce(sum(m) filter (c and n), 0) as matched, coalesce(sum(m) filter (c and not n), 0) as under, coalesce(sum(m) filter (n and not c), 0) as over from k group by 1)
+select pair, round(coast, 4) as coast, round(admin, 4) as admin, round(matched, 4) as matched, round(under, 4) as under, round(over, 4) as over,
+case when under > greatest(20, coast * 0.05e0) and over > greatest(20, coast * 0.05e0) then 'BIDIRECTIONAL_MISMATCH' when under > greatest(20, coast * 0.05e0) then 'UNDERCOVERED' when over > greatest(20, coast * 0.05e0) then 'OVERCOVERED' else 'MATCHED' end as coverage_class from v""",
+)
+
+
+def j21(s, d):
+    """Suppliers' boxes as components, the wide boxes around them, each shifted by one supplier, as admins."""
+    shifted = wide(s, d).withColumn("feature_id", F.lit(1_000_000) + F.col("feature_id"))
+    pairs = spatial.overlaps(rings(s, d).unionByName(shifted), GRID, 1.0).where("a < 1000000 and b >= 1000000")
+    over = pairs.select(F.col("a").alias("component_id"), (F.col("b") - 1_000_000).alias("admin_id"), F.round(F.col("overlap_m2") / 1e6, 3).alias("km2"))
+    centres = boxes(s, d).selectExpr("feature_id as id", "cx as x", "cy as y")
+    near = spatial.bind_points(centres, wide(s, d), 10_000.0, 8_000.0).selectExpr("id as component_id", "feature_id as admin_id", "distance_m")
+    return a.admin_of_components(over, near).select("component_id", "admin_id", "method")
+
+
+register(
+    "j21_component_admin",
+    j21,
+    HEAD + """, w as (select feature_id, cx - 3 * hx as x0, cx + 3 * hx as x1, cy - 3 * hy as y0, cy + 3 * hy as y1 from boxes),
+o as (select b.feature_id as component_id, w.feature_id as admin_id, round((least(b.x1, w.x1) - greatest(b.x0, w.x0)) * (least(b.y1, w.y1) - greatest(b.y0, w.y0)) / 1e6, 3) as km2 from b join w on b.x0 < w.x1 and w.x0 < b.x1 and b.y0 < w.y1 and w.y0 < b.y1)
+select component_id, admin_id, 'LARGEST_INTERSECTION' as method from (select *, row_number() over (partition by component_id order by km2 desc, admin_id) as k from o) where k = 1""",
+)
+
+
+def g08(s, d):
+    """Wide boxes that overlap are one component; its area is the sum of its parts'."""
+    edges = spatial.overlaps(wide(s, d), GRID, 1.0).select("a", "b")
+    areas = boxes(s, d).selectExpr("feature_id as node", "round(36 * hx * hy / 1e6, 6) as km2")
+    return rounded(a.component_areas(components_of_edges(edges), areas), 4, "km2")
+
+
+register(
+    "g08_detached_components",
+    g08,
+    OVERLAPS + """, u as (select a, b from o where m > 1 union all select b, a from o where m > 1), l0 as (select distinct a as node, a as label from u), """
+    + ", ".join(f"l{n} as (select u.a as node, min(least(p.label, q.label)) as label from u join l{n - 1} p on p.node = u.b join l{n - 1} q on q.node = u.a group by 1)" for n in range(1, 31))
+    + " select coalesce(l30.label, z.feature_id) as component, count(*) as parts, round(sum(round(36 * hx * hy / 1e6, 6)), 4) as km2 from boxes z left join l30 on l30.node = z.feature_id group by 1",
+)

@@ -111,6 +111,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = False) -> None:
+    """A table as CSV with a header and six digits after the point, gzipped if wanted."""
     rounded(df).write.options(header=True, compression="gzip" if gzip else "none", emptyValue="").csv(path)
 
 
@@ -120,7 +121,14 @@ def geojson_lines(df: DataFrame, geometry: Column) -> DataFrame:
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), properties.alias("properties")), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def line_geometry(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    """A straight line between two places as a GeoJSON geometry."""
+    at = lambda lon, lat: F.array(F.round(lon, 7), F.round(lat, 7))
+    return F.struct(F.lit("LineString").alias("type"), F.array(at(lon1, lat1), at(lon2, lat2)).alias("coordinates"))
+
+
 def point_geometry(lon: Column, lat: Column) -> Column:
+    """A place as a GeoJSON geometry."""
     return F.struct(F.lit("Point").alias("type"), F.array(F.round(lon, 7), F.round(lat, 7)).alias("coordinates"))
 
 
