@@ -29,6 +29,7 @@ JUNCTIONS, MOUTH_LIMIT = 3, 20_000.0
 SIDES = (((1, -1), (1, 1), (1, 0)), ((1, 1), (0, 2), (0, 1)), ((0, 2), (-1, 1), (-1, 1)))
 RING = ((1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1), (0, -2))
 NODE = "struct<x:bigint,y:bigint>"
+FLAT = "branch string, step int, x bigint, y bigint, x1 bigint, y1 bigint, x2 bigint, y2 bigint, cost double"
 STEPS = f"branch string, step int, node {NODE}, n1 {NODE}, n2 {NODE}, cost double"
 
 
@@ -41,6 +42,14 @@ def legs(vertices: DataFrame) -> DataFrame:
     return each.withColumn("s0", F.sum("leg").over(w) - F.col("leg"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys onto all shuffle partitions.
+
+    What follows makes hundreds of rows of each, or searches a graph, so the few bytes here must not be folded into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def to_leg(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> tuple[Column, Column]:
     """The distance of a place from a leg, and the part of the leg (0 to 1) where it is nearest."""
     dx, dy = bx - ax, by - ay
@@ -67,13 +76,15 @@ def cells_near(vertices: DataFrame, grid: GridSpec, reach: Column) -> DataFrame:
     """
     wide = vertices.groupBy(F.col("branch").cast("string").alias("branch")).agg(F.max(reach).alias("reach"))
     each = legs(vertices).join(wide, "branch").withColumn("n", F.greatest(F.lit(1), F.ceil(F.col("leg") / (3 * grid.side))).cast("int"))
-    each = each.withColumn("i", F.explode(F.sequence(F.lit(1), "n")))
+    each = spread(each, "branch", "k").withColumn("i", F.explode(F.sequence(F.lit(1), "n")))
     dx, dy = (F.col("bx") - F.col("ax")) / F.col("n"), (F.col("by") - F.col("ay")) / F.col("n")
     ends = {"px": F.col("ax") + dx * (F.col("i") - 1), "py": F.col("ay") + dy * (F.col("i") - 1), "ox": F.col("ax") + dx * F.col("i"), "oy": F.col("ay") + dy * F.col("i")}
     each = each.withColumns(ends).withColumn("s", F.col("s0") + F.col("leg") / F.col("n") * (F.col("i") - 1)).withColumn("piece", F.col("leg") / F.col("n"))
     pad = F.col("reach") + grid.side
     box = {"min_x": F.least("px", "ox") - pad, "max_x": F.greatest("px", "ox") + pad, "min_y": F.least("py", "oy") - pad, "max_y": F.greatest("py", "oy") + pad}
-    return hexes_of_boxes(each.select("branch", "reach", "px", "py", "ox", "oy", "s", "piece").withColumns(box), grid)
+    cells = hexes_of_boxes(each.select("branch", "reach", "px", "py", "ox", "oy", "s", "piece").withColumns(box), grid)
+    middle = grid.centre(F.col("q"), F.col("r"))
+    return cells.where(to_leg(*middle, F.col("px"), F.col("py"), F.col("ox"), F.col("oy"))[0] <= pad + 1e-6)
 
 
 def places(grid: GridSpec, a: Column, b: Column) -> list[Column]:
@@ -154,25 +165,25 @@ def search(same_turn: float):
     """A function for ``applyInPandas``: the cheapest path of one branch through its corridor, as rows of its nodes in order.
 
     The group is the corridor of one branch: its size goes with the length of a river between two
-    confluences, never with the number of rivers. Wanted: n1, n2, ahead, back and flags start1, start2,
-    goal1, goal2. A state is a directed edge and the turn that led onto it. All states that were bettered
+    confluences, never with the number of rivers. Wanted: x1, y1, x2, y2 of the nodes (as plain
+    numbers), ahead, back and flags start1, start2, goal1, goal2. A state is a directed edge and the turn that led onto it. All states that were bettered
     in a round hand their cost to the edges ahead of them, until none betters another; whatever costs
     as much as the best goal is not followed.
     """
 
     def path(group: pd.DataFrame) -> pd.DataFrame:
-        g = group.assign(a=[(n["x"], n["y"]) for n in group.n1], b=[(n["x"], n["y"]) for n in group.n2]).sort_values(["a", "b"], ignore_index=True)
-        names = sorted(set(g.a) | set(g.b))
-        number = {n: i for i, n in enumerate(names)}
-        xy = np.array(names, dtype=float) * [3**0.5, 1.0]  # lattice units are half a width and half a side
-        one, two = g.a.map(number).to_numpy(), g.b.map(number).to_numpy()
+        g = group.sort_values(["x1", "y1", "x2", "y2"], ignore_index=True)
+        both = np.concatenate([g[["x1", "y1"]].to_numpy(), g[["x2", "y2"]].to_numpy()])
+        names, number = np.unique(both, axis=0, return_inverse=True)
+        xy = names * [3**0.5, 1.0]  # lattice units are half a width and half a side
+        one, two = np.split(number.ravel(), 2)
         tail, head, m = np.concatenate([one, two]), np.concatenate([two, one]), len(g)
         cost = np.concatenate([g.ahead, g.back]).astype(float)
-        start = sorted(set(one[g.start1]) | set(two[g.start2]))[0]
+        start = int(np.concatenate([one[g.start1], two[g.start2]]).min())
         goal = np.zeros(len(names), dtype=bool)
         goal[one[g.goal1]] = goal[two[g.goal2]] = True
         nodes = [start]
-        through = []
+        through, paid = [], [0.0]
         if not goal[start]:
             leaving = np.full((len(names), 3), -1)  # a corner has three edges at most
             order = np.argsort(tail, kind="stable")
@@ -201,30 +212,39 @@ def search(same_turn: float):
                 reached[fresh], came[fresh] = total[first], source[first]
                 best = min(best, reached[fresh[ends[fresh]]].min(initial=np.inf))
             if not np.isfinite(best):
-                return pd.DataFrame(columns=["branch", "step", "node", "n1", "n2", "cost"])
+                return pd.DataFrame(columns=["branch", "step", "x", "y", "x1", "y1", "x2", "y2", "cost"])
             at = int(np.flatnonzero(ends & (reached == best))[0])
             while at >= 0:
                 through.append(at)
                 at = int(came[at])
             through.reverse()
             nodes += [int(head[e // 3]) for e in through]
-        point = [{"x": names[i][0], "y": names[i][1]} for i in nodes]
-        sides = [None, *[e // 3 % m for e in through]]
-        return pd.DataFrame({
-            "branch": g.branch[0], "step": np.arange(len(nodes), dtype="int32"), "node": point,
-            "n1": [None if e is None else g.n1[e] for e in sides], "n2": [None if e is None else g.n2[e] for e in sides],
-            "cost": [0.0, *[reached[e] for e in through]],
-        })
+            paid += [float(reached[e]) for e in through]
+        sides = np.array([e // 3 % m for e in through], dtype=int)
+        out = pd.DataFrame({"branch": g.branch[0], "step": np.arange(len(nodes), dtype="int32"), "x": names[nodes, 0], "y": names[nodes, 1]})
+        for c in ("x1", "y1", "x2", "y2"):
+            out[c] = pd.array([None, *g[c].to_numpy()[sides]], dtype="Int64")
+        return out.assign(cost=paid)
 
     return path
 
 
+def searched(edges: DataFrame, same_turn: float) -> DataFrame:
+    """The paths of ``search`` through flagged edges, as steps."""
+    found = spread(edges, "branch").groupBy("branch").applyInPandas(search(same_turn), FLAT)
+
+    def node(x, y):
+        return F.when(F.col(x).isNotNull(), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))
+
+    return found.select("branch", "step", F.struct("x", "y").alias("node"), node("x1", "y1").alias("n1"), node("x2", "y2").alias("n2"), "cost")
+
+
 def flagged(edges: DataFrame, starts: DataFrame, goals: DataFrame) -> DataFrame:
     """Edges with start1, start2, goal1 and goal2 by (branch, node) tables; branches without a start or a goal are left out."""
     marks = starts.select("branch", "node", F.lit("start").alias("kind")).unionByName(goals.select("branch", "node", F.lit("goal").alias("kind")))
     lists = marks.groupBy("branch").agg(*[F.collect_set(F.when(F.col("kind") == k, F.col("node"))).alias(k) for k in ("start", "goal")])
     lists = lists.where((F.size("start") > 0) & (F.size("goal") > 0))
-    return edges.join(lists, "branch").select("branch", "n1", "n2", "ahead", "back", *[F.array_contains(k, F.col(f"n{i}")).alias(f"{k}{i}") for k in ("start", "goal") for i in (1, 2)])
+    return edges.join(lists, "branch").select("branch", *[F.col(f"n{i}.{c}").alias(f"{c}{i}") for i in (1, 2) for c in "xy"], "ahead", "back", *[F.array_contains(k, F.col(f"n{i}")).alias(f"{k}{i}") for k in ("start", "goal") for i in (1, 2)])
 
 
 def depths(branches: DataFrame) -> DataFrame:
@@ -277,7 +297,7 @@ def snap(vertices: DataFrame, branches: DataFrame, water: DataFrame, grid: GridS
             on_path = nodes.join(done.select(F.col("branch").alias("receiver"), "node"), ["receiver", "node"])
             forced = nearest_nodes(on_path, grid, JUNCTIONS)
             goals = goals.join(forced.select("branch").distinct(), "branch", "left_anti").unionByName(forced)
-        found = written(flagged(here, starts, goals).groupBy("branch").applyInPandas(search(same_turn * grid.side), STEPS), "paths")
+        found = written(searched(flagged(here, starts, goals), same_turn * grid.side), "paths")
         done = found if done is None else done.unionByName(found)
     return vertices.sparkSession.createDataFrame([], STEPS) if done is None else done
 
@@ -351,7 +371,7 @@ def extend_mouths(paths: DataFrame, mouths: DataFrame, water: DataFrame, grid: G
     edges = written(costs(edges, grid, ids, scale, 0.0), "mouth-edges")
     sides = edges.select("branch", "n1", "n2", F.explode(F.array("hex_a", "hex_b")).alias("hex_id"))
     goals = sides.join(ids, "hex_id", "left_semi").select("branch", F.explode(F.array("n1", "n2")).alias("node")).distinct()
-    return written(flagged(edges, gaps.select("branch", "node"), goals).groupBy("branch").applyInPandas(search(0.0), STEPS), "extensions")
+    return written(searched(flagged(edges, gaps.select("branch", "node"), goals), 0.0), "extensions")
 
 
 def wide_river_hexes(vertices: DataFrame, grid: GridSpec, width_m: str, exaggeration: float = 1.0) -> DataFrame:
