@@ -13,9 +13,12 @@ from .html_extract import extract_pages
 from . import language_id
 from .lm import held_out, score, train
 from .near_duplicates import near_duplicates
+from . import secrets
 from .sharding import shard_documents
+from .spelling import spelling_variants
 from .url_filters import ALLOW, BLOCK, match_urls
 from .warc import ROW_ID, read_warc, write_warc
+from .whitening import whiten
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -154,3 +157,49 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_decontamination"] = op5_decontamination
+
+
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document: counts of the base kinds, the digest of their spans, and all spans."""
+    return secrets.summary(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+
+
+QUERIES["op11_secret_scan"] = op11_secret_scan
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector projected on the 32 leading components, over their deviations."""
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op12_whitening"] = op12_whitening
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, the form it is a variant of, and the last form of that chain."""
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op13_spelling_variants"] = op13_spelling_variants
+# The checksum is made bit by bit from its polynomial; words one edit apart meet on what is left when a letter is cut out.
+ORACLES["op13_spelling_variants"] = """
+with recursive crc_table as (select list(c order by i) as t from (
+  select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) r(i))),
+runs as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents),
+lowered as (select coalesce(doc_id::varchar, '') || ':' || translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as named,
+  translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low, count(*) as n from runs where length(run) >= 6 group by all),
+coded as (select low, n, hex(encode(named)) as h from lowered),
+summed as (select low, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::bigint)),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) as crc from coded, crc_table),
+spoiled as (select case when crc % 199 = 0 then substr(low, 1, crc % length(low)) || substr(low, crc % length(low) + 2) else low end as word, n from summed),
+words as (select word, sum(n)::bigint as n from spoiled where length(word) >= 6 group by word having sum(n) >= 5),
+cut as (select word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as k from words)),
+near as (select a.word, b.word as other, b.n from cut a join cut b on a.k = b.k and a.rest = b.rest and a.word <> b.word
+  union select c.word, w.word, w.n from cut c join words w on w.word = c.rest
+  union select w.word, c.word, c.n from cut c join words w on w.word = c.rest),
+best as (select word, count(*) as n_near, arg_min(other, (-n, other)) as form, max(n) as form_n from near group by word),
+forms as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when form_n >= 5 * w.n then form end as form, case when form_n >= 5 * w.n then form_n end as form_n from words w left join best b using (word)),
+chain as (select word, word as place, 0 as k from forms union all select c.word, f.form, c.k + 1 from chain c join forms f on f.word = c.place where f.form is not null),
+ends as (select word, arg_max(place, k) as root from chain group by word)
+select f.word, f.form, e.root, f.n, f.n_near, f.form_n from forms f join ends e using (word)
+"""
