@@ -2,8 +2,8 @@
 
 A group has three sizes: bytes, tokens (words) and rows. Groups become parcels:
 a large group is a parcel of its own, and one above a whole shard's share is cut
-into pieces by a hash of the document, so that one text that
-fills a third of the corpus is spread over shards; all other groups are gathered
+into pieces by a hash of the document and the number of the copy, so that one text that
+fills a third of the corpus is spread over shards, even if all its rows have one key; all other groups are gathered
 by the length of their text and a hash of it, so that there are parcels of many short texts and
 parcels of few long ones to make up for what large groups leave uneven. The number of parcels is bounded by the number of
 shards alone, so their table of sizes is small however many documents there are. Parcels go, largest first, to
@@ -29,6 +29,8 @@ PARCELS_A_SHARD = PARCELS_A_CLASS * CLASSES
 PIECES_A_SHARD = 8
 #: Rows that one run of slots has on average, and the least number of runs.
 ROWS_A_RUN, LEAST_RUNS = 100_000, 16
+#: Rows equal in key and text that one task numbers at once.
+COPIES_A_TASK = 100_000
 #: Part of a shard's share that a parcel may be larger than the room for it.
 SLACK = 1 / 512
 
@@ -66,7 +68,8 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
 
     A null text counts as an empty one: size 8, checksum 0. Equal texts go to one
     shard unless together they exceed a shard's share, an even part of all bytes.
-    Tokens and rows are balanced as far as bytes and whole groups allow. Repeated rows are all placed. An empty table gives no rows. Rows equal in key
+    Tokens and rows are balanced as far as bytes and whole groups allow. Repeated rows are all placed, and rows equal in key and
+    text are cut like others where their group is, as are rows with a null key. An empty table gives no rows. Rows equal in key
     and text have interchangeable slots. Shards can't be near equal where single
     texts are large against a shard's share.
     """
@@ -85,10 +88,20 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     # By their sizes there are at most shards * PARCELS_A_SHARD large groups, whatever the input.
     pieces = F.when(F.col("bytes") > share, F.ceil(F.col("bytes") * PIECES_A_SHARD / share)).otherwise(1)
     large = groups.where(F.col("bytes") > share / PARCELS_A_SHARD).select("h1", "h2", pieces.alias("pieces"))
-    piece = F.pmod(F.xxhash64("key"), "pieces")
     length = F.least(F.lit(CLASSES - 1), F.greatest(F.lit(0), F.floor(F.log2("size")) - FIRST_CLASS))
     small = F.pmod("h1", F.lit(shards * PARCELS_A_CLASS)) * CLASSES + length
-    placed = rows.join(F.broadcast(large), ["h1", "h2"], "left").withColumn("parcel", F.when(F.col("pieces").isNull(), small).otherwise(F.xxhash64("h1", "h2", piece)))
+    marked = rows.join(F.broadcast(large), ["h1", "h2"], "left")
+    # Rows of a large group that are equal in key and text are counted and made again with a number each.
+    copies = marked.where("pieces is not null").groupBy("key", "h1", "h2").agg(*[F.first(c).alias(c) for c in ("size", "text_crc32", "tokens", "pieces")], F.count("*").alias("n"))
+    many = F.col("n") > COPIES_A_TASK
+    spread = copies.where(many).withColumn("begin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES_A_TASK).cast("long")))).repartition("key", "h1", "begin")
+    begun = copies.where(~many).withColumn("begin", F.lit(0).cast("long")).unionByName(spread)
+    numbered = begun.withColumn("copy", F.explode(F.sequence("begin", F.least(F.col("n"), F.col("begin") + COPIES_A_TASK) - 1)))
+    piece = F.pmod(F.pmod(F.xxhash64("key"), "pieces") + F.col("copy"), "pieces")
+    columns = ["key", "size", "text_crc32", "tokens", "copy"]
+    placed = marked.where("pieces is null").withColumn("copy", F.lit(0).cast("long")).select(*columns, small.alias("parcel")).unionByName(
+        numbered.select(*columns, F.xxhash64("h1", "h2", piece).alias("parcel"))
+    )
     parcels = placed.groupBy("parcel").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
     found = parcels.orderBy("parcel").collect()  # 2 * shards * PARCELS_A_SHARD rows and some pieces at most
     where = pack(np.array([[r["bytes"], r["tokens"], r["rows"]] for r in found], float).reshape(-1, 3), shards)
@@ -96,10 +109,10 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     table = spark.createDataFrame([(r["parcel"], int(s)) for r, s in zip(found, where)], "parcel long, shard int")
 
     runs = max(LEAST_RUNS, -(-(total["rows"] or 0) // (shards * ROWS_A_RUN)))
-    dealt = placed.join(F.broadcast(table), "parcel").withColumn("run", F.pmod(F.xxhash64("key", "text_crc32"), F.lit(runs)))
+    dealt = placed.join(F.broadcast(table), "parcel").withColumn("run", F.pmod(F.xxhash64("key", "text_crc32", "copy"), F.lit(runs)))
     earlier = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     first = dealt.groupBy("shard", "run").count().select("shard", "run", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("first"))
-    within = Window.partitionBy("shard", "run").orderBy("key", "text_crc32", "size")
+    within = Window.partitionBy("shard", "run").orderBy("key", "text_crc32", "size", "copy")
     return (
         dealt.withColumn("k", F.row_number().over(within))
         .join(F.broadcast(first), ["shard", "run"])

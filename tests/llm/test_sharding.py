@@ -58,3 +58,18 @@ def test_edges(spark):
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
     empty = spark.createDataFrame(rows, "doc_id long, text string, a string, b string").where(F.lit(False))
     assert shard_documents(empty, 3).count() == 0
+
+
+def test_equal_rows_and_null_keys_are_cut(spark):
+    for keys in ([7] * 2400, [None] * 2400, [7] * 1200 + [None] * 1200):
+        got = placed(spark, [(k, "one text in every row", None, None) for k in keys], 24)
+        counts = got.groupby("shard").doc_id.size()
+        assert len(got) == 2400 and len(counts) == 24 and counts.min() >= 98 and counts.max() <= 102
+        assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+        assert got.doc_id.isna().sum() == sum(k is None for k in keys)
+
+
+def test_copies_beyond_one_task(spark, monkeypatch):
+    monkeypatch.setattr("hexloom.llm.sharding.COPIES_A_TASK", 100)
+    got = placed(spark, [(7, "one text in every row", None, None)] * 950 + [(8, "another", None, None)] * 50, 4)
+    assert len(got) == 1000 and (got.doc_id == 7).sum() == 950 and got.groupby("shard").doc_id.size().max() < 300
