@@ -93,7 +93,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back: responses with their payloads, revisits by their headers alone."""
     path = fresh_dir(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    number = lambda c: F.substring_index(c, ROW_ID, -1).cast("long")
+    number = lambda c: F.substring_index(c, ROW_ID, -1).try_cast("long")  # noqa: E731  # null for a page without an id
     columns = "record_id string, record_type string, refers_to string, payload_digest string, payload_length bigint"
     full = read_warc(spark, path, "record_id string, record_type string, payload binary").where("record_type = 'response'")
     again = read_warc(spark, path, columns).where("record_type = 'revisit'")

@@ -72,3 +72,12 @@ def test_empty(spark):
     path = fresh_dir(spark, "warc")
     assert write_warc(spark.createDataFrame(ROWS, SCHEMA).where(F.lit(False)), path) == 0
     assert read_warc(spark, path).count() == 0
+
+
+def test_query_with_null_ids(spark, tmp_path):
+    from hexloom.llm.queries import op8_warc
+
+    rows = [(None, "u", BIG), (None, None, "small"), (3, "u", BIG), (4, None, BIG), (5, "u", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in op8_warc(spark, str(tmp_path)).collect()), key=str)
+    assert got == [(0, 1400, "response", None), (0, 5, "response", None), (3, 1400, "revisit", 4), (4, 1400, "response", None), (5, 0, "response", None)]
