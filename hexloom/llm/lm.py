@@ -421,6 +421,6 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def held_out(key: Column, parts: int, part: int) -> Column:
-    """Whether a row is in the part of the rows that crc32 of its key as text sets apart."""
-    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(parts)) == part
+    """Whether a row is in the part of the rows that crc32 of its key as text sets apart; a null key is read as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == part
 
