@@ -9,8 +9,8 @@ a container of the article.
 
 Names of elements around everything say little: ``layout no-sidebar`` or a form around the whole
 page are no sidebar and no form. So where no long block with few links stands free of such
-names, the outermost elements that have them and hold an article's container, or have
-them by half or as a form, lose them, until one does.
+names, the outermost elements that have them and hold an article's container or stand in one, or have
+them by half or as a form, lose them, until one does. A page about reviews or a form so keeps its text.
 
 A decision tree keeps or drops each block. It is trained on the blocks of the labelled
 pages of ``labelled_pages``, where ``data-keep`` marks the main text.
@@ -47,7 +47,9 @@ OUTSIDE_WORDS = set(
     "nav navbar navigation menu menus breadcrumb breadcrumbs pager pagination toc topbar masthead header footer foot sidebar sidebars aside rail "
     "widget widgets related recommended recommendations more popular trending share sharing social follow subscribe subscription newsletter signup login register "
     "comment comments commentlist discussion disqus reply replies respond reviews notice notices cookie cookies consent gdpr alert alerts popup modal overlay "
-    "dialog disclaimer copyright legal form search searchbox tags taglist byline meta skip hidden contentinfo complementary".split()
+    "dialog disclaimer copyright legal form search searchbox tags taglist byline meta skip hidden contentinfo complementary "
+    "werbung anzeige anzeigen kommentar kommentare seitenleiste fusszeile kopfzeile navigationsleiste hinweis hinweise teilen "
+    "publicite commentaire commentaires partager entete pied anuncio anuncios publicidad comentario comentarios compartir barra pubblicita commenti".split()
 )
 #: Words in a class, id or role that name the article.
 INSIDE_WORDS = set("article articlebody content main maincontent post postbody entry story body text storybody".split())
@@ -55,6 +57,8 @@ INSIDE_WORDS = set("article articlebody content main maincontent post postbody e
 NEUTRAL_WORDS = set("site page block box bar area wrap wrapper container inner outer list item items section group row col column left right top bottom primary secondary global the s".split())
 PROPERTY_WORDS = set("no has with without is not hide show js tag category".split())
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "outside", "inside")
+#: Elements whose own name says nothing unless it is a plain one: they are text, not a part of the page.
+TEXT = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 #: How an element stands for something other than the article: not, by half a name, by a plain name, by its tag.
 FREE, HALF_NAMED, NAMED, TAGGED = range(4)
 #: Words of a block from which it is long, and the link density below which it has few links.
@@ -90,7 +94,10 @@ def part_of_page(name: str, attributes: str) -> tuple[bool, int, bool]:
                 continue
             if any(w in OUTSIDE_WORDS for w in words):
                 plain = all(w in OUTSIDE_WORDS or w in NEUTRAL_WORDS or w in INSIDE_WORDS for w in words)
-                found = max(found, NAMED if plain else FREE if name in INSIDE else HALF_NAMED)
+                last = next((w for w in reversed(words) if w not in NEUTRAL_WORDS), "")
+                if plain and last in INSIDE_WORDS:  # the last word is what it is: the content below a header
+                    plain = False
+                found = max(found, NAMED if plain else FREE if name in INSIDE or name in TEXT else HALF_NAMED)
             elif any(w in INSIDE_WORDS for w in words):
                 inside = True
         if inside and found == NAMED and name not in INSIDE:  # two names that do not agree
@@ -195,7 +202,8 @@ def text_blocks(page: str) -> list[Block]:
         if outside:
             marks = (*marks, len(kinds))
             kinds.append(outside)
-            holds.append(outside == HALF_NAMED or inside)
+            # A part of an article's container may be what the page is about: its reviews, its form.
+            holds.append(outside == HALF_NAMED or inside or around.inside and (outside == NAMED or name == "fieldset"))
         opened[name] += 1
         stack.append(_Open(name, around.hidden or hidden, marks, around.inside or inside, around.link or name == "a", around.keep or "data-keep" in attributes))
     end_block()

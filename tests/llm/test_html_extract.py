@@ -117,3 +117,19 @@ def test_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, html string, text string")
     assert sorted((r.page_id, r.text, r.n_chars) for r in extract_pages(df).collect()) == [(1, "", 0), (2, "", 0), (3, "z y x w v", 9), (3, "z y x w v", 9)]
     assert extract_pages(df.where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("page", ['<main><div class="reviews"><p>{}</p></div></main>', "<main><fieldset>{}</fieldset></main>", '<header><a href=/>Site</a> name</header><div class="header-content"><p>{}</p></div>', '<main><section class="legal"><p>{}</p></section></main><nav><a href=/>a</a></nav>'])
+def test_a_page_about_what_its_names_say(page):
+    text = f"{LINE} {LINE} {LINE}"
+    assert extract(page.format(text), TREE) == text
+
+
+@pytest.mark.parametrize("name", ["share-price", "popular-vote", "form-letter", "related-rates"])
+def test_a_paragraph_is_no_part_of_a_page_by_half_a_name(name):
+    assert extract(f'<article><p>{LINE}</p><p class="{name}">{LINE}</p></article><nav><a href=/>a</a></nav>', TREE) == f"{LINE} {LINE}"
+
+
+@pytest.mark.parametrize("name", ["werbung", "kommentare", "anzeige-box", "commentaires", "publicidad", "fusszeile", "barra"])
+def test_names_in_other_languages(name):
+    assert extract(f'<div><p>{LINE}</p></div><div class="{name}"><p>Something else that is long enough to look like the text of an article, if it were one.</p></div>', TREE) == LINE
