@@ -117,7 +117,8 @@ def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def windows(texts, bits: np.ndarray | None = None, sizes: list[int] | None = None) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
     """For each window of each text: the text's number, its number of words, place and hash of the window, kinds and word hashes in it.
 
-    Windows have each of ``sizes``; without, a text shorter than a window is one window. A window of the
+    Windows have each of ``sizes``; without, a text shorter than a window is one window. Windows of fewer than ``LEAST_WORDS`` words are whole
+    texts, as they are. A window of the
     template has ``LEAST_WORDS`` words that are no placeholders; where a window has a placeholder, the window of the words as
     they are follows, whatever they are. With ``bits`` windows whose bits are not set are left out.
     """
@@ -128,9 +129,9 @@ def windows(texts, bits: np.ndarray | None = None, sizes: list[int] | None = Non
         counts = np.diff(chunk.places)
         if sizes is None:
             groups = [(WINDOW, counts >= WINDOW)]
-            groups += [(int(n), counts == n) for n in np.unique(counts[counts < WINDOW]) if n >= LEAST_WORDS]
+            groups += [(int(n), counts == n) for n in np.unique(counts[counts < WINDOW]) if n]
         else:
-            groups = [(n, counts >= n) for n in sizes]
+            groups = [(n, counts >= n if n >= LEAST_WORDS else counts == n) for n in sizes]
         literal = np.r_[0, np.cumsum(kind == LITERAL)]
         owner = np.repeat(np.arange(len(counts)), counts)
         for size, allowed in groups:
@@ -139,7 +140,7 @@ def windows(texts, bits: np.ndarray | None = None, sizes: list[int] | None = Non
             n = len(t) - size + 1
             whole = allowed[owner[:n]] & (np.arange(n) + size <= chunk.places[owner[:n] + 1])
             literals = literal[size:] - literal[:-size]
-            for words, fine in ((t, whole & (literals >= LEAST_WORDS)), (value, whole & (literals < size))):
+            for words, fine in ((t, whole & (literals >= LEAST_WORDS)), (value, whole & ((literals < size) | (size < LEAST_WORDS)))):
                 at = np.flatnonzero(fine)
                 h = shingle_hashes(words, size)[at]
                 if bits is not None:
@@ -180,8 +181,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     item or ``COVERED_WORDS`` words of it, and ``CONSISTENT`` of its slots are filled consistently.
     Windows that hold the item's very words count also without the others on their diagonal.
 
-    Null and blank texts match nothing, nor do items or documents of fewer than ``LEAST_WORDS``
-    words; an item of fewer that are no placeholders is found as it is only, in any case of letters. Rows with a null
+    Null and blank texts match nothing. An item of fewer than ``LEAST_WORDS`` words is found where a document is
+    that item and nothing else: inside a text so few words say nothing. An item of fewer words that are no placeholders is found as it is only, in any case of letters. Rows with a null
     key in either table are left out. An item shorter than a window is found whole, wherever in a document it is. Repeated rows of either table give one row
     for each pair. Other columns of either table are not read.
     """
@@ -213,7 +214,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     for p in parts:
         bits |= np.frombuffer(p["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(bits)
-    sizes = sorted(r["size"] for r in kept.select((F.length("item_hashes") / 8).cast("int").alias("size")).distinct().collect())  # LEAST_WORDS to WINDOW
+    sizes = sorted(r["size"] for r in kept.select((F.length("item_hashes") / 8).cast("int").alias("size")).distinct().collect())  # 1 to WINDOW
 
     def read_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -46,7 +46,7 @@ def test_copies_in_other_case_and_short_items(spark):
     ]
     items = [(100, ITEM), (200, short), (300, name), (400, "Jean Paul"), (500, sharp)]
     got = pairs(contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
-    copies = [(d, 100) for d in (2, 20, 21, 22)] + [(d, 200) for d in (30, 31, 32)] + [(40, 300), (50, 500)]
+    copies = [(d, 100) for d in (2, 20, 21, 22)] + [(d, 200) for d in (30, 31, 32)] + [(40, 300), (42, 400), (50, 500)]
     assert [g for g in got if g[0] != 10] == [(d, i, "verbatim") for d, i in copies]
     assert [g for g in got if g[0] == 10] == [(10, 100, "reparameterised")]  # its last word is cut
 
@@ -113,3 +113,10 @@ def test_a_long_text_is_hashed_in_pieces(monkeypatch):
         monkeypatch.setattr(wordhash, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
         assert (whole.hashes() == want).all()
         assert hash_of("word3é") == want[3]
+
+
+def test_items_of_a_few_words_are_found_as_whole_documents(spark):
+    bench = spark.createDataFrame([(1, "capital of France"), (2, "42"), (3, "Who?"), (4, "  ")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Capital of  france."), (2, "the capital of France is large"), (3, "42"), (4, "43"), (5, "who"), (6, ""), (7, None), (8, "France capital of")], "doc_id long, text string")
+    got = contaminated(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.kind, r.covered) for r in got) == [(1, 1, "verbatim", 1.0), (3, 2, "verbatim", 1.0), (5, 3, "verbatim", 1.0)]
