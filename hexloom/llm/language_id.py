@@ -13,9 +13,9 @@ Training. Weights are learned by stochastic gradient steps on the log likelihood
 of label sequences. The sequences are texts of the labelled rows; as labels are
 given for whole texts, some sequences are spliced from two texts of different
 languages, so that the transitions see what a change of language looks like. The
-rows are a bounded sample: of each language about ``SAMPLE_ROWS`` different texts with the
-smallest hash, all where there are fewer. A sample text is cut into runs of ``SAMPLE_WORDS`` words
-from its begin to its end, and ``SAMPLE_RUNS`` of them, those with the smallest hash, are sequences. These bounds
+labelled rows are runs of ``SAMPLE_WORDS`` words that every training text is cut into from its begin to its
+end, and a bounded sample of them is taken: of each language about ``SAMPLE_ROWS`` different runs with the
+smallest hash, all where there are fewer, and ``MOST_ROWS`` in all. These bounds
 concern fitting alone; every text is labelled whole.
 
 The passes over a batch of texts run together: the words of all texts are cut into
@@ -39,8 +39,10 @@ from pyspark.sql.types import StructType
 
 from .common import small_batches
 
-#: Rows of each language that the field is fitted on, words of a run of a text, and runs taken from each.
-SAMPLE_ROWS, SAMPLE_WORDS, SAMPLE_RUNS = 400, 60, 2
+#: Labelled rows of each language that the field is fitted on, the most of all languages, and the words of such a row, which is a run of a text.
+SAMPLE_ROWS, MOST_ROWS, SAMPLE_WORDS = 400, 40_000, 60
+#: Letters that a run is taken to have where runs are counted for the share of the sample.
+RUN_LETTERS = 360
 #: Buckets of hashed features.
 BUCKETS = 1 << 16
 #: Passes over the sequences, sequences of a gradient step, its first length, and the weight of the penalty.
@@ -336,35 +338,36 @@ class Labeller:
         scores += sure
 
 
-def sample_runs(text: str) -> list[str]:
-    """``SAMPLE_RUNS`` runs of ``SAMPLE_WORDS`` words from anywhere in a text, those with the smallest hash; all if it has no more."""
+def runs_below(text: str, share: float) -> list[str]:
+    """The runs of ``SAMPLE_WORDS`` words of a whole text, the last as long as it is, whose hash is below a share of all hashes."""
     words = words_of(text)
     runs = {" ".join(words[k : k + SAMPLE_WORDS]) for k in range(0, len(words), SAMPLE_WORDS)}
-    return sorted(runs, key=lambda r: hashlib.blake2b(r.encode("utf-8", "replace"), digest_size=8).digest())[:SAMPLE_RUNS]
+    return [r for r in runs if int.from_bytes(hashlib.blake2b(r.encode("utf-8", "replace"), digest_size=8).digest()) < share * 2**64]
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Field:
-    """Fit a field on about ``rows`` different texts of each label of ``docs``, those with the smallest hash of text and label; all where there are no more.
+    """Fit a field on about ``rows`` different runs of each label of ``docs``, those with the smallest hash; all where there are no more.
 
-    Copies of a text count once, so the field does not depend on how many there are. Rows with a null label or text
-    take no part. Every label is learned; the sample is about ``rows`` texts for each, of each ``SAMPLE_RUNS`` runs of
-    ``SAMPLE_WORDS`` words from anywhere in it. Without rows the field has no labels, and every text is ``und``.
+    The labelled rows are the runs of ``SAMPLE_WORDS`` words that every text, whatever its length, is cut into from its begin to its end; with many labels
+    there are ``MOST_ROWS`` in all. Copies of a text count once, so the field does not depend on how many there are. Rows with a null label or text
+    take no part. Every label is learned. Without rows the field has no labels, and every text is ``und``.
     """
     small_batches(docs.sparkSession)
     given = docs.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
     given = given.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(text, label).alias("h"))
-    counts = given.select("label", "h").distinct().groupBy("label").count()
-    # Hashes are even: of n different texts, those below a share of rows / n of all hashes are about so many.
-    limits = counts.select("label", (F.lit(float(rows)) / F.col("count")).alias("limit"))
-    share = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
-    some = given.join(F.broadcast(limits), "label").where(share < F.col("limit")).dropDuplicates(["label", "h"])  # a row for each label
+    counts = given.select("label", "h", F.ceil(F.length("text") / RUN_LETTERS).alias("runs")).distinct().groupBy("label").agg(F.sum("runs").alias("runs"))
+    counts = counts.collect()  # a row for each label
+    each = min(rows, max(1, MOST_ROWS // max(1, len(counts))))
+    # Hashes are even: of n different runs, those below a share of each / n of all hashes are about so many.
+    shares = {r["label"]: each / r["runs"] for r in counts}
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            picked = [(run, g) for t, g in zip(b["text"], b["label"]) for run in sample_runs(t)]
+            picked = [(run, g) for t, g in zip(b["text"], b["label"]) for run in runs_below(t, shares[g])]
             yield pd.DataFrame(picked, columns=["text", "label"])
 
-    return fit([(r["text"], r["label"]) for r in some.select("text", "label").mapInPandas(pick, "text string, label string").collect()])
+    picked = given.select("text", "label").mapInPandas(pick, "text string, label string").distinct()
+    return fit([(r["text"], r["label"]) for r in picked.orderBy("label", F.xxhash64("text"), "text").collect()])
 
 
 def predict(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
