@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hexloom.operators import georeference as g
+from hexloom.operators.mixed_fit import fit_mixed
 
 from .registry import register
 
@@ -43,3 +44,32 @@ register("f33_to_greenwich", lambda s, d: points(s, d).select("id", "part", F.ro
 register("f34_line_intersection", lambda s, d: (lambda xy: points(s, d).select("id", "part", F.round(xy[0], 5).alias("x"), F.round(xy[1], 5).alias("y")))(g.intersection((F.lit(0.0), F.lit(0.0)), (F.col("px"), F.col("py")), (F.lit(0.0), F.lit(10.0)), (F.col("px"), F.lit(10.0)))), HEAD + ", l as (select *, case when abs(px * py) >= 1e-12 then px * py end as d from points) select id, part, round(10 * px * px / d, 5) as x, round(10e0 * px * py / d, 5) as y from l")
 register("r08_uncertainty", lambda s, d: points(s, d).select("id", "part", F.round(g.uncertainty(F.col("px"), F.when(F.col("id") % 3 != 0, F.col("py")), F.lit(2.0)), 6).alias("u")), HEAD + " select id, part, round(sqrt(px * px + case when id % 3 <> 0 then py * py else 0 end + 4), 6) as u from points")
 register("r07_meridian_scores", lambda s, d: g.meridian_scores(points(s, d).select((F.col("lon") - 2.337229 + F.col("px") / 1e5).alias("map_lon"), "lat", F.col("lon").alias("ref_lon"), F.col("lat").alias("ref_lat")), g.MERIDIANS).select("meridian", F.col("rank").cast("bigint"), F.round("median_m", 2).alias("median_m")))
+
+
+def strokes(s, d):
+    """Each control point's place once more, as a stroke of the border: longitudes from Greenwich and from the plate's own meridian, and latitudes."""
+    value = F.when(F.col("part") % 3 == 2, F.col("lat") + 0.01 * F.col("px")).when(F.col("part") % 3 == 1, F.col("lon") + 17.5 + 0.02 * F.col("py")).otherwise(F.col("lon") - 0.03)
+    return points(s, d).select("sheet", "px", "py", F.when(F.col("part") % 3 == 2, "lat").otherwise("lon").alias("axis"), value.alias("value"), F.when(F.col("part") % 3 == 1, "PLATE").otherwise("GREENWICH").alias("frame"))
+
+
+def r02(s, d):
+    fits = fit_mixed(points(s, d), strokes(s, d), "AFFINE")
+    p, h = F.col("params"), F.col("shift")
+    return fits.select("sheet", "n_gcp", "n_lon", "n_lat", "status", F.round("plate_offset_deg", 6).alias("plate_offset_deg"), *[F.round(p[k] / h[2 + j], 7).alias(n) for k, j, n in ((1, 0, "lon_x"), (2, 1, "lon_y"), (4, 0, "lat_x"), (5, 1, "lat_y"))])
+
+
+# With an offset of their own, plate longitudes have an intercept of their own: slopes come from the deviations within the two kinds, the offset from their means.
+register(
+    "r02_fit_mixed",
+    r02,
+    HEAD + """, e as (select sheet, 'lon' as axis, 0 as plate, px, py, lon as v, 1 as gcp from points union all select sheet, 'lat', 0, px, py, lat, 1 from points
+  union all select sheet, case when part % 3 = 2 then 'lat' else 'lon' end, case when part % 3 = 1 then 1 else 0 end, px, py,
+    case part % 3 when 2 then lat + 0.01e0 * px when 1 then lon + 17.5e0 + 0.02e0 * py else lon - 0.03e0 end, 0 from points),
+m as (select sheet, axis, plate, avg(px) as mx, avg(py) as my, avg(v) as mv from e group by all),
+c as (select e.sheet, e.axis, e.gcp, px - mx as u, py - my as w, v - mv as t from e join m on m.sheet = e.sheet and m.axis = e.axis and m.plate = e.plate),
+f as (select sheet, axis, count(*) - sum(gcp) as n, sum(gcp) as g, (sum(u * t) * sum(w * w) - sum(w * t) * sum(u * w)) / (sum(u * u) * sum(w * w) - sum(u * w) * sum(u * w)) as sx,
+  (sum(w * t) * sum(u * u) - sum(u * t) * sum(u * w)) / (sum(u * u) * sum(w * w) - sum(u * w) * sum(u * w)) as sy from c group by all)
+select a.sheet, a.g as n_gcp, a.n as n_lon, b.n as n_lat, 'FITTED' as status, round((p.mv - a.sx * p.mx - a.sy * p.my) - (q.mv - a.sx * q.mx - a.sy * q.my), 6) as plate_offset_deg,
+  round(a.sx, 7) as lon_x, round(a.sy, 7) as lon_y, round(b.sx, 7) as lat_x, round(b.sy, 7) as lat_y
+from f a join f b on b.sheet = a.sheet and b.axis = 'lat' join m p on p.sheet = a.sheet and p.axis = 'lon' and p.plate = 1 join m q on q.sheet = a.sheet and q.axis = 'lon' and q.plate = 0 where a.axis = 'lon'""",
+)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hexloom.functions.hexgrid import GridSpec
 from hexloom.operators import snapping as o
 from hexloom.operators.points import place_points
+from hexloom.operators.simplify import simplified
 
 from .registry import register
 from .standins import PLACED_SQL, cte, stand_in
@@ -95,3 +96,12 @@ away as (select id, node_x, node_y, sqrt((node_x * 3000 - x) * (node_x * 3000 -
 ranked as (select *, row_number() over (partition by id order by m, node_x, node_y) as rank from away) select id, rank, cast(node_x as bigint) as node_x, cast(node_y as bigint) as node_y, round(m, 3) as distance_m from ranked where rank <= """
 register("t04_nearest_corners", lambda s, d: nearest(s, d, o.JUNCTIONS), NEAREST + "3")
 register("t05_nearest_corner", lambda s, d: nearest(s, d, 1), NEAREST + "1")
+
+
+def g04_simplified(s, d):
+    """The lines that paths are laid by where they are simplified first: how many corners stay and how long the line then is."""
+    legs = o.legs(simplified(lines(s, d), 1500.0))
+    return legs.groupBy("branch").agg((F.count("*") + 1).alias("corners"), F.round(F.sum("leg"), 2).alias("length_m"))
+
+
+register("g04_simplified_lines", g04_simplified)
