@@ -500,7 +500,7 @@ def admin_of_components(overlaps: DataFrame, nearest: DataFrame) -> DataFrame:
 
     ``nearest`` has a row for every component, with nulls where nothing is near.
     """
-    best = overlaps.groupBy("component_id").agg(F.max_by("admin_id", F.struct("km2", (-F.col("admin_id")).alias("k"))).alias("largest"))
+    best = overlaps.groupBy("component_id").agg(F.min(F.struct((-F.col("km2")).alias("k"), "admin_id"))["admin_id"].alias("largest"))
     both = nearest.join(best, "component_id", "left")
     method = F.when(F.col("largest").isNotNull(), "LARGEST_INTERSECTION").when(F.col("admin_id").isNotNull(), "NEAREST_POLYGON").otherwise("UNRESOLVED")
     return both.select("component_id", F.coalesce("largest", "admin_id").alias("admin_id"), method.alias("method"), F.when(F.col("largest").isNull(), F.col("distance_m")).alias("distance_m"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,17 +108,19 @@ def components_of_edges(edges: DataFrame, name: str = "components") -> DataFrame
 DIRECTIONS = 16
 
 
-def capped_clusters(nodes: DataFrame, edges: DataFrame, limit_m: float, diameter_m: float) -> DataFrame:
+def capped_clusters(nodes: DataFrame, edges: DataFrame, limit_m: float, diameter_m: float | Callable[[Column], Column]) -> DataFrame:
     """Single-link clusters in ascending order of distance whose diameter stays below a cap: id, cluster (the smallest id).
 
     ``nodes`` has id, x, y; ``edges`` a, b, distance_m; of equal distances the smaller a, then b, comes first. The result is that
     of joining clusters edge by edge in that order, leaving out an edge whose clusters would be wider than the cap together.
+    The cap is a number, or a function from a cluster's id to its cap, which is the same for all that edges connect.
 
     An edge that is the first one left of both its clusters can be judged before all others, as no earlier one touches either. So in
     each round all such edges are judged at once: those that fit join their clusters, the others go with all edges between the
     two, which can only grow. Extents in some directions decide most pairs; for the rest the widest pair of members is looked
     up by a join. Rounds are written tables; no task holds a cluster.
     """
+    cap = diameter_m(F.col("p")) if callable(diameter_m) else F.lit(float(diameter_m))
     turns = [math.pi * k / DIRECTIONS for k in range(DIRECTIONS)]
     along = [F.col("x") * math.cos(t) + F.col("y") * math.sin(t) for t in turns]
     own = written(nodes.select("id", F.col("id").alias("cluster"), "x", "y"), "clusters")
@@ -134,11 +137,11 @@ def capped_clusters(nodes: DataFrame, edges: DataFrame, limit_m: float, diameter
         widths = [F.greatest(f"ph{k}", f"qh{k}") - F.least(f"pl{k}", f"ql{k}") for k in range(DIRECTIONS)]
         # In the direction of the widest pair the extent is its distance; the next direction kept is half a step off at most.
         judged = written(judged.join(side("p"), "p").join(side("q"), "q").select("p", "q", F.greatest(*widths).alias("width")), "clusters-judged")
-        sure = F.col("width") / math.cos(math.pi / (2 * DIRECTIONS)) <= diameter_m
-        unsure = judged.where(~sure & (F.col("width") <= diameter_m))
+        sure = F.col("width") / math.cos(math.pi / (2 * DIRECTIONS)) <= cap
+        unsure = judged.where(~sure & (F.col("width") <= cap))
         member = lambda c: own.select(F.col("cluster").alias(c), F.col("x").alias(f"x{c}"), F.col("y").alias(f"y{c}"))  # noqa: B023, E731
-        wide = unsure.join(member("p"), "p").join(member("q"), "q").where(F.hypot(F.col("xp") - F.col("xq"), F.col("yp") - F.col("yq")) > diameter_m).select("p", "q").distinct()
-        too_wide = judged.where(F.col("width") > diameter_m).select("p", "q").unionByName(wide)
+        wide = unsure.join(member("p"), "p").join(member("q"), "q").where(F.hypot(F.col("xp") - F.col("xq"), F.col("yp") - F.col("yq")) > cap).select("p", "q").distinct()
+        too_wide = judged.where(F.col("width") > cap).select("p", "q").unionByName(wide)
         judged = written(judged.select("p", "q").join(too_wide.withColumn("refused", F.lit(True)), ["p", "q"], "left").select("p", "q", F.coalesce("refused", F.lit(False)).alias("refused")), "clusters-decided")
         joined = judged.where("not refused").select(F.col("q").alias("cluster"), F.col("p").alias("into"))
         own = written(own.join(joined, "cluster", "left").select("id", F.coalesce("into", "cluster").alias("cluster"), "x", "y"), "clusters")

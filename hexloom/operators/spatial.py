@@ -108,7 +108,7 @@ def hex_lakes(lakes: DataFrame, grid: GridSpec) -> DataFrame:
     """For each cell the fraction under lakes, the sorted ids and the largest one; of ties the smaller id."""
     return lakes.groupBy("q", "r").agg(
         F.least(F.lit(1.0), F.sum("area_m2") / grid.area).alias("lake_fraction"), F.array_join(F.array_sort(F.collect_set(F.col("feature_id").cast("string"))), "|").alias("lake_ids"),
-        F.max_by("feature_id", F.struct("area_m2", (-F.col("feature_id")).alias("k"))).alias("primary_lake"),
+        F.min(F.struct((-F.col("area_m2")).alias("k"), "feature_id"))["feature_id"].alias("primary_lake"),
     )
 
 
