@@ -24,13 +24,12 @@ def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: fl
     return F.asin(F.sqrt(F.least(F.lit(1.0), h))) * (2 * radius)
 
 
-@F.pandas_udf(DoubleType())
-def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
-    """Distance in metres on the ellipsoid by Vincenty's inverse formula, for whole batches at once.
+def geodesic_m(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """Distances in metres on the ellipsoid by Vincenty's inverse formula, for whole arrays of degrees at once.
 
     Nearly antipodal places, for which the rounds don't settle, get the distance on a sphere.
     """
-    lon1, lat1, lon2, lat2 = (np.radians(v.to_numpy(float)) for v in (lon1, lat1, lon2, lat2))
+    lon1, lat1, lon2, lat2 = (np.radians(np.asarray(v, float)) for v in (lon1, lat1, lon2, lat2))
     u1, u2 = np.arctan((1 - FLATTENING) * np.tan(lat1)), np.arctan((1 - FLATTENING) * np.tan(lat2))
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
     diff = lon2 - lon1
@@ -53,7 +52,13 @@ def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series)
     delta = big_b * sin_sigma * (mid + big_b / 4 * (cos_sigma * q - big_b / 6 * mid * (4 * sin_sigma**2 - 3) * (4 * mid**2 - 3)))
     h = np.sin((lat2 - lat1) / 2) ** 2 + np.cos(lat1) * np.cos(lat2) * np.sin(diff / 2) ** 2
     sphere = 2 * 6371008.8 * np.arcsin(np.sqrt(np.minimum(h, 1)))
-    return pd.Series(np.where(np.abs(lam - before) > 1e-9, sphere, B * big_a * (sigma - delta)))
+    return np.where(np.abs(lam - before) > 1e-9, sphere, B * big_a * (sigma - delta))
+
+
+@F.pandas_udf(DoubleType())
+def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
+    """``geodesic_m`` of columns; a null place has no distance."""
+    return pd.Series(geodesic_m(lon1, lat1, lon2, lat2))
 
 
 def geodesic_of_projected(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -75,7 +80,14 @@ def hex_ground_area_km2(flat_to_flat: float, lat: Column) -> Column:
     return F.lit(math.sqrt(3) / 2 * flat_to_flat**2 / 1e6) * F.pow(F.cos(F.radians(lat)), 2)
 
 
-def authalic_sine(lat: Column) -> Column:
-    """The function whose differences give areas between parallels on the ellipsoid: A^2 / 2 times it per radian."""
-    e, s = math.sqrt(E2), F.sin(F.radians(lat))
-    return (1 - E2) * (s / (1 - E2 * s * s) + F.log((1 + e * s) / (1 - e * s)) / (2 * e))
+def ring_km2(x: np.ndarray, y: np.ndarray, steps: int = 32) -> float:
+    """Area on the ellipsoid in square kilometres of a ring of projected corners, whichever way round it goes.
+
+    Under a side, which is straight in the projection, the area between it and the equator is summed over
+    ``steps`` parts with the authalic function of the latitude.
+    """
+    e, part = math.sqrt(E2), np.arange(steps + 1) / steps
+    s = np.sin(np.arctan(np.sinh((y[:, None] + (np.roll(y, -1) - y)[:, None] * part) / A)))
+    q = (1 - E2) * (s / (1 - E2 * s * s) + np.log((1 + e * s) / (1 - e * s)) / (2 * e))
+    under = ((q[:, 1:] + q[:, :-1]) / 2).mean(axis=1) * (np.roll(x, -1) - x) / A
+    return abs(float(under.sum())) * A**2 / 2 / 1e6

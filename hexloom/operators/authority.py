@@ -6,11 +6,8 @@ empty ones, summaries over nothing one row of nulls and zeros.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,7 +64,7 @@ def cell_overlays(cells: DataFrame, membership: DataFrame, units: DataFrame) ->
     ratio = F.when(F.col("projected_km2") > 0, F.col("ground_km2") / F.col("projected_km2")).otherwise(1.0)
     each = membership.join(units, "unit_id", "left").withColumn("here_km2", F.col("area_km2") * F.coalesce(ratio, F.lit(1.0)))
     sums = each.groupBy("hex_id").agg(
-        F.count("*").alias("overlays"), F.sum("here_km2").alias("overlay_km2"), F.max_by("unit_id", F.struct(F.coalesce("ground_km2", F.lit(0.0)).alias("a"), (-F.col("unit_id")).alias("k"))).alias("primary_unit"),
+        F.count("*").alias("overlays"), F.sum("here_km2").alias("overlay_km2"), F.min(F.struct((-F.coalesce("ground_km2", F.lit(0.0))).alias("a"), "unit_id"))["unit_id"].alias("primary_unit"),
     )
     out = cells.select("hex_id").join(sums, "hex_id", "left")
     return out.select("hex_id", F.col("overlays").isNotNull().alias("has_overlay"), F.coalesce("overlays", F.lit(0)).alias("overlays"), F.coalesce("overlay_km2", F.lit(0.0)).alias("overlay_km2"), "primary_unit")
@@ -277,7 +274,7 @@ def mixed_fragments(totals: DataFrame, own: DataFrame, by: str, tolerance: float
 def worst_zone(residuals: DataFrame, zone: str, value: str) -> DataFrame:
     """For each zone its number of residuals and 90th percentile, and which zone is worst (of ties the smaller one). Zones are few."""
     each = residuals.groupBy(zone).agg(F.count(value).alias("n"), F.percentile(value, F.lit(0.9)).alias("p90"))
-    worst = each.agg(F.max_by(zone, F.struct("p90", (-F.col(zone)).alias("k"))).alias("worst"))
+    worst = each.agg(F.min(F.struct(F.coalesce(-F.col("p90"), F.lit(float("inf"))).alias("k"), zone))[zone].alias("worst"))
     return each.join(F.broadcast(worst)).withColumn("is_worst", F.col(zone) == F.col("worst")).drop("worst")
 
 
@@ -413,39 +410,6 @@ def path_hexes(paths: DataFrame, edges: DataFrame) -> DataFrame:
     return met.select("path_id", F.explode(F.array_compact(F.array("hex_a", "hex_b"))).alias("hex_id")).distinct()
 
 
-def group_extents(points: DataFrame, by: str) -> DataFrame:
-    """For each group (``by``, x, y) the largest distance between two of its points.
-
-    The two are corners of the convex hull. Each task cuts its points to the hulls of its groups, so only corners travel.
-    """
-    schema = f"{by} {points.schema[by].dataType.simpleString()}, x double, y double"
-
-    def corners(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(set(zip(pdf["x"].tolist(), pdf["y"].tolist())))
-        kept = []
-        for run in (rows, rows[::-1]):  # the lower and the upper chain
-            chain: list[tuple[float, float]] = []
-            for x, y in run:
-                while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (y - chain[-2][1]) <= (chain[-1][1] - chain[-2][1]) * (x - chain[-2][0]):
-                    chain.pop()
-                chain.append((x, y))
-            kept += chain
-        return pd.DataFrame(sorted(set(kept)), columns=["x", "y"])
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for group, g in b.groupby(by, sort=False):
-                yield corners(g).assign(**{by: group})[[by, "x", "y"]]
-
-    def widest(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = corners(pdf).to_numpy()
-        reach = max(float(np.hypot(*(c - p).T).max()) for p in c)
-        return pd.DataFrame({by: pdf[by].iloc[:1].to_numpy(), "extent_m": [reach]})
-
-    hulls = points.where(F.col(by).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()).select(by, F.col("x").cast("double"), F.col("y").cast("double")).mapInPandas(cut, schema)
-    return hulls.groupBy(by).applyInPandas(widest, f"{schema.split(',')[0]}, extent_m double")
-
-
 def plate_coordinates(points: DataFrame, ticks: DataFrame, field: tuple[float, float, float, float], by: str = "sheet") -> DataFrame:
     """Points (px, py) of map sheets with the longitude and latitude that the sheet's own graduations give.
 
@@ -487,14 +451,6 @@ def expected_values(points: DataFrame, layers: DataFrame, expectations: DataFram
 # Components and two-way audits
 
 
-def group_metrics(members: DataFrame, points: DataFrame, by: str) -> DataFrame:
-    """For each group of components (``by``, component_id, km2) its parts, area, largest part's share and id, and its extent over ``points`` (``by``, x, y)."""
-    sums = members.groupBy(by).agg(F.count("*").alias("parts"), F.sum("km2").alias("km2"), F.max("km2").alias("largest"))
-    named = group_id(members, by, "component_id", "isl_g_")
-    share = F.coalesce(F.try_divide("largest", "km2"), F.lit(0.0))
-    return sums.withColumn("largest_share", share).drop("largest").join(named, by).join(group_extents(points, by), by, "left")
-
-
 def admin_of_components(overlaps: DataFrame, nearest: DataFrame) -> DataFrame:
     """Each component's admin: the one with the largest overlap (component_id, admin_id, km2; of ties the smaller id), else the nearest (component_id, admin_id, distance_m).
 

@@ -14,10 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from hexloom.functions.geodesy import E2
+from hexloom.functions.geodesy import ring_km2
 from hexloom.functions.hexgrid import GridSpec
 from hexloom.functions.ids import hashed_id
-from hexloom.functions.projection import RADIUS
 
 
 def cells_of_box(grid: GridSpec, min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> Column:
@@ -336,25 +335,11 @@ def within_distance_pairs(rings: DataFrame, limit_m: float) -> DataFrame:
 
 
 def ground_areas(rings: DataFrame, steps: int = 32) -> DataFrame:
-    """For each feature its area on the ellipsoid in square kilometres; holes count against it.
-
-    Under a side, which is straight in the projection, the area between it and the equator is summed over
-    ``steps`` parts with the authalic function of the latitude.
-    """
-    e = math.sqrt(E2)
+    """For each feature its area on the ellipsoid in square kilometres (``ring_km2``); holes count against it."""
 
     @F.pandas_udf(DoubleType())
     def area(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(xs, ys):
-            x, y = _ring(a, b)
-            part = np.arange(steps + 1) / steps
-            lat = np.arctan(np.sinh((y[:, None] + (np.roll(y, -1) - y)[:, None] * part) / RADIUS))
-            s = np.sin(lat)
-            q = (1 - E2) * (s / (1 - E2 * s * s) + np.log((1 + e * s) / (1 - e * s)) / (2 * e))
-            under = ((q[:, 1:] + q[:, :-1]) / 2).mean(axis=1) * (np.roll(x, -1) - x) / RADIUS
-            out.append(abs(float(under.sum())) * RADIUS**2 / 2 / 1e6)
-        return pd.Series(out)
+        return pd.Series([ring_km2(*_ring(a, b), steps) for a, b in zip(xs, ys)], dtype=float)
 
     each = rings.withColumn("km2", area("xs", "ys"))
     return each.groupBy("feature_id").agg(F.sum(F.when(F.col("is_hole"), -F.col("km2")).otherwise(F.col("km2"))).alias("ground_km2"))

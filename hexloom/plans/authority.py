@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hexloom.functions.geodesy import geodesic, haversine
 from hexloom.functions.hexgrid import GridSpec
 from hexloom.functions.ids import hashed_id
 from hexloom.functions.projection import to_wgs84
@@ -644,11 +643,6 @@ register(
     g12,
     PT + ", c as (select distinct hex_id, q, r from placed) select c.hex_id as path_id, count(*) as hexes from c join c o on greatest(abs(c.q - o.q), abs(c.r - o.r), abs(c.q - o.q + c.r - o.r)) <= 1 group by 1",
 )
-register(
-    "f10_group_extents",
-    lambda s, d: rounded(a.group_extents(placed(s, d).withColumn("group", F.col("id") % 40), "group"), 3, "extent_m"),
-    PT + " select x.id % 40 as \"group\", round(max(sqrt((x.x - y.x) ** 2 + (x.y - y.y) ** 2)), 3) as extent_m from placed x join placed y on x.id % 40 = y.id % 40 group by 1",
-)
 
 
 def ticks(s, d):
@@ -806,27 +800,6 @@ register(
     lambda s, d: lay(s, d).select("hex_id", a.outlier_cause(F.col("tree_fraction") * 20_000, F.col("urban_fraction") * 20_000, F.col("shrub_fraction") * 6e7, 6000.0, 3e7).alias("cause")),
     LAY + " select hex_id, case when tree_fraction * 20000 > 9000 and shrub_fraction * 6e7 < 3e7 then 'SMALL_ISLAND_LOST' when tree_fraction * 20000 > 9000 then 'NARROW_PENINSULA' when urban_fraction * 20000 > 9000 then 'NARROW_INLET' else 'HEX_MAJORITY_QUANTISATION' end as cause from layers",
 )
-register(
-    "f07_distances",
-    lambda s, d: stand_in(s, d, "points").select("id", F.round(haversine(F.col("lon"), F.col("lat"), F.lit(139.7), F.lit(35.7)), 3).alias("sphere_m"), (F.abs(geodesic(F.col("lon"), F.col("lat"), F.lit(139.7), F.lit(35.7)) / haversine(F.col("lon"), F.col("lat"), F.lit(139.7), F.lit(35.7)) - 1) < 0.006).alias("ellipsoid_is_near")),
-    PT + " select id, round(2 * 6371008.8e0 * asin(sqrt(power(sin(radians(35.7e0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(35.7e0)) * power(sin(radians(139.7e0 - lon) / 2), 2))), 3) as sphere_m, true as ellipsoid_is_near from points",
-)
-
-
-def a19(s, d):
-    members = hold(s, d).select(F.col("polity_id").alias("group"), F.col("hex_id").alias("component_id"), "km2")
-    points = members.select("group", (F.col("component_id") % 97 * 1000.0).alias("x"), (F.col("component_id") % 89 * 1000.0).alias("y"))
-    return rounded(a.group_metrics(members, points, "group"), 6, "largest_share", "extent_m").select("group", "parts", "km2", "largest_share", "group_id", "extent_m")
-
-
-register(
-    "a19_group_metrics",
-    a19,
-    HELD + """, p as (select distinct polity_id, hex_id % 97 * 1000e0 as x, hex_id % 89 * 1000e0 as y from held), e as (select a.polity_id, round(max(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)), 6) as extent_m from p a join p b on a.polity_id = b.polity_id group by 1)
-select polity_id as "group", count(*) as parts, sum(km2) as km2, round(max(km2) / sum(km2), 6) as largest_share, 'isl_g_' || substr(sha1(string_agg(cast(hex_id as varchar), '|' order by cast(hex_id as varchar))), 1, 12) as group_id, max(extent_m) as extent_m from held join e using (polity_id) group by 1""",
-)
-
-
 def j31(s, d):
     """The boxes of a pair of suppliers as land by the coast, a second box of each as land by the admins."""
     pair = F.floor(F.col("feature_id") / 2)

@@ -17,4 +17,4 @@ def register(name: str, run, sql: str | None = None) -> None:
 
 def load() -> None:
     """Register the queries of all modules."""
-    from . import authority, checks, control, georeference, islands, overlay, points, rivers, snapping, spatial, terrain  # noqa: F401
+    from . import authority, checks, control, extents, georeference, islands, overlay, points, rivers, snapping, spatial, terrain  # noqa: F401

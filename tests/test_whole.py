@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from hexloom.operators import authority, checks
+from hexloom.operators import authority, checks, extents
 from hexloom.operators import spatial as kernels
 from hexloom.plans import registry, spatial, terrain
 from hexloom.sources import tables
@@ -128,7 +128,7 @@ def test_empty_and_null_rows_of_authority_tables(spark):
     assert authority.anchored_owners(cells).count() == 0
     assert authority.gates(spark.createDataFrame([(None,)], "n long"), [("g", "n", ">=", 0)]).first()["passed"] is False
     hulls = spark.createDataFrame([(1, 0.0, 0.0), (1, 3.0, 4.0), (1, 1.0, 1.0), (2, 5.0, 5.0), (2, 5.0, 5.0), (None, 1.0, 1.0), (3, None, 1.0)], "g long, x double, y double")
-    assert {r.g: r.extent_m for r in authority.group_extents(hulls, "g").collect()} == {1: 5.0, 2: 0.0}
+    assert {r.g: r.extent_projected_m for r in extents.group_extents(hulls, "g").collect()} == {1: 5.0, 2: 0.0}
     places = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 0.0)], "id long, x double, y double")
     none = spark.createDataFrame([], "case_id long, x double, y double, radius_m double")
     assert authority.outside_exclusions(places, none).count() == 2
