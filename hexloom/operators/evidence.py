@@ -36,7 +36,7 @@ def evaluate(features: DataFrame, links: DataFrame, assertions: DataFrame, regis
 
     A feature needs, for each evidence role that its own role asks for, an assertion on its subject with a locator, from a
     registered source whose level is not forbidden, of an allowed type, with the authority of its kind; other
-    evidence than of shape must hold on the day. Shape from another time needs continuity evidence that reaches the day without a gap.
+    evidence than of shape must hold on the day. Shape from another time needs continuity evidence, of political or of continuity authority (a column that may lack), that reaches the day without a gap.
     """
     spark = features.sparkSession
     needs = F.broadcast(requirements(spark))
@@ -45,7 +45,8 @@ def evaluate(features: DataFrame, links: DataFrame, assertions: DataFrame, regis
     usable = known.where("convertible").select("feature_id", F.col("subject_id").alias("subject"), "feature_role")
     linked = usable.join(links, "feature_id", "left")
     none = linked.where("evidence_id is null").select("feature_id", F.lit("NO_EVIDENCE_LINKED").alias("violation"))
-    facts = assertions.select("evidence_id", "subject_id", "source_id", "assertion_type", "valid_from", "valid_to", "locator", "confidence", "geometry_authority", "political_authority", F.lit(True).alias("registered"))
+    continuity = F.col("continuity_authority") if "continuity_authority" in assertions.columns else F.lit("NO")
+    facts = assertions.select("evidence_id", "subject_id", "source_id", "assertion_type", "valid_from", "valid_to", "locator", "confidence", "geometry_authority", "political_authority", continuity.alias("continuity_authority"), F.lit(True).alias("registered"))
     sources = registry.select("source_id", "authority_level", F.lit(True).alias("source_known"))
     rows = linked.where("evidence_id is not null").join(facts, "evidence_id", "left").join(sources, "source_id", "left")
     # The rules of one piece of evidence, the first broken one counts.
@@ -76,7 +77,7 @@ def evaluate(features: DataFrame, links: DataFrame, assertions: DataFrame, regis
     used = found.where("fault is null")
     # Shape from another time: continuity evidence from the shape's end (or begin) to the day.
     off = used.where(shape & ~holds).select("feature_id", F.col("evidence_id").alias("shape_id"), F.when((F.col("valid_to") != UNKNOWN) & (F.col("valid_to") < day), F.col("valid_to")).otherwise(F.col("valid_from")).alias("anchor"))
-    bridge = good.where((F.col("evidence_role") == CONTINUITY) & (F.col("assertion_type") == "TERRITORIAL_CONTINUITY") & truthy(F.col("political_authority")))
+    bridge = good.where((F.col("evidence_role") == CONTINUITY) & (F.col("assertion_type") == "TERRITORIAL_CONTINUITY") & (truthy(F.col("political_authority")) | truthy(F.col("continuity_authority"))))
     pairs = off.join(bridge.select("feature_id", "valid_from", "valid_to"), "feature_id", "left")
     covered = covers_without_gap(pairs, ["feature_id", "shape_id", "anchor"], F.col("anchor"), F.lit(day))
     gaps = covered.where("not covered").select("feature_id", F.lit("SHAPE_NOT_CARRIED_TO_DAY").alias("violation"))

@@ -24,8 +24,8 @@ def place_points(points: DataFrame, grid: GridSpec) -> DataFrame:
 
 def hex_summary(placed: DataFrame) -> DataFrame:
     """For each cell its number of places, and id and name of the largest one (of ties the one with the smaller id)."""
-    first = F.struct(F.col("population"), (-F.col("id")).alias("order"))
-    return placed.groupBy("hex_id").agg(F.count("*").alias("city_count"), F.max_by("id", first).alias("primary_city_id"), F.max_by("name", first).alias("primary_city_name"))
+    first = F.min(F.struct(F.col("population").isNull().alias("unknown"), (-F.col("population")).alias("order"), "id", "name"))
+    return placed.groupBy("hex_id").agg(F.count("*").alias("city_count"), first.alias("first")).select("hex_id", "city_count", F.col("first.id").alias("primary_city_id"), F.col("first.name").alias("primary_city_name"))
 
 
 def with_hex_info(placed: DataFrame, info: DataFrame) -> DataFrame:

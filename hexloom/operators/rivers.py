@@ -98,17 +98,24 @@ def receivers(table: DataFrame) -> DataFrame:
 def names_downstream(table: DataFrame, seeds: DataFrame) -> DataFrame:
     """Names of branches: a seed's name (branch_id, name) goes down from branch to branch up to the next named one.
 
-    Where two names meet, the one with the fewest branches on its way wins, then the smaller name.
+    Where two names meet, the one with the fewest branches on its way wins, then the smaller name. In round k every branch sends the best name it has
+    to the one 2^k branches below and looks twice as far down from then on, so a name that goes down n branches takes log2(n) rounds; each is
+    written. A round in which no branch gets a better name is the last, as whatever goes further must pass there. Seeds of null names name nothing.
     """
-    down = written(receivers(table).select("branch_id", F.col("receiver_id").alias("to")), "named-down")
-    named = written(seeds.groupBy("branch_id").agg(F.min("name").alias("name")).withColumn("steps", F.lit(0)), "named")
-    fresh, steps = named, 0
-    while not fresh.isEmpty():
-        steps += 1
-        next_ = fresh.join(down, "branch_id").groupBy(F.col("to").alias("branch_id")).agg(F.min("name").alias("name")).withColumn("steps", F.lit(steps))
-        fresh = written(next_.join(named, "branch_id", "left_anti"), "named-fresh")
-        named = written(named.unionByName(fresh), "named")
-    return table.select("branch_id").join(named, "branch_id", "left")
+    first = seeds.where("name is not null").groupBy("branch_id").agg(F.min(F.struct(F.lit(0).alias("steps"), "name")).alias("best"))
+    down = receivers(table).select("branch_id", F.col("receiver_id").alias("to"))
+    # A named branch takes no other name, so nothing looks at or through it.
+    open_ = down.join(first.select(F.col("branch_id").alias("to")), "to", "left_anti")
+    at = written(table.select("branch_id").distinct().join(first, "branch_id", "left").join(open_, "branch_id", "left"), "named")
+    step, better = 1, True
+    while better:
+        came = at.where("to is not null and best is not null").groupBy(F.col("to").alias("branch_id")).agg(F.min(F.struct((F.col("best.steps") + step).alias("steps"), F.col("best.name").alias("name"))).alias("came"))
+        below = at.where("to is not null").select(F.col("branch_id").alias("to"), F.col("to").alias("beyond"))
+        both = at.join(came, "branch_id", "left").join(below, "to", "left")
+        gains = F.col("came").isNotNull() & (F.col("best").isNull() | (F.col("came") < F.col("best")))
+        at = written(both.select("branch_id", F.when(gains, F.col("came")).otherwise(F.col("best")).alias("best"), F.col("beyond").alias("to"), gains.alias("gains")), "named")
+        step, better = 2 * step, not at.where("gains").isEmpty()
+    return table.select("branch_id").join(at.select("branch_id", "best.name", "best.steps"), "branch_id", "left")
 
 
 def reach_open_water(reaches: DataFrame, water: DataFrame) -> DataFrame:
@@ -127,7 +134,7 @@ def game_edges(membership: DataFrame) -> DataFrame:
 
     Of equal discharges the smaller river and branch wins.
     """
-    top = F.max_by(F.struct("river_id", "branch_id"), F.struct("discharge", (-F.col("river_id")).alias("r"), (-F.col("branch_id")).alias("b")))
+    top = F.min(F.struct(F.coalesce(-F.col("discharge"), F.lit(float("inf"))).alias("d"), "river_id", "branch_id"))
     return membership.groupBy("edge_id").agg(
         joined_ids(F.col("river_id").cast("string")).alias("river_ids"), joined_ids(F.col("branch_id").cast("string")).alias("branch_ids"), top.alias("top"),
         F.max("discharge").alias("max_discharge"), F.max("width").alias("crossing_width"), F.countDistinct("river_id").alias("river_count"),
@@ -139,7 +146,7 @@ def hex_rivers(edges: DataFrame) -> DataFrame:
     each = edges.select(F.explode(F.array("hex_a", "hex_b")).alias("hex_id"), "river_class", "discharge", "river_id").where("hex_id is not null")
     return each.groupBy("hex_id").agg(
         F.count("*").alias("river_edge_count"), F.max_by("river_class", class_rank(F.col("river_class"))).alias("max_river_class"),
-        F.max("discharge").alias("max_discharge"), F.max_by("river_id", F.struct("discharge", (-F.col("river_id")).alias("k"))).alias("primary_river_id"),
+        F.max("discharge").alias("max_discharge"), F.min(F.struct(F.coalesce(-F.col("discharge"), F.lit(float("inf"))).alias("d"), "river_id"))["river_id"].alias("primary_river_id"),
     )
 
 
