@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hexloom.functions.ids import frame_hash, hashed_id, joined_ids
 from hexloom.functions.predicates import cleaned
+from hexloom.operators.ranks import percentiles
 
 # Cells
 
@@ -273,7 +274,9 @@ def mixed_fragments(totals: DataFrame, own: DataFrame, by: str, tolerance: float
 
 def worst_zone(residuals: DataFrame, zone: str, value: str) -> DataFrame:
     """For each zone its number of residuals and 90th percentile, and which zone is worst (of ties the smaller one). Zones are few."""
-    each = residuals.groupBy(zone).agg(F.count(value).alias("n"), F.percentile(value, F.lit(0.9)).alias("p90"))
+    counts = residuals.groupBy(zone).agg(F.count(value).alias("n"))
+    p90 = percentiles(residuals, [zone], value, {"p90": 0.9}).withColumnRenamed(zone, "_zone")
+    each = counts.join(p90, F.col(zone).eqNullSafe(F.col("_zone")), "left").drop("_zone")
     worst = each.agg(F.min(F.struct(F.coalesce(-F.col("p90"), F.lit(float("inf"))).alias("k"), zone))[zone].alias("worst"))
     return each.join(F.broadcast(worst)).withColumn("is_worst", F.col(zone) == F.col("worst")).drop("worst")
 

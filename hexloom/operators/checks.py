@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexloom.operators.components import components
+from hexloom.operators.ranks import ranked
 from hexloom.tables import written
 
 
@@ -79,10 +80,10 @@ def representation_status(hexes: Column, omission_share: Column, components: Col
 
 
 def top_and_above(df: DataFrame, value: str, key: str, n: int, threshold: float) -> DataFrame:
-    """The n rows with the largest values and all above a threshold, ranked; ranks come from a count of larger rows in a bounded set."""
+    """The n rows with the largest values and all above a threshold, ranked over range partitions. Keys are unique."""
     top = df.orderBy(F.desc(value), key).limit(n).select(key)
     chosen = df.join(top, key, "left_semi").unionByName(df.where(F.col(value) > threshold)).dropDuplicates([key])
-    return chosen.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(value), key)))
+    return ranked(chosen, F.desc(value), F.col(key))
 
 
 def best_with_margin(df: DataFrame, by: str, key: str, value: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexloom.functions.ids import joined_ids
+from hexloom.operators.ranks import percentiles
 from hexloom.tables import written
 
 #: Classes from the smallest to the largest, their least discharge in cubic metres a second, and the width law.
@@ -160,10 +161,9 @@ def edge_penalty(edges: DataFrame, water: DataFrame, penalty: float = WATER_EDGE
 
 def offset_statistics(audit: DataFrame, limits: list[float], value: str = "distance_m") -> DataFrame:
     """Number, mean, median, 95th percentile and most of the offsets, and how many are above each limit."""
-    return audit.agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), F.percentile(value, F.lit(0.95)).alias("p95"), F.max(value).alias("most"),
-        *[F.count_if(F.col(value) > k).alias(f"above_{k:g}") for k in limits],
-    )
+    sums = audit.agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("most"), *[F.count_if(F.col(value) > k).alias(f"above_{k:g}") for k in limits])
+    # Both have one row at most; without a value there are no percentiles.
+    return sums.join(percentiles(audit, [], value, {"median": 0.5, "p95": 0.95}), F.lit(True), "left").select("n", "mean", "median", "p95", "most", *[f"above_{k:g}" for k in limits])
 
 
 def quality(length_ratio: Column, p95_m: Column, ratio_warn: float, ratio_fail: float, p95_warn: float, p95_fail: float) -> Column:
