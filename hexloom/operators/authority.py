@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hexloom.functions.ids import frame_hash, hashed_id, joined_ids
 from hexloom.functions.predicates import cleaned
-from hexloom.operators.ranks import percentiles
+from hexloom.operators.ranks import with_percentiles
 
 # Cells
 
@@ -221,8 +221,8 @@ def outside_exclusions(places: DataFrame, cases: DataFrame, radius_m: str = "rad
 
 def error_statistics(samples: DataFrame, by: str, value: str) -> DataFrame:
     """Count, mean, median, 90th and 95th percentile and maximum of a distance for each set of samples."""
-    p = lambda q: F.percentile(value, F.lit(q))
-    return samples.groupBy(by).agg(F.count(value).alias("samples"), F.avg(value).alias("mean_m"), p(0.5).alias("median_m"), p(0.9).alias("p90_m"), p(0.95).alias("p95_m"), F.max(value).alias("max_m"))
+    sums = samples.groupBy(by).agg(F.count(value).alias("samples"), F.avg(value).alias("mean_m"), F.max(value).alias("max_m"))
+    return with_percentiles(sums, samples, by, value, {"median_m": 0.5, "p90_m": 0.9, "p95_m": 0.95}).select(by, "samples", "mean_m", "median_m", "p90_m", "p95_m", "max_m")
 
 
 def group_audit(groups: DataFrame, by: str) -> DataFrame:
@@ -275,8 +275,7 @@ def mixed_fragments(totals: DataFrame, own: DataFrame, by: str, tolerance: float
 def worst_zone(residuals: DataFrame, zone: str, value: str) -> DataFrame:
     """For each zone its number of residuals and 90th percentile, and which zone is worst (of ties the smaller one). Zones are few."""
     counts = residuals.groupBy(zone).agg(F.count(value).alias("n"))
-    p90 = percentiles(residuals, [zone], value, {"p90": 0.9}).withColumnRenamed(zone, "_zone")
-    each = counts.join(p90, F.col(zone).eqNullSafe(F.col("_zone")), "left").drop("_zone")
+    each = with_percentiles(counts, residuals, zone, value, {"p90": 0.9})
     worst = each.agg(F.min(F.struct(F.coalesce(-F.col("p90"), F.lit(float("inf"))).alias("k"), zone))[zone].alias("worst"))
     return each.join(F.broadcast(worst)).withColumn("is_worst", F.col(zone) == F.col("worst")).drop("worst")
 

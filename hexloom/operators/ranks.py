@@ -40,3 +40,9 @@ def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, floa
     share = F.when(F.col("w.upper") == 1, F.when(part == 0, 0.0).otherwise(part)).otherwise(1 - part)
     out = met.groupBy("g").agg(*[F.sum(F.when(F.col("w.name") == n, F.when(share == 0, 0.0).otherwise(F.col("v") * share))).alias(n) for n in shares])
     return out.select(*[F.col(f"g.{c}").alias(c) for c in by], *shares)
+
+
+def with_percentiles(sums: DataFrame, df: DataFrame, by: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """One row for each group (``sums``) with percentiles of its rows in ``df``; a null group meets a null group."""
+    found = percentiles(df, [by], value, shares).withColumnRenamed(by, "_group")
+    return sums.join(found, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
