@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 from hexloom.functions.geodesy import ring_km2
 from hexloom.functions.hexgrid import GridSpec
 from hexloom.functions.ids import hashed_id
+from hexloom.operators.parts import clip_convex, hex_parts, open_ring, ring_area, square_parts  # noqa: F401
 
 
 def cells_of_box(grid: GridSpec, min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> Column:
@@ -31,59 +32,10 @@ def cells_of_box(grid: GridSpec, min_x: Column, min_y: Column, max_x: Column, ma
     return F.flatten(F.transform(rows, row))
 
 
-def covered(rings: DataFrame, grid: GridSpec) -> DataFrame:
-    """Each ring with each cell it may meet."""
-    box = [F.array_min("xs"), F.array_min("ys"), F.array_max("xs"), F.array_max("ys")]
-    return rings.withColumn("cell", F.explode(cells_of_box(grid, *box))).select(*rings.columns, "cell.q", "cell.r")
-
-
-def clip_convex(x: np.ndarray, y: np.ndarray, hx: np.ndarray, hy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A ring cut to a convex polygon given counterclockwise (one half plane after the other)."""
-    for k in range(len(hx)):
-        if not len(x):
-            break
-        ax, ay = hx[k], hy[k]
-        dx, dy = hx[(k + 1) % len(hx)] - ax, hy[(k + 1) % len(hx)] - ay
-        side = dx * (y - ay) - dy * (x - ax)
-        after_x, after_y, after = np.roll(x, -1), np.roll(y, -1), np.roll(side, -1)
-        inside = side >= 0
-        crosses = inside != (after >= 0)
-        t = np.where(crosses, side / np.where(crosses, side - after, 1), 0)
-        keep = np.stack([inside, crosses], axis=1).ravel()
-        x = np.stack([x, x + t * (after_x - x)], axis=1).ravel()[keep]
-        y = np.stack([y, y + t * (after_y - y)], axis=1).ravel()[keep]
-    return x, y
-
-
-def _ring(xs, ys) -> tuple[np.ndarray, np.ndarray]:
-    x, y = np.asarray(xs, float), np.asarray(ys, float)
-    if len(x) > 1 and x[0] == x[-1] and y[0] == y[-1]:
-        x, y = x[:-1], y[:-1]
-    return x, y
-
-
-def _area(x: np.ndarray, y: np.ndarray) -> float:
-    if len(x) < 3:
-        return 0.0
-    x0, y0 = x - x[0], y - y[0]  # near zero, so that large coordinates cost no digits
-    return float(np.dot(x0, np.roll(y0, -1)) - np.dot(y0, np.roll(x0, -1))) / 2
-
-
-def _hexagon(grid: GridSpec, q, r) -> tuple[np.ndarray, np.ndarray]:
-    turn = np.radians(-30 + 60 * np.arange(6))
-    cx, cy = grid.origin_x + grid.flat_to_flat * (q + r / 2), grid.origin_y + 1.5 * grid.side * r
-    return cx + grid.side * np.cos(turn), cy + grid.side * np.sin(turn)
-
-
 def clipped(rings: DataFrame, grid: GridSpec) -> DataFrame:
     """Each ring with the area of its part in each cell it meets (area_m2, below zero for holes)."""
-
-    @F.pandas_udf("double")
-    def area(xs: pd.Series, ys: pd.Series, q: pd.Series, r: pd.Series) -> pd.Series:
-        return pd.Series([abs(_area(*clip_convex(*_ring(a, b), *_hexagon(grid, i, j)))) for a, b, i, j in zip(xs, ys, q, r)])
-
-    out = covered(rings, grid).withColumn("area_m2", area("xs", "ys", "q", "r")).where("area_m2 > 0")
-    return out.withColumn("area_m2", F.when(F.col("is_hole"), -F.col("area_m2")).otherwise(F.col("area_m2"))).drop("xs", "ys")
+    keep = [c for c in rings.columns if c not in ("xs", "ys")]
+    return hex_parts(rings, keep, grid).select(*keep, "q", "r", F.when(F.col("is_hole"), -F.col("area_m2")).otherwise(F.col("area_m2")).alias("area_m2"))
 
 
 def feature_hexes(rings: DataFrame, grid: GridSpec) -> DataFrame:
@@ -174,29 +126,28 @@ def union_area(parts: list[tuple[np.ndarray, np.ndarray]]) -> float:
 def union_in_hexes(rings: DataFrame, grid: GridSpec, by: list[str] | None = None) -> DataFrame:
     """For each cell (and each value of ``by``) the area under at least one ring: overlapping tiles count once. Rings are outer ones.
 
-    Rings that are equal are dropped first; a cell's rings are one small group.
+    Rings that are equal are dropped first, then parts that are equal in a cell, as all are that fill it. What is left of a cell is one small group.
     """
     by = by or []
-    distinct = rings.dropDuplicates([*by, "xs", "ys"])
+    each = hex_parts(rings.dropDuplicates([*by, "xs", "ys"]), by, grid).dropDuplicates([*by, "q", "r", "xs", "ys"])
 
     def area(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
-        hexagon = _hexagon(grid, first["q"], first["r"])
-        parts = [p for p in (clip_convex(*_ring(a, b), *hexagon) for a, b in zip(pdf["xs"], pdf["ys"])) if len(p[0]) > 2]
-        return pd.DataFrame([[*[first[c] for c in by], first["q"], first["r"], union_area(parts)]], columns=[*by, "q", "r", "area_m2"])
+        found = pdf["area_m2"].iloc[0] if len(pdf) == 1 else union_area([open_ring(a, b) for a, b in zip(pdf["xs"], pdf["ys"])])
+        return pd.DataFrame([[*[first[c] for c in by], first["q"], first["r"], found]], columns=[*by, "q", "r", "area_m2"])
 
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rings.schema.fields if f.name in by] + ["q bigint", "r bigint", "area_m2 double"])
-    return covered(distinct, grid).select(*by, "q", "r", "xs", "ys").groupBy(*by, "q", "r").applyInPandas(area, schema).where("area_m2 > 1e-9")
+    return each.groupBy(*by, "q", "r").applyInPandas(area, schema).where("area_m2 > 1e-9")
 
 
 def points_in_polygons(points: DataFrame, rings: DataFrame, cell_m: float) -> DataFrame:
     """Pairs of a point (id, x, y) and a feature that holds it, by the even-odd rule over all rings of the feature.
 
-    Points and rings meet in square cells; a ring's cells are those of its box.
+    Points meet the parts of rings in square cells, so a point is held against the corners in its cell alone. A place on a
+    left or lower side is inside, on a right or upper one it is not.
     """
     step = lambda c: F.floor(c / cell_m)
-    x0, x1, y0, y1 = (step(f(c)) for c, f in (("xs", F.array_min), ("xs", F.array_max), ("ys", F.array_min), ("ys", F.array_max)))
-    tiles = rings.withColumn("cx", F.explode(F.sequence(x0, x1))).withColumn("cy", F.explode(F.sequence(y0, y1)))
+    tiles = square_parts(rings, ["feature_id"], cell_m)
     at = points.select("id", "x", "y", step(F.col("x")).alias("cx"), step(F.col("y")).alias("cy"))
     n = F.size("xs")
     edge = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(F.col("xs")[k].alias("ax"), F.col("ys")[k].alias("ay"), F.col("xs")[(k + 1) % n].alias("bx"), F.col("ys")[(k + 1) % n].alias("byy")))
@@ -286,27 +237,50 @@ def ring_faults(rings: DataFrame) -> DataFrame:
     def fault(xs: pd.Series, ys: pd.Series) -> pd.Series:
         out = []
         for a, b in zip(xs, ys):
-            x, y = _ring(a, b)
+            x, y = open_ring(a, b)
             if len(x) < 3:
                 out.append("TOO_FEW_CORNERS")
             elif _crosses(x, y):
                 out.append("CROSSES_ITSELF")
             else:
-                out.append("NO_AREA" if abs(_area(x, y)) < 1e-9 else None)
+                out.append("NO_AREA" if abs(ring_area(x, y)) < 1e-9 else None)
         return pd.Series(out, dtype=object)
 
     return rings.select("feature_id", fault("xs", "ys").alias("fault")).where("fault is not null")
 
 
+#: Pairs of sides that are looked at together.
+PAIRS = 1 << 20
+
+
 def _crosses(x: np.ndarray, y: np.ndarray) -> bool:
-    n = len(x)
+    """Whether two sides of a ring cross.
+
+    Sides are sorted by where they begin along x or y, and each meets those that begin before it ends, along the axis with
+    fewer such pairs; pairs are looked at in blocks, so memory is bounded for any ring.
+    """
     a = np.stack([x, y], axis=1)
     b = np.roll(a, -1, axis=0)
-    turn = lambda p, q, r: np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
-    i, j = np.triu_indices(n, 2)
-    apart = ~((i == 0) & (j == n - 1))
-    i, j = i[apart], j[apart]
-    return bool(np.any((turn(a[i], b[i], a[j]) * turn(a[i], b[i], b[j]) < 0) & (turn(a[j], b[j], a[i]) * turn(a[j], b[j], b[i]) < 0)))
+    best = None
+    for axis in (0, 1):
+        low, high = np.minimum(a[:, axis], b[:, axis]), np.maximum(a[:, axis], b[:, axis])
+        order = np.argsort(low, kind="stable")
+        met = np.searchsorted(low[order], high[order], side="right") - np.arange(len(x)) - 1
+        if best is None or met.sum() < best[1].sum():
+            best = order, met
+    order, met = best
+    a, b = a[order], b[order]
+    turn = lambda p, q, r: np.sign((q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0]))
+    ends = np.cumsum(met)
+    total = int(ends[-1])
+    for at in range(0, total, PAIRS):
+        k = np.arange(at, min(at + PAIRS, total))
+        i = np.searchsorted(ends, k, side="right")
+        j = i + 1 + k - (ends[i] - met[i])
+        # Sides that share a corner turn to 0 there, so they never cross.
+        if np.any((turn(a[i], b[i], a[j]) * turn(a[i], b[i], b[j]) < 0) & (turn(a[j], b[j], a[i]) * turn(a[j], b[j], b[i]) < 0)):
+            return True
+    return False
 
 
 def within_distance_pairs(rings: DataFrame, limit_m: float) -> DataFrame:
@@ -317,7 +291,10 @@ def within_distance_pairs(rings: DataFrame, limit_m: float) -> DataFrame:
     wide = s.withColumn("cx", span(F.least("x1", "x2"), F.greatest("x1", "x2"))).withColumn("cy", span(F.least("y1", "y2"), F.greatest("y1", "y2")))
     own = s.withColumn("cx", F.explode(F.sequence(step(F.least("x1", "x2")), step(F.greatest("x1", "x2"))))).withColumn("cy", F.explode(F.sequence(step(F.least("y1", "y2")), step(F.greatest("y1", "y2")))))
     names = {c: f"{c}_b" for c in ("line_id", "x1", "y1", "x2", "y2")}
-    pairs = own.join(wide.withColumnsRenamed(names), ["cx", "cy"]).where("line_id < line_id_b").drop("cx", "cy").distinct()
+    pairs = own.join(wide.withColumnsRenamed(names), ["cx", "cy"]).where("line_id < line_id_b")
+    # Two sides meet in several cells; the first of those in common has the pair.
+    first = lambda c: F.greatest(step(F.least(f"{c}1", f"{c}2")), step(F.least(f"{c}1_b", f"{c}2_b")) - 1)
+    pairs = pairs.where((F.col("cx") == first("x")) & (F.col("cy") == first("y")))
 
     def to(px: str, py: str, a: str) -> Column:
         x1, y1, x2, y2 = (F.col(f"{c}{a}") for c in ("x1", "y1", "x2", "y2"))
@@ -339,7 +316,7 @@ def ground_areas(rings: DataFrame, steps: int = 32) -> DataFrame:
 
     @F.pandas_udf(DoubleType())
     def area(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([ring_km2(*_ring(a, b), steps) for a, b in zip(xs, ys)], dtype=float)
+        return pd.Series([ring_km2(*open_ring(a, b), steps) for a, b in zip(xs, ys)], dtype=float)
 
     each = rings.withColumn("km2", area("xs", "ys"))
     return each.groupBy("feature_id").agg(F.sum(F.when(F.col("is_hole"), -F.col("km2")).otherwise(F.col("km2"))).alias("ground_km2"))
@@ -348,23 +325,17 @@ def ground_areas(rings: DataFrame, steps: int = 32) -> DataFrame:
 def overlaps(rings: DataFrame, grid: GridSpec, least_m2: float = 1e-6) -> DataFrame:
     """Pairs of features (a below b) whose outer rings overlap, and the area of the overlap.
 
-    Rings meet in cells; only pairs whose boxes overlap go on, and a cell adds the part of the overlap inside it.
+    Parts of rings meet in cells; only those whose boxes overlap go on, and a cell adds the part of the overlap inside it.
     """
-    each = covered(rings.where(~F.col("is_hole")), grid).withColumns({f"{c}{k}": f(k2) for c, f in (("lo_", F.array_min), ("hi_", F.array_max)) for k, k2 in (("x", "xs"), ("y", "ys"))})
+    each = hex_parts(rings.where(~F.col("is_hole")), ["feature_id"], grid).withColumns({f"{c}{k}": f(k2) for c, f in (("lo_", F.array_min), ("hi_", F.array_max)) for k, k2 in (("x", "xs"), ("y", "ys"))})
     names = {c: f"{c}_b" for c in each.columns if c not in ("q", "r")}
     pairs = each.join(each.withColumnsRenamed(names), ["q", "r"]).where("feature_id < feature_id_b and lo_x < hi_x_b and lo_x_b < hi_x and lo_y < hi_y_b and lo_y_b < hi_y")
 
     @F.pandas_udf(DoubleType())
-    def common(xs: pd.Series, ys: pd.Series, xb: pd.Series, yb: pd.Series, q: pd.Series, r: pd.Series) -> pd.Series:
-        out = []
-        for a, b, c, d, i, j in zip(xs, ys, xb, yb, q, r):
-            hexagon = _hexagon(grid, i, j)
-            one, two = clip_convex(*_ring(a, b), *hexagon), clip_convex(*_ring(c, d), *hexagon)
-            both = [p for p in (one, two) if len(p[0]) > 2]
-            out.append(union_area([one]) + union_area([two]) - union_area(both) if len(both) == 2 else 0.0)
-        return pd.Series(out)
-
-    found = pairs.select(F.col("feature_id").alias("a"), F.col("feature_id_b").alias("b"), common("xs", "ys", "xs_b", "ys_b", "q", "r").alias("m2"))
+    def common(xs: pd.Series, ys: pd.Series, area: pd.Series, xb: pd.Series, yb: pd.Series, area_b: pd.Series) -> pd.Series:
+        return pd.Series([m + n - union_area([open_ring(a, b), open_ring(c, d)]) for a, b, m, c, d, n in zip(xs, ys, area, xb, yb, area_b)], dtype=float)
+
+    found = pairs.select(F.col("feature_id").alias("a"), F.col("feature_id_b").alias("b"), common("xs", "ys", "area_m2", "xs_b", "ys_b", "area_m2_b").alias("m2"))
     return found.groupBy("a", "b").agg(F.sum("m2").alias("overlap_m2")).where(F.col("overlap_m2") > least_m2)
 
 
