@@ -111,7 +111,60 @@ def m01(part):
     return run
 
 
-register("m01_authorised_snapshot", m01(True))
-register("m01_rejected_features", m01(False))
+#: The web of ``bundles`` and the broken rules of each bundle on the day.
+BUNDLES = cte("control", "evidence") + """, f as (select cast(target_id as varchar) as feature_id, target_id as t, cast(target_id % 150 as varchar) as subject_id,
+  ['POLITY_EXTERNAL_BOUNDARY', 'DE_FACTO_CONTROL_BOUNDARY', 'DE_JURE_CLAIM_BOUNDARY', 'DISPUTED_BOUNDARY', 'CONSTITUENT_INTERNAL_BOUNDARY', 'UNCERTAIN_BOUNDARY'][target_id % 6 + 1] as feature_role,
+  '2023-01-01' as valid_from, case when target_id % 11 = 0 then 'UNKNOWN' else '2025-01-01' end as valid_to, cast(target_id % 9 - 1 as double) as uncertainty_km from control),
+a as (select cast(evidence_id as varchar) as evidence_id, evidence_id as n, cast(subject as varchar) as subject_id, subject, evidence_id % 40 as source,
+  ['BOUNDARY_POSITION', 'POLITICAL_CONTROL', 'DE_JURE_CLAIM', 'TERRITORIAL_CONTINUITY'][evidence_id % 4 + 1] as assertion_type,
+  case when evidence_id % 29 = 0 then valid_from else '2023-06-01' end as valid_from, case when evidence_id % 29 = 0 then valid_to else '2024-12-31' end as valid_to,
+  ['LOW', 'MEDIUM', 'HIGH'][evidence_id % 3 + 1] as confidence from evidence),
+needs as (select * from (values ('POLITY_EXTERNAL_BOUNDARY', 'POLITICAL_STATUS', ['POLITICAL_CONTROL']), ('DE_FACTO_CONTROL_BOUNDARY', 'POLITICAL_STATUS', ['POLITICAL_CONTROL']),
+  ('DE_JURE_CLAIM_BOUNDARY', 'CLAIM_STATUS', ['DE_JURE_CLAIM']), ('DISPUTED_BOUNDARY', 'CONTESTED_STATUS', ['POLITICAL_CONTROL', 'DE_JURE_CLAIM']),
+  ('CONSTITUENT_INTERNAL_BOUNDARY', 'POLITICAL_STATUS', ['POLITICAL_CONTROL', 'DE_JURE_CLAIM'])) as v(feature_role, evidence_role, types)
+  union all select unnest(['POLITY_EXTERNAL_BOUNDARY', 'DE_FACTO_CONTROL_BOUNDARY', 'DE_JURE_CLAIM_BOUNDARY', 'DISPUTED_BOUNDARY', 'CONSTITUENT_INTERNAL_BOUNDARY']), 'GEOMETRY_SHAPE', ['BOUNDARY_POSITION', 'GEOMETRIC_SUBSTRATE_ONLY']),
+u as (select * from f where feature_role <> 'UNCERTAIN_BOUNDARY'),
+l as (select u.feature_id, u.feature_role, a.*, ['GEOMETRY_SHAPE', 'POLITICAL_STATUS', 'CLAIM_STATUS', 'TEMPORAL_CONTINUITY'][n % 4 + 1] as evidence_role,
+  case when n % 101 = 0 then 'NO_EXACT_LOCATOR' when source >= 38 then 'SOURCE_NOT_REGISTERED' when source % 10 = 0 then 'AUTHORITY_FORBIDDEN' end as broken
+  from u join a on a.subject = u.t % 150 and a.n % 15 = u.t % 15),
+good as (select * from l where broken is null),
+r as (select u.feature_id, needs.evidence_role as wanted, needs.types, good.* exclude (feature_id, feature_role) from u join needs using (feature_role) left join good on good.feature_id = u.feature_id and good.evidence_role = needs.evidence_role where u.feature_id in (select feature_id from l)),
+x as (select *, valid_from <= '2024-01-15' and valid_to >= '2024-01-15' as holds, case when not list_contains(types, assertion_type) then 'TYPE_NOT_ALLOWED' when wanted <> 'GEOMETRY_SHAPE' and n % 41 = 0 then 'NO_POLITICAL_AUTHORITY'
+  when wanted <> 'GEOMETRY_SHAPE' and not (valid_from <= '2024-01-15' and valid_to >= '2024-01-15') then 'NOT_VALID_ON_DAY' end as fault from r where evidence_id is not null),
+off as (select feature_id, evidence_id as shape_id, case when valid_to < '2024-01-15' then valid_to else valid_from end as anchor from x where fault is null and wanted = 'GEOMETRY_SHAPE' and not holds),
+spans as (select *, case when assertion_type <> 'TERRITORIAL_CONTINUITY' then 'CONTINUITY_TYPE_NOT_ALLOWED' when n % 41 = 0 then 'CONTINUITY_WITHOUT_AUTHORITY' end as unfit from good where evidence_role = 'TEMPORAL_CONTINUITY'),
+ways as (select off.feature_id, shape_id, least(anchor, '2024-01-15') as lo, greatest(anchor, '2024-01-15') as hi, s.valid_from as a, s.valid_to as b from off join spans s on s.feature_id = off.feature_id and s.unfit is null),
+reach as (select *, greatest(lo, coalesce(max(b) over (partition by feature_id, shape_id order by a, b rows between unbounded preceding and 1 preceding), lo)) as reached from ways),
+carried as (select feature_id, shape_id from reach group by feature_id, shape_id having not bool_or(a > reached and reached < hi) and max(b) >= max(hi)),
+broken as (select feature_id, 'ROLE_NOT_CONVERTIBLE' as violation, '' as evidence from f where feature_role = 'UNCERTAIN_BOUNDARY'
+  union select feature_id, 'NO_EVIDENCE_LINKED', '' from u where feature_id not in (select feature_id from l) union select feature_id, broken, evidence_id from l where broken is not null
+  union select feature_id, 'MISSING_' || wanted, '' from r where evidence_id is null union select feature_id, fault, evidence_id from x where fault is not null
+  union select feature_id, unfit, evidence_id from spans where unfit is not null and feature_id in (select feature_id from off)
+  union select feature_id, 'SHAPE_NOT_CARRIED_TO_DAY', shape_id from off where (feature_id, shape_id) not in (select (feature_id, shape_id) from carried)),
+chosen as (select *, case when t % 150 < 140 then 'pol_' || subject_id end as polity_id from f where valid_to <> 'UNKNOWN'),
+reasons as (select feature_id, violation from broken where feature_id in (select feature_id from chosen) union select feature_id, 'SUBJECT_NOT_MAPPED' from chosen where polity_id is null union select feature_id, 'NO_UNCERTAINTY' from chosen where uncertainty_km < 0)"""
+register("m01_authorised_snapshot", m01(True), BUNDLES + """, part as (select feature_id, confidence, wanted as role from x where fault is null union all select feature_id, confidence, evidence_role from spans where unfit is null and feature_id in (select feature_id from carried))
+select feature_id, any_value(polity_id) as polity_id, ['LOW', 'MEDIUM', 'HIGH'][min(list_position(['LOW', 'MEDIUM', 'HIGH'], confidence))] as confidence, string_agg(distinct role, '|' order by role) as roles
+from chosen join part using (feature_id) where feature_id not in (select feature_id from reasons) group by feature_id""")
+register("m01_rejected_features", m01(False), BUNDLES + " select feature_id, string_agg(distinct violation, '; ' order by violation) as reasons from reasons group by feature_id")
+
+
+def q08(s, d):
+    """Features with a shape, a source and a locator of their own, some of which lack, and some twice."""
+    features, links, assertions, registry, subjects = bundles(s, d)
+    t = F.col("feature_id").cast("bigint")
+    features = features.withColumns({"geometry_source_id": (t % 41).cast("string"), "source_locator": F.when(t % 23 == 0, "UNKNOWN").when(t % 23 != 1, F.concat(F.lit("sheet "), "feature_id"))})
+    features = features.unionByName(features.where(t % 31 == 0))
+    x, n = (t % 5000) * 10.0, F.lit(100.0)
+    crossed = t % 17 == 1
+    corners = lambda *c: F.array(*[x + k for k in c])
+    rings = features.where(t % 17 != 0).select("feature_id", F.lit(False).alias("is_hole"), corners(0, n, n, 0).alias("xs"), F.when(crossed, corners(0, n, 0, n)).otherwise(corners(0, 0, n, n)).alias("ys"))
+    return e.production_faults(features, rings, links, assertions, registry, subjects, "2024-01-15", forbidden=("BLOG",))
+
+
+register("q08_production_gates", q08, BUNDLES + """ select feature_id, violation as gate, evidence from broken union select feature_id, 'GEOMETRY_SOURCE_NOT_REGISTERED', cast(t % 41 as varchar) from f where t % 41 >= 38
+union select feature_id, 'NO_FEATURE_LOCATOR', case when t % 23 = 0 then 'UNKNOWN' else '' end from f where t % 23 < 2 union select feature_id, 'FEATURE_NOT_VALID_ON_DAY', valid_from || '..' || valid_to from f where valid_to = 'UNKNOWN'
+union select feature_id, 'SUBJECT_NOT_MAPPED', subject_id from f where t % 150 >= 140 union select feature_id, 'NO_GEOMETRY', '' from f where t % 17 = 0
+union select feature_id, 'GEOMETRY_NOT_VALID', 'CROSSES_ITSELF' from f where t % 17 = 1 union select feature_id, 'FEATURE_TWICE', '2' from f where t % 31 = 0""")
 register("q06_assertion_faults", lambda s, d: (lambda b: e.assertion_faults(b[2], b[3], ["BOUNDARY_POSITION", "POLITICAL_CONTROL", "DE_JURE_CLAIM"]))(bundles(s, d)), cte("evidence") + """, a as (select cast(evidence_id as varchar) as evidence_id, subject, evidence_id % 40 as source_id, evidence_id % 4 as kind, case when evidence_id % 29 = 0 then valid_from else '2023-06-01' end as valid_from, case when evidence_id % 29 = 0 then valid_to else '2024-12-31' end as valid_to from evidence)
 select evidence_id, 'TYPE' as rule from a where kind = 3 union all select evidence_id, 'DATES' from a where valid_from > valid_to union all select distinct cast(source_id as varchar), 'SOURCE' from a where source_id >= 38 union all select min(evidence_id), 'SAID_TWICE' from a group by subject, source_id, kind, valid_from, valid_to having count(*) > 1""")

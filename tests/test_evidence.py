@@ -74,3 +74,31 @@ def test_shape_from_another_time_needs_a_bridge(spark, tables):
     tables["assertions"] = base.unionByName(spark.createDataFrame(bridge("1680-01-01", "1680-01-01", "1710-01-01"), base.schema))
     authorised, rejected = run(tables)
     assert rejected == [] and authorised[0][2:] == ("LOW", "c1|c2|g|p", "GEOMETRY_SHAPE|POLITICAL_STATUS|TEMPORAL_CONTINUITY")
+
+
+def test_unknown_roles_and_unfit_bridges(spark, tables):
+    """Each fault names the evidence that breaks the rule; a bridge matters only where a shape needs one."""
+    base = tables["assertions"]
+    more = [("c1", "s", "src", "POLITICAL_CONTROL", "1600-01-01", "1710-01-01", "p. 9", "LOW", "NO", "YES"), ("c2", "s", "src", "TERRITORIAL_CONTINUITY", "1600-01-01", "1710-01-01", "p. 9", "LOW", "NO", "NO")]
+    tables["assertions"] = base.unionByName(spark.createDataFrame(more, base.schema))
+    tables["links"] = tables["links"].unionByName(spark.createDataFrame([("f", "c1", "TEMPORAL_CONTINUITY"), ("f", "c2", "TEMPORAL_CONTINUITY")], tables["links"].schema))
+    found = lambda: {(r.violation, r.evidence_id) for r in e.evaluate(tables["features"], tables["links"], tables["assertions"], tables["registry"], DAY)[0].collect()}
+    assert found() == set()
+    tables["assertions"] = tables["assertions"].withColumn("valid_to", F.when(F.col("evidence_id") == "g", "1700-02-01").otherwise(F.col("valid_to")))
+    assert found() == {("CONTINUITY_TYPE_NOT_ALLOWED", "c1"), ("CONTINUITY_WITHOUT_AUTHORITY", "c2"), ("SHAPE_NOT_CARRIED_TO_DAY", "g")}
+    tables["links"] = tables["links"].where("evidence_role <> 'TEMPORAL_CONTINUITY'").unionByName(spark.createDataFrame([("f", "c1", "RUMOUR"), ("f", "c2", None)], tables["links"].schema))
+    assert found() == {("UNKNOWN_EVIDENCE_ROLE", "c1"), ("UNKNOWN_EVIDENCE_ROLE", "c2"), ("SHAPE_NOT_CARRIED_TO_DAY", "g")}
+
+
+def test_production_faults(spark, tables):
+    """One feature without fault; one that breaks each rule of its own row; one whose fields are null."""
+    schema = "feature_id string, subject_id string, feature_role string, valid_from string, valid_to string, geometry_source_id string, source_locator string"
+    role = "POLITY_EXTERNAL_BOUNDARY"
+    rows = [("f", "s", role, "1690-01-01", "1710-01-01", "src", "sheet 1"), ("g", "lost", role, "1690-01-01", "1695-01-01", "other", "UNKNOWN"), ("g", "lost", role, "1690-01-01", "1695-01-01", "other", "UNKNOWN"), ("h", None, None, None, None, None, None)]
+    features = spark.createDataFrame(rows, schema)
+    rings = spark.createDataFrame([("f", False, [0.0, 1.0, 1.0], [0.0, 0.0, 1.0]), ("g", False, [0.0, 1.0, 1.0, 0.0], [0.0, 1.0, 0.0, 1.0]), ("x", False, [0.0, 1.0], [0.0, 1.0])], "feature_id string, is_hole boolean, xs array<double>, ys array<double>")
+    run_on = lambda f: {tuple(r) for r in e.production_faults(f, rings, tables["links"], tables["assertions"], tables["registry"], tables["subjects"], DAY).collect()}
+    own = {("GEOMETRY_SOURCE_NOT_REGISTERED", "other"), ("NO_FEATURE_LOCATOR", "UNKNOWN"), ("FEATURE_NOT_VALID_ON_DAY", "1690-01-01..1695-01-01"), ("SUBJECT_NOT_MAPPED", "lost"), ("GEOMETRY_NOT_VALID", "CROSSES_ITSELF"), ("FEATURE_TWICE", "2"), ("NO_EVIDENCE_LINKED", "")}
+    nulls = {("GEOMETRY_SOURCE_NOT_REGISTERED", ""), ("NO_FEATURE_LOCATOR", ""), ("FEATURE_NOT_VALID_ON_DAY", ".."), ("SUBJECT_NOT_MAPPED", ""), ("NO_GEOMETRY", ""), ("ROLE_NOT_CONVERTIBLE", "")}
+    assert run_on(features) == {("g", *v) for v in own} | {("h", *v) for v in nulls}
+    assert run_on(features.limit(0)) == set()
