@@ -227,9 +227,8 @@ def error_statistics(samples: DataFrame, by: str, value: str) -> DataFrame:
 
 def group_audit(groups: DataFrame, by: str) -> DataFrame:
     """For each region its groups, those of several parts, the largest and the median area, and the largest share that one part has."""
-    return groups.groupBy(by).agg(
-        F.count("*").alias("groups"), F.count_if(F.col("parts") > 1).alias("joined"), F.max("km2").alias("largest_km2"), F.percentile("km2", F.lit(0.5)).alias("median_km2"), F.max(F.try_divide("largest", "km2")).alias("largest_share"),
-    )
+    sums = groups.groupBy(by).agg(F.count("*").alias("groups"), F.count_if(F.col("parts") > 1).alias("joined"), F.max("km2").alias("largest_km2"), F.max(F.try_divide("largest", "km2")).alias("largest_share"))
+    return with_percentiles(sums, groups, by, "km2", {"median_km2": 0.5}).select(by, "groups", "joined", "largest_km2", "median_km2", "largest_share")
 
 
 def recovery_summary(gaps: DataFrame, candidates: DataFrame, produced: DataFrame, by: str) -> DataFrame:
@@ -391,7 +390,8 @@ def processing_order(branches: DataFrame, by: str = "river_id") -> DataFrame:
 
 def snapping_summary(audit: DataFrame, by: str, limit_ratio: float, limit_m: float) -> DataFrame:
     """For each river its edges, source and snapped length, their ratio, the 95th percentile and maximum of offsets, and a verdict (source_m, snapped_m, offset_m)."""
-    sums = audit.groupBy(by).agg(F.count("*").alias("edges"), F.sum("source_m").alias("source_m"), F.sum("snapped_m").alias("snapped_m"), F.percentile("offset_m", F.lit(0.95)).alias("offset_p95_m"), F.max("offset_m").alias("offset_max_m"))
+    sums = audit.groupBy(by).agg(F.count("*").alias("edges"), F.sum("source_m").alias("source_m"), F.sum("snapped_m").alias("snapped_m"), F.max("offset_m").alias("offset_max_m"))
+    sums = with_percentiles(sums, audit, by, "offset_m", {"offset_p95_m": 0.95}).select(by, "edges", "source_m", "snapped_m", "offset_p95_m", "offset_max_m")
     ratio = F.try_divide("snapped_m", "source_m")
     verdict = F.when(F.col("source_m") == 0, "N/A").when((ratio > limit_ratio) & (F.col("offset_p95_m") > limit_m), "FAIL").when((ratio > limit_ratio) | (F.col("offset_p95_m") > limit_m), "WARN").otherwise("PASS")
     return sums.withColumns({"ratio": ratio, "verdict": verdict})
@@ -399,9 +399,8 @@ def snapping_summary(audit: DataFrame, by: str, limit_ratio: float, limit_m: flo
 
 def corridor_quality(cells: DataFrame, by: str) -> DataFrame:
     """For each river that takes whole cells their number, area, the share of its line inside them, and the 95th percentile of distances (area_km2, line_m, inside_m, distance_m)."""
-    return cells.groupBy(by).agg(
-        F.count_distinct("hex_id").alias("hexes"), F.sum("area_km2").alias("area_km2"), F.try_divide(F.sum("inside_m"), F.sum("line_m")).alias("inside_share"), F.percentile("distance_m", F.lit(0.95)).alias("distance_p95_m"),
-    )
+    sums = cells.groupBy(by).agg(F.count_distinct("hex_id").alias("hexes"), F.sum("area_km2").alias("area_km2"), F.try_divide(F.sum("inside_m"), F.sum("line_m")).alias("inside_share"))
+    return with_percentiles(sums, cells, by, "distance_m", {"distance_p95_m": 0.95})
 
 
 def path_hexes(paths: DataFrame, edges: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexloom.operators.components import components
-from hexloom.operators.ranks import ranked
+from hexloom.operators.ranks import ranked, with_percentiles
 from hexloom.tables import written
 
 
@@ -48,10 +48,13 @@ def fraction_histogram(cells: DataFrame, by: str, value: str, edges: list[float]
 def gap_summary(cells: DataFrame, by: str) -> DataFrame:
     """For each landmass its cells with land, authorised and controlled ones, the withheld ones and their share, and the median and largest fraction withheld."""
     withheld = F.col("authorised") & ~F.col("controlled")
-    return cells.where("land_fraction > 0").groupBy(by).agg(
+    land = cells.where("land_fraction > 0")
+    sums = land.groupBy(by).agg(
         F.count("*").alias("hexes"), F.count_if("authorised").alias("authorised"), F.count_if("controlled").alias("controlled"), F.count_if(withheld).alias("withheld"),
-        F.try_divide(F.count_if(withheld), F.count_if("authorised")).alias("withheld_share"), F.percentile(F.when(withheld, F.col("land_fraction")), F.lit(0.5)).alias("median_withheld"), F.max(F.when(withheld, F.col("land_fraction"))).alias("largest_withheld"),
+        F.try_divide(F.count_if(withheld), F.count_if("authorised")).alias("withheld_share"), F.max(F.when(withheld, F.col("land_fraction"))).alias("largest_withheld"),
     )
+    kept = [c for c in sums.columns if c != "largest_withheld"]
+    return with_percentiles(sums, land.where(withheld), by, "land_fraction", {"median_withheld": 0.5}).select(*kept, "median_withheld", "largest_withheld")
 
 
 def conservation(parts: DataFrame, totals: DataFrame, key: str, value: str, tolerance: float) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexloom.functions.geodesy import geodesic
+from hexloom.operators.ranks import with_percentiles
 
 #: Models from the simplest to the most complex, and their numbers of unknowns.
 MODELS = {"AFFINE": 3, "PROJECTIVE": 8, "POLYNOMIAL_2": 6}
@@ -98,8 +99,8 @@ def residuals(points: DataFrame, fits: DataFrame, model: str, by: str = "sheet")
 
 def statistics(df: DataFrame, by: list[str], value: str = "residual_m") -> DataFrame:
     """Number, root mean square, median, percentiles 75, 90 and 95 and most, for each group."""
-    p = lambda q: F.percentile(value, F.lit(q))
-    return df.groupBy(*by).agg(F.count(value).alias("n"), F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"), p(0.5).alias("median"), p(0.75).alias("p75"), p(0.9).alias("p90"), p(0.95).alias("p95"), F.max(value).alias("most"))
+    sums = df.groupBy(*by).agg(F.count(value).alias("n"), F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"), F.max(value).alias("most"))
+    return with_percentiles(sums, df, by, value, {"median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}).select(*by, "n", "rms", "median", "p75", "p90", "p95", "most")
 
 
 def compare_models(points: DataFrame, held_out: Column, by: str = "sheet", models: tuple[str, ...] = ("AFFINE", "PROJECTIVE", "POLYNOMIAL_2")) -> DataFrame:
@@ -164,6 +165,6 @@ def meridian_scores(places: DataFrame, candidates: dict[str, float]) -> DataFram
     spark = places.sparkSession
     table = F.broadcast(spark.createDataFrame(list(candidates.items()), "meridian string, offset double"))
     d = geodesic(F.col("map_lon") + F.col("offset"), F.col("lat"), F.col("ref_lon"), F.col("ref_lat"))
-    scored = places.crossJoin(table).groupBy("meridian").agg(F.percentile(d, F.lit(0.5)).alias("median_m"))
+    scored = with_percentiles(table, places.crossJoin(table).select("meridian", d.alias("d")), "meridian", "d", {"median_m": 0.5}).where("median_m is not null").select("meridian", "median_m")
     w = Window.orderBy("median_m", "meridian")  # a row for each candidate
     return scored.withColumns({"rank": F.row_number().over(w), "margin_m": F.lead("median_m").over(w) - F.col("median_m")})

@@ -42,7 +42,12 @@ def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, floa
     return out.select(*[F.col(f"g.{c}").alias(c) for c in by], *shares)
 
 
-def with_percentiles(sums: DataFrame, df: DataFrame, by: str, value: str, shares: dict[str, float]) -> DataFrame:
+def with_percentiles(sums: DataFrame, df: DataFrame, by: str | list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """One row for each group (``sums``) with percentiles of its rows in ``df``; a null group meets a null group."""
-    found = percentiles(df, [by], value, shares).withColumnRenamed(by, "_group")
-    return sums.join(found, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
+    by = [by] if isinstance(by, str) else by
+    names = {c: f"_group_{k}" for k, c in enumerate(by)}
+    found = percentiles(df, by, value, shares).withColumnsRenamed(names)
+    same = F.lit(True)
+    for c, name in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(name))
+    return sums.join(found, same, "left").drop(*names.values())

@@ -4,8 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from hexloom.operators import authority, checks, ranks, rivers
+from hexloom.functions.geodesy import geodesic
+from hexloom.operators import authority, checks, georeference, ranks, rivers
 
 
 def test_percentiles_of_large_small_and_null_groups(spark):
@@ -38,3 +40,24 @@ def test_statistics_without_values(spark):
     assert rivers.offset_statistics(none, [10.0]).first()[:] == (0, None, None, None, None, 0)
     zones = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 3.0), ("c", None)], "zone string, m double")
     assert {(r.zone, r.n, r.is_worst) for r in authority.worst_zone(zones, "zone", "m").collect()} == {("a", 2, False), ("b", 1, True), ("c", 0, False)}
+
+
+def test_groups_of_several_columns_and_nulls(spark):
+    rows = [("a", 1, 1.0), ("a", 1, 4.0), ("a", None, 7.0), (None, 1, 2.0), (None, 1, 2.0), ("b", 2, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v double")
+    sums = df.groupBy("g", "h").agg(F.count("v").alias("n"))
+    got = {(r.g, r.h): (r.n, r.median) for r in ranks.with_percentiles(sums, df, ["g", "h"], "v", {"median": 0.5}).collect()}
+    assert got == {("a", 1): (2, 2.5), ("a", None): (1, 7.0), (None, 1): (2, 2.0), ("b", 2): (0, None)}
+
+
+def test_medians_of_prime_meridians(spark):
+    """The score of each candidate is the median of all its distances, a whole set of places in one group."""
+    rng = np.random.default_rng(2)
+    places = [(float(a) - 2.3 + float(e), float(b), float(a)) for a, b, e in zip(rng.uniform(0, 20, 301), rng.uniform(40, 50, 301), rng.normal(0, 0.05, 301))]
+    df = spark.createDataFrame(places, "map_lon double, lat double, ref_lon double").withColumn("ref_lat", F.col("lat"))
+    candidates = {"PARIS": 2.337229, "FERRO": -17.666, "GREENWICH": 0.0}
+    got = {r.meridian: (r.median_m, r.rank) for r in georeference.meridian_scores(df, candidates).collect()}
+    d = lambda off: df.select(geodesic(F.col("map_lon") + off, F.col("lat"), F.col("ref_lon"), F.col("lat")).alias("d")).toPandas()["d"].median()
+    assert {k: v[0] for k, v in got.items()} == pytest.approx({k: d(v) for k, v in candidates.items()})
+    assert [got[k][1] for k in ("PARIS", "GREENWICH", "FERRO")] == [1, 2, 3]
+    assert georeference.meridian_scores(df.limit(0), candidates).count() == 0
