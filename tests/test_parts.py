@@ -126,3 +126,32 @@ def test_crossing_sides():
             for i in range(7) for j in range(i)
         )
         assert sp._crosses(x, y) == brute
+
+
+def test_lakes_memberships_and_components(spark, shapes):
+    """What a hex and a feature get from their shares, against sums over the clips of whole rings."""
+    some = shapes[:12] + shapes[:1]  # one shape twice, so that ties of area are met
+    each = {f"f{k}": by_brute_force(*s) for k, s in enumerate(some)}
+    cells = {c for v in each.values() for c in v}
+    shares = sp.feature_hexes(frame(spark, some), GRID).where("area_m2 > 1e-6")
+    lakes = {(r.q, r.r): r for r in sp.hex_lakes(shares, GRID).collect()}
+    found = {(r.feature_id, r.q, r.r): r for r in sp.memberships(shares, GRID).collect()}
+    assert set(lakes) == cells and set(found) == {(f, *c) for f, v in each.items() for c in v}
+    for c in cells:
+        own = {f: v[c] for f, v in each.items() if c in v}
+        assert lakes[c].lake_fraction == pytest.approx(min(1, sum(own.values()) / GRID.area), rel=1e-6, abs=1e-9)
+        assert lakes[c].lake_ids == "|".join(sorted(own))
+        most = max(own.values())
+        near = {f for f, m in own.items() if m > most - 1e-5}
+        assert lakes[c].primary_lake in near and [f for f in own if found[(f, *c)].is_dominant] == [lakes[c].primary_lake]
+        if "f0" in near and "f12" in near:
+            assert lakes[c].primary_lake != "f12"  # copies: the smaller id
+        for f, m in own.items():
+            assert found[(f, *c)].share_of_covered == pytest.approx(m / sum(own.values()), rel=1e-4) and found[(f, *c)].share_of_hex == pytest.approx(m / GRID.area, rel=1e-4, abs=1e-12)
+    land = sp.land_classes(shares.select("q", "r").distinct(), shares, GRID, 0.3)
+    is_land = {c: sum(v.get(c, 0) for v in each.values()) / GRID.area >= 0.3 for c in cells}
+    assert {(r.q, r.r): r.land_class == "land" for r in land.collect()} == is_land
+    for r in sp.component_stats(shares, land).collect():
+        own = each[r.feature_id]
+        assert r.hexes == len(own) and r.area_m2 == pytest.approx(sum(own.values())) and r.represented == any(is_land[c] for c in own)
+        assert own[tuple(r.primary_hex)] == pytest.approx(max(own.values()))
