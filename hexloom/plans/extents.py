@@ -129,7 +129,7 @@ def q04(s, d):
     # Squares of one supplier stand a side apart, those of different ones in columns of their own.
     x = "(cast(s_suppkey % 2000 as double) - 1000) * 15000"
     one, two = ring(laid, x), ring(laid, f"({x} + 4 * h)").withColumn("feature_id", F.col("feature_id") + 50)
-    gaps = e.ground_distances(segments_of(one), 25_000.0, segments_of(two)).where("b = a + 50").select(F.col("a").alias("id"), "ground_m")
+    gaps = e.ground_distances(segments_of(one), 25_000.0, segments_of(two), "line_id_b = line_id + 50").select(F.col("a").alias("id"), "ground_m")
     all_ = laid.join(ground_areas(one).withColumnRenamed("feature_id", "id"), "id").join(gaps, "id", "left")
     square = F.pow(F.col("side"), 2) / 1e6
     return all_.select("s_suppkey", "lat", (F.abs(F.col("ground_km2") / square - 1) < 0.02).alias("area_holds"), F.coalesce(F.abs(F.col("ground_m") / F.col("side") - 1) < 0.02, F.lit(False)).alias("gap_holds"))

@@ -176,3 +176,14 @@ def test_continuity_authority_carries_a_shape(spark):
     carried = lambda t: "SHAPE_NOT_CARRIED_TO_DAY" not in {r.violation for r in evidence.evaluate(features, links, t, registry, "1870-01-01")[0].collect()}
     assert not carried(table)
     assert carried(table.selectExpr("*", "if(evidence_id = 'e2', 'YES', null) as continuity_authority"))
+
+
+def test_distances_of_wanted_pairs(spark):
+    """Only the pairs that are asked for, by a join that sends no table whole to the driver, however small its file is."""
+    rows = [(k, 1000.0 * k, 0.0, 1000.0 * k, 10.0) for k in range(6)]
+    lines = spark.createDataFrame(rows, "line_id long, x1 double, y1 double, x2 double, y2 double")
+    others = lines.selectExpr("line_id + 50 as line_id", "x1 + 100 as x1", "y1", "x2 + 100 as x2", "y2")
+    got = extents.ground_distances(lines, 5000.0, others, "line_id_b = line_id + 50")
+    assert sorted((r["a"], r["b"], round(r["distance_m"], 6)) for r in got.collect()) == [(k, k + 50, 100.0) for k in range(6)]
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert extents.ground_distances(lines, 5000.0, others).count() == 35
