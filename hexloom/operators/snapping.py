@@ -69,7 +69,7 @@ def between(a: tuple[Column, Column], b: tuple[Column, Column], c: tuple[Column,
 
 
 def cells_near(vertices: DataFrame, grid: GridSpec, reach: Column) -> DataFrame:
-    """Pieces of lines, none longer than three sides, each with the cells (q, r) whose middle may be within ``reach`` and a side of it.
+    """Pieces of lines, none longer than three sides, each with the cells (q, r) whose middle is within ``reach`` and a side of it, how far it is (``away``), and the cell where the piece begins.
 
     Pieces keep the boxes small: a long slanting leg would else meet cells by the square of its length. ``reach`` may use columns of ``vertices``
     that are the same along a line, named ``reach`` here.
@@ -82,9 +82,11 @@ def cells_near(vertices: DataFrame, grid: GridSpec, reach: Column) -> DataFrame:
     each = each.withColumns(ends).withColumn("s", F.col("s0") + F.col("leg") / F.col("n") * (F.col("i") - 1)).withColumn("piece", F.col("leg") / F.col("n"))
     pad = F.col("reach") + grid.side
     box = {"min_x": F.least("px", "ox") - pad, "max_x": F.greatest("px", "ox") + pad, "min_y": F.least("py", "oy") - pad, "max_y": F.greatest("py", "oy") + pad}
-    cells = hexes_of_boxes(each.select("branch", "reach", "px", "py", "ox", "oy", "s", "piece").withColumns(box), grid)
+    q, r = grid.cell(F.col("px"), F.col("py"))
+    cells = hexes_of_boxes(each.select("branch", "reach", "px", "py", "ox", "oy", "s", "piece", q.alias("start_q"), r.alias("start_r")).withColumns(box), grid)
     middle = grid.centre(F.col("q"), F.col("r"))
-    return cells.where(to_leg(*middle, F.col("px"), F.col("py"), F.col("ox"), F.col("oy"))[0] <= pad + 1e-6)
+    away = to_leg(*middle, F.col("px"), F.col("py"), F.col("ox"), F.col("oy"))[0]
+    return cells.withColumn("away", away).where(F.col("away") <= pad + 1e-6)
 
 
 def places(grid: GridSpec, a: Column, b: Column) -> list[Column]:
@@ -375,12 +377,17 @@ def extend_mouths(paths: DataFrame, mouths: DataFrame, water: DataFrame, grid: G
 
 
 def wide_river_hexes(vertices: DataFrame, grid: GridSpec, width_m: str, exaggeration: float = 1.0) -> DataFrame:
-    """The hexes (branch, q, r) that a line as wide as its column ``width_m`` times ``exaggeration`` touches."""
-    x, y = F.col("px"), F.col("py")
-    q, r = grid.cell(x, y)
+    """The hexes (branch, q, r) that a line as wide as its column ``width_m`` times ``exaggeration`` touches.
+
+    A cell holds the circle about its middle that touches its sides, so one whose middle is within that circle's radius of the band is touched;
+    only those whose middle is further off, by up to a side, are held side by side against the line.
+    """
     cx, cy = 2 * F.col("q") + F.col("r"), 3 * F.col("r")
     ring = [{"x": cx + u, "y": cy + v} for u, v in RING]
-    each = cells_near(vertices, grid, F.col(width_m) * exaggeration / 2).withColumn("inside", (q == F.col("q")) & (r == F.col("r")))
-    each = each.withColumn("side", F.explode(F.array(*[F.struct(*places(grid, ring[i], ring[(i + 1) % 6])) for i in range(6)]))).select("*", "side.*")
-    gap = between((F.col("ux"), F.col("uy")), (F.col("vx"), F.col("vy")), (x, y), (F.col("ox"), F.col("oy")))
-    return each.where(F.col("inside") | (gap <= F.col("reach"))).select("branch", "q", "r").distinct()
+    each = cells_near(vertices, grid, F.col(width_m) * exaggeration / 2).withColumn("sure", F.col("away") <= F.col("reach") + grid.flat_to_flat / 2 - 1e-6)
+    sides = F.array(*[F.struct(*places(grid, ring[i], ring[(i + 1) % 6])) for i in range(6)])
+    none = F.array(F.struct(*[F.lit(0.0).alias(c) for c in ("ux", "uy", "vx", "vy")]))
+    each = each.withColumn("side", F.explode(F.when(F.col("sure"), none).otherwise(sides))).select("*", "side.*")
+    inside = (F.col("start_q") == F.col("q")) & (F.col("start_r") == F.col("r"))
+    gap = between((F.col("ux"), F.col("uy")), (F.col("vx"), F.col("vy")), (F.col("px"), F.col("py")), (F.col("ox"), F.col("oy")))
+    return each.where(F.col("sure") | inside | (gap <= F.col("reach"))).select("branch", "q", "r").distinct()

@@ -227,6 +227,26 @@ def test_wide_rivers(tables):
         assert {c for c, d in near.items() if d <= 1995} <= got[name] <= {c for c, d in near.items() if d <= 2005}
 
 
+def test_wide_rivers_ask_few_cells_for_their_sides(tables):
+    """Cells whose own circle the band touches need no sides: with a line 2 km wide on each side few are left, and the cells are those of all sides."""
+    lines = tables[0].withColumn("width", F.lit(2000.0))
+    near = o.cells_near(lines, GRID, F.lit(2000.0)).select("q", "r", "px", "py", "ox", "oy", "away").collect()
+    assert all(abs(r.away - math.hypot(*closest(r))) < 1e-6 for r in near)
+    asked = [r for r in near if r.away > 2000.0 + GRID.flat_to_flat / 2 - 1e-6]
+    assert 0 < len(asked) < len(near) / 4
+    got = {(r.branch, r.q, r.r) for r in o.wide_river_hexes(lines, GRID, "width", 2.0).collect()}
+    sure = {(r.branch, r.q, r.r) for r in o.cells_near(lines, GRID, F.lit(2000.0)).where(F.col("away") <= 2000.0 + GRID.flat_to_flat / 2 - 1e-6).collect()}
+    assert sure <= got
+
+
+def closest(r):
+    """From a cell's middle to the nearest place of a piece."""
+    cx, cy = GRID.flat_to_flat * (r.q + r.r / 2), 1.5 * GRID.side * r.r
+    dx, dy = r.ox - r.px, r.oy - r.py
+    t = min(1.0, max(0.0, ((cx - r.px) * dx + (cy - r.py) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+    return cx - r.px - t * dx, cy - r.py - t * dy
+
+
 def test_empty_tables(spark, tables, water):
     none, few = tables[0].limit(0), tables[1].limit(0)
     ids = water.limit(0).select(GRID.hex_id(F.col("q"), F.col("r")).alias("hex_id"))
