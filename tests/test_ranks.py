@@ -61,3 +61,22 @@ def test_medians_of_prime_meridians(spark):
     assert {k: v[0] for k, v in got.items()} == pytest.approx({k: d(v) for k, v in candidates.items()})
     assert [got[k][1] for k in ("PARIS", "GREENWICH", "FERRO")] == [1, 2, 3]
     assert georeference.meridian_scores(df.limit(0), candidates).count() == 0
+
+
+def test_percentiles_deal_values_over_tasks_by_their_number(spark, monkeypatch):
+    """No task gets more than a few blocks' rows, be they of one group, of many, or one value; the percentiles are those of the whole."""
+    rows = [(k % 3, float(k * 7919 % 1013)) for k in range(3000)] + [(9, 5.0)] * 200 + [(k + 100, float(k)) for k in range(50)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    tables = []
+    keep = ranks.written
+    monkeypatch.setattr(ranks, "written", lambda t, name: tables.append(keep(t, name)) or tables[-1])
+    monkeypatch.setattr(ranks, "BLOCK_ROWS", 100)
+    got = {r.g: (r.low, r.mid) for r in ranks.percentiles(df, ["g"], "v", {"low": 0.1, "mid": 0.5}).collect()}
+    values = {}
+    for g, v in rows:
+        values.setdefault(g, []).append(v)
+    assert set(got) == set(values)
+    for g, some in values.items():
+        assert got[g] == pytest.approx(tuple(np.percentile(some, [10, 50])))
+    blocks = tables[-1].groupBy("block").count().collect()
+    assert len(blocks) > 10 and max(r["count"] for r in blocks) <= 400
