@@ -58,14 +58,18 @@ def to_leg(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Colum
     return F.hypot(px - ax - t * dx, py - ay - t * dy), t
 
 
-def between(a: tuple[Column, Column], b: tuple[Column, Column], c: tuple[Column, Column], d: tuple[Column, Column]) -> Column:
-    """The distance of two legs, a to b and c to d; zero where they cross."""
+def crossing(a: tuple[Column, Column], b: tuple[Column, Column], c: tuple[Column, Column], d: tuple[Column, Column]) -> Column:
+    """Whether two legs, a to b and c to d, cross inside both."""
 
     def side(p, q, r):
         return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
 
-    crossing = (side(a, b, c) * side(a, b, d) < 0) & (side(c, d, a) * side(c, d, b) < 0)
-    return F.when(crossing, 0.0).otherwise(F.least(to_leg(*a, *c, *d)[0], to_leg(*b, *c, *d)[0], to_leg(*c, *a, *b)[0], to_leg(*d, *a, *b)[0]))
+    return (side(a, b, c) * side(a, b, d) < 0) & (side(c, d, a) * side(c, d, b) < 0)
+
+
+def between(a: tuple[Column, Column], b: tuple[Column, Column], c: tuple[Column, Column], d: tuple[Column, Column]) -> Column:
+    """The distance of two legs, a to b and c to d; zero where they cross."""
+    return F.when(crossing(a, b, c, d), 0.0).otherwise(F.least(to_leg(*a, *c, *d)[0], to_leg(*b, *c, *d)[0], to_leg(*c, *a, *b)[0], to_leg(*d, *a, *b)[0]))
 
 
 def cells_near(vertices: DataFrame, grid: GridSpec, reach: Column) -> DataFrame:
@@ -99,15 +103,26 @@ def corridor(vertices: DataFrame, grid: GridSpec, reach: float = CORRIDOR) -> Da
     if grid.orientation != "pointy":
         raise ValueError("edges are made for pointy grids")
     cx, cy = 2 * F.col("q") + F.col("r"), 3 * F.col("r")
-    sides = []
-    for (ax, ay), (bx, by), (dq, dr) in SIDES:
-        a, b = (F.struct((cx + u).alias("x"), (cy + v).alias("y")) for u, v in ((ax, ay), (bx, by)))
-        sides.append(F.struct(F.least(a, b).alias("n1"), F.greatest(a, b).alias("n2"), (F.col("q") + dq).alias("q2"), (F.col("r") + dr).alias("r2"), *places(grid, a, b)))
-    each = cells_near(vertices, grid, F.lit(float(reach))).withColumn("side", F.explode(F.array(*sides))).select("*", "side.*")
-    piece = (F.col("px"), F.col("py")), (F.col("ox"), F.col("oy"))
-    away, part = to_leg((F.col("ux") + F.col("vx")) / 2, (F.col("uy") + F.col("vy")) / 2, *piece[0], *piece[1])
-    each = each.select("branch", "n1", "n2", "q", "r", "q2", "r2", between((F.col("ux"), F.col("uy")), (F.col("vx"), F.col("vy")), *piece).alias("gap"), F.struct(away.alias("d"), (F.col("s") + part * F.col("piece")).alias("s")).alias("mid"))
-    best = each.groupBy("branch", "n1", "n2", "q", "r", "q2", "r2").agg(F.min("gap").alias("gap"), F.min("mid").alias("mid")).where(F.col("gap") <= reach)
+    # Sides as whole numbers about the middle, the smaller node first; the nodes follow from the cell and the side's number.
+    ordered = [(*sorted(ends), beyond) for *ends, beyond in SIDES]
+    number = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip(("k", "u1", "v1", "u2", "v2"), (k, *one, *two))]) for k, (one, two, _) in enumerate(ordered)])
+    each = cells_near(vertices, grid, F.lit(float(reach))).withColumn("side", F.explode(number)).select("*", "side.*")
+    node = lambda u, v: F.struct((cx + u).alias("x"), (cy + v).alias("y"))
+    each = each.select("branch", "q", "r", "k", "px", "py", "ox", "oy", "s", "piece", *places(grid, node(F.col("u1"), F.col("v1")), node(F.col("u2"), F.col("v2"))))
+    # The middle of a side is at most half a side further off than its nearest place, so most are in or out by it.
+    u, v, p, o = [(F.col(f"{c}x"), F.col(f"{c}y")) for c in "uvpo"]
+    away, part = to_leg((u[0] + v[0]) / 2, (u[1] + v[1]) / 2, *p, *o)
+    each = each.withColumn("mid", F.struct(away.alias("d"), (F.col("s") + part * F.col("piece")).alias("s"))).where(F.col("mid.d") <= reach + grid.side / 2 + 1e-6)
+    each = each.withColumn("sure", (F.col("mid.d") <= reach) | crossing(u, v, p, o))
+    couple = lambda *places_: F.struct(*[c.alias(f"c{i}") for i, c in enumerate(c for place in places_ for c in place)])
+    couples = F.array(couple(u, p, o), couple(v, p, o), couple(p, u, v), couple(o, u, v))
+    none = F.array(F.struct(*[F.lit(0.0).alias(f"c{i}") for i in range(6)]))
+    each = each.select("branch", "q", "r", "k", "mid", "sure", F.explode(F.when(F.col("sure"), none).otherwise(couples)).alias("c")).select("branch", "q", "r", "k", "mid", "sure", "c.*")
+    near = F.col("sure") | (to_leg(*[F.col(f"c{i}") for i in range(6)])[0] <= reach)
+    best = each.groupBy("branch", "q", "r", "k").agg(F.max(near).alias("near"), F.min("mid").alias("mid")).where("near")
+    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("k").cast("int") + 1)
+    n1, n2 = (node(*(of([ends[i][c] for ends in ordered]).cast("long") for c in (0, 1))) for i in (0, 1))
+    best = best.select("branch", n1.alias("n1"), n2.alias("n2"), "q", "r", *[(F.col(c) + of([ends[2][i] for ends in ordered])).alias(f"{c}2") for i, c in enumerate("qr")], "mid")
     one, two = grid.hex_id(F.col("q"), F.col("r")), grid.hex_id(F.col("q2"), F.col("r2"))
     (ux, uy), (vx, vy) = node_xy(grid, F.col("n1")), node_xy(grid, F.col("n2"))
     return best.select(
@@ -174,16 +189,21 @@ def search(same_turn: float):
     """
 
     def path(group: pd.DataFrame) -> pd.DataFrame:
-        g = group.sort_values(["x1", "y1", "x2", "y2"], ignore_index=True)
-        both = np.concatenate([g[["x1", "y1"]].to_numpy(), g[["x2", "y2"]].to_numpy()])
-        names, number = np.unique(both, axis=0, return_inverse=True)
+        x1, y1, x2, y2 = (group[c].to_numpy() for c in ("x1", "y1", "x2", "y2"))
+        placed = np.lexsort((y2, x2, y1, x1))
+        x1, y1, x2, y2 = x1[placed], y1[placed], x2[placed], y2[placed]
+        g = {c: group[c].to_numpy()[placed] for c in ("ahead", "back", "start1", "start2", "goal1", "goal2")}
+        x, y = np.concatenate([x1, x2]), np.concatenate([y1, y2])
+        wide = y.max() - y.min() + 1  # nodes as one number, in the order of x, then y
+        names, number = np.unique((x - x.min()) * wide + y - y.min(), return_inverse=True)
+        names = np.stack([names // wide + x.min(), names % wide + y.min()], 1)
         xy = names * [3**0.5, 1.0]  # lattice units are half a width and half a side
         one, two = np.split(number.ravel(), 2)
-        tail, head, m = np.concatenate([one, two]), np.concatenate([two, one]), len(g)
-        cost = np.concatenate([g.ahead, g.back]).astype(float)
-        start = int(np.concatenate([one[g.start1], two[g.start2]]).min())
+        tail, head, m = np.concatenate([one, two]), np.concatenate([two, one]), len(x1)
+        cost = np.concatenate([g["ahead"], g["back"]]).astype(float)
+        start = int(np.concatenate([one[g["start1"]], two[g["start2"]]]).min())
         goal = np.zeros(len(names), dtype=bool)
-        goal[one[g.goal1]] = goal[two[g.goal2]] = True
+        goal[one[g["goal1"]]] = goal[two[g["goal2"]]] = True
         nodes = [start]
         through, paid = [], [0.0]
         if not goal[start]:
@@ -205,12 +225,13 @@ def search(same_turn: float):
                 curl = turn[fresh // 3].ravel()
                 total = reached[source] + cost[onto] + same_turn * ((curl != 0) & (curl == source % 3 - 1))
                 target = 3 * onto + curl + 1
-                keep = onto >= 0
+                keep = np.flatnonzero((onto >= 0) & (total < reached[target]))
                 source, target, total = source[keep], target[keep], total[keep]
                 order = np.lexsort((source, total, target))
-                first = order[np.unique(target[order], return_index=True)[1]]
-                first = first[total[first] < reached[target[first]]]
-                fresh = target[first]
+                found = target[order]
+                new = np.ones(len(found), bool)
+                new[1:] = found[1:] != found[:-1]
+                first, fresh = order[new], found[new]
                 reached[fresh], came[fresh] = total[first], source[first]
                 best = min(best, reached[fresh[ends[fresh]]].min(initial=np.inf))
             if not np.isfinite(best):
@@ -223,9 +244,9 @@ def search(same_turn: float):
             nodes += [int(head[e // 3]) for e in through]
             paid += [float(reached[e]) for e in through]
         sides = np.array([e // 3 % m for e in through], dtype=int)
-        out = pd.DataFrame({"branch": g.branch[0], "step": np.arange(len(nodes), dtype="int32"), "x": names[nodes, 0], "y": names[nodes, 1]})
-        for c in ("x1", "y1", "x2", "y2"):
-            out[c] = pd.array([None, *g[c].to_numpy()[sides]], dtype="Int64")
+        out = pd.DataFrame({"branch": group["branch"].iloc[0], "step": np.arange(len(nodes), dtype="int32"), "x": names[nodes, 0], "y": names[nodes, 1]})
+        for c, end in (("x1", x1), ("y1", y1), ("x2", x2), ("y2", y2)):
+            out[c] = pd.array([None, *end[sides]], dtype="Int64")
         return out.assign(cost=paid)
 
     return path
@@ -233,7 +254,8 @@ def search(same_turn: float):
 
 def searched(edges: DataFrame, same_turn: float) -> DataFrame:
     """The paths of ``search`` through flagged edges, as steps."""
-    found = spread(edges, "branch").groupBy("branch").applyInPandas(search(same_turn), FLAT)
+    # By a number of its own: rows that lie by branch already would be left as they are, and few bytes are folded into one task.
+    found = spread(edges.withColumn("lane", F.xxhash64("branch")), "lane").groupBy("lane", "branch").applyInPandas(search(same_turn), FLAT)
 
     def node(x, y):
         return F.when(F.col(x).isNotNull(), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))

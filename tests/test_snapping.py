@@ -160,6 +160,15 @@ def test_paths_are_the_cheapest(tables, paths, water):
     assert len(steps["still"]) == 1 and steps["still"][0][1] == 0
 
 
+def test_searches_are_dealt_over_all_partitions(spark):
+    """Rows that lie by branch already, in a table of a few bytes, are still dealt over all tasks."""
+    rows = [(f"b{k}", 0, 0, 1, 1, 1.0, 1.0, True, False, False, True) for k in range(200)]
+    edges = spark.createDataFrame(rows, "branch string, x1 bigint, y1 bigint, x2 bigint, y2 bigint, ahead double, back double, start1 boolean, start2 boolean, goal1 boolean, goal2 boolean")
+    by_branch = edges.join(edges.select("branch").distinct(), "branch")
+    found = o.searched(by_branch.hint("shuffle_hash"), 0.0).withColumn("task", F.spark_partition_id())
+    assert found.count() == 400 and found.select("task").distinct().count() > 4
+
+
 def test_depth_follows_the_larger_branch(spark):
     flows = [("x", "y", 5.0), ("y", "z", 9.0), ("z", "y", 7.0), ("w", "x", 6.0), ("v", None, None)]
     got = {r.branch: (r.receiver, r.depth) for r in o.depths(spark.createDataFrame(flows, "branch string, receiver string, discharge double")).collect()}
