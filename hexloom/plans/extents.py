@@ -94,7 +94,8 @@ def a19(s, d):
     shapes = diamonds(s, d).withColumn("group", F.concat_ws("_", F.floor(F.col("cx") / 100_000), F.floor(F.col("cy") / 100_000)))
     corners = shapes.select("group", F.explode(F.arrays_zip(F.col("xs").alias("x"), F.col("ys").alias("y"))).alias("c")).select("group", "c.x", "c.y")
     members = shapes.select("group", "feature_id").join(ground_areas(shapes), "feature_id").select("group", F.col("feature_id").alias("component_id"), F.col("ground_km2").alias("km2"))
-    out = e.group_metrics(members, corners, "group", e.ground_distances(segments_of(shapes), 2 * LIMIT))
+    sides = segments_of(shapes).join(members.select(F.col("component_id").alias("line_id"), "group"), "line_id")
+    out = e.group_metrics(members, corners, "group", e.nearest_in_group(sides, 2 * LIMIT, "group"))
     return rounded(out, 3, "km2", "extent_m", "extent_projected_m", "hull_km2", "separation_m").select(
         "group", "group_id", "parts", "km2", F.round("largest_share", 6).alias("largest_share"), "extent_m", "extent_projected_m", "hull_km2", F.round("land_hull_ratio", 6).alias("land_hull_ratio"), "separation_m"
     )
