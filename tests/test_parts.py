@@ -155,3 +155,17 @@ def test_lakes_memberships_and_components(spark, shapes):
         own = each[r.feature_id]
         assert r.hexes == len(own) and r.area_m2 == pytest.approx(sum(own.values())) and r.represented == any(is_land[c] for c in own)
         assert own[tuple(r.primary_hex)] == pytest.approx(max(own.values()))
+
+
+def test_only_cells_with_several_borders_are_united_in_python(spark, monkeypatch):
+    """Two boxes that fill most of their cells: the rows of a cell go to Python as one batch, not as one group each, and cells held whole add up."""
+    from hexloom.functions.hexgrid import GridSpec
+    from hexloom.operators import spatial
+
+    grid = GridSpec(1000.0)
+    rows = [(1, [0.0, 20_000.0, 20_000.0, 0.0], [0.0, 0.0, 9_000.0, 9_000.0]), (1, [-300.0, 12_000.0, 12_000.0, -300.0], [-700.0, -700.0, 5_000.0, 5_000.0]), (2, [5e4, 5.1e4, 5.1e4, 5e4], [0.0, 0.0, 700.0, 700.0])]
+    table = spark.createDataFrame([(k, False, x, y) for k, x, y in rows], "k int, is_hole boolean, xs array<double>, ys array<double>")
+    plan = spatial.union_in_hexes(table, grid, ["k"])
+    assert "FlatMapGroupsInPandas" not in plan._jdf.queryExecution().toString()
+    got = {r.k: r.m for r in plan.groupBy("k").agg({"area_m2": "sum"}).withColumnRenamed("sum(area_m2)", "m").collect()}
+    assert abs(got[1] - (20_000 * 9_000 + 12_300 * 5_700 - 12_000 * 5_000)) < 1e-3 and abs(got[2] - 700_000) < 1e-6
