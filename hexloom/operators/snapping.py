@@ -11,22 +11,25 @@ legs and so no path. Equal costs and distances are settled by the smaller node.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexloom.functions.hexgrid import GridSpec
+from hexloom.operators import lattice
 from hexloom.operators.grid import hexes_of_boxes, node_xy
-from hexloom.operators.rivers import edge_penalty, roots, turn_density
+from hexloom.operators.lattice import SIDES
+from hexloom.operators.rivers import WATER_EDGE_PENALTY, edge_penalty, roots, turn_density
 from hexloom.tables import written
 
 #: Fixed values of the search, in metres or as weights.
 CORRIDOR, SCALE, TANGENT_REACH = 15_000.0, 6_000.0, 400.0
 DIRECTION_WEIGHT, SAME_TURN = 1.2, 0.6
 JUNCTIONS, MOUTH_LIMIT = 3, 20_000.0
-#: The three sides that a cell owns: their ends from its middle, and the cell beyond.
-SIDES = (((1, -1), (1, 1), (1, 0)), ((1, 1), (0, 2), (0, 1)), ((0, 2), (-1, 1), (-1, 1)))
 RING = ((1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1), (0, -2))
 NODE = "struct<x:bigint,y:bigint>"
 FLAT = "branch string, step int, x bigint, y bigint, x1 bigint, y1 bigint, x2 bigint, y2 bigint, cost double"
@@ -294,6 +297,166 @@ def ends(vertices: DataFrame) -> DataFrame:
     return out.select("branch", F.col("a.x").alias("from_x"), F.col("a.y").alias("from_y"), F.col("b.x").alias("to_x"), F.col("b.y").alias("to_y"))
 
 
+#: Cells about pieces of lines that are looked at together: bounds the memory of a task, whatever a batch holds.
+CELLS = 100_000
+#: Lines whose tiles of water are looked up together.
+LINES = 1_000
+LISTS = "branch string, xs array<bigint>, ys array<bigint>, cost array<double>"
+
+
+def line_lists(vertices: DataFrame) -> DataFrame:
+    """Lines as a row each: branch, xs, ys in the order of k. Lines of fewer than two corners are left out."""
+    each = vertices.select(F.col("branch").cast("string").alias("branch"), "k", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).dropna()
+    rows = each.groupBy("branch").agg(F.array_sort(F.collect_list(F.struct("k", "x", "y"))).alias("v")).where(F.size("v") > 1)
+    return rows.select("branch", F.col("v.x").alias("xs"), F.col("v.y").alias("ys"))
+
+
+def with_water(lines: DataFrame, water: DataFrame, grid: GridSpec, reach: float) -> DataFrame:
+    """Lines (xs, ys) with the water cells (hex_id) about them as ``water``: tiles of 8 by 8 cells with a bit for each, so no line holds a row for each cell."""
+    cells = water.select(*[F.regexp_extract("hex_id", pattern, 1).try_cast("bigint").alias(c) for c, pattern in (("q", "_q([+-][0-9]+)_r"), ("r", "_r([+-][0-9]+)$"))]).dropna()
+    side = lattice.TILE
+    tiles = cells.groupBy(F.floor(F.col("q") / side).alias("tq"), F.floor(F.col("r") / side).alias("tr")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(q, {side}) * {side} + pmod(r, {side}) as int)))").alias("bits"))
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys = _lists(batch.column("xs")), _lists(batch.column("ys"))
+            for first in range(0, len(xs), LINES):
+                line, tq, tr = lattice.tiles(lattice.Lines(xs[first : first + LINES], ys[first : first + LINES], grid), reach)
+                yield pa.RecordBatch.from_arrays([batch.column("branch").take(pa.array(first + line, pa.int64())), pa.array(tq, pa.int64()), pa.array(tr, pa.int64())], names=["branch", "tq", "tr"])
+
+    met = lines.select("branch", "xs", "ys").mapInArrow(around, "branch string, tq bigint, tr bigint").join(tiles, ["tq", "tr"])
+    lists = met.groupBy("branch").agg(F.collect_list(F.struct("tq", "tr", "bits")).alias("water"))
+    none = F.array().cast("array<struct<tq:bigint,tr:bigint,bits:bigint>>")
+    return lines.join(lists, "branch", "left").withColumn("water", F.coalesce("water", none))
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    at, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(at, at[1:])]
+
+
+def _groups(xs: list[np.ndarray], ys: list[np.ndarray], grid: GridSpec, reach: float) -> Iterator[tuple[int, int]]:
+    """Ranges of lines whose pieces have about ``CELLS`` cells around them; a longer line is alone."""
+    around = (2 * (reach + grid.side) + 3 * grid.side) ** 2 / grid.area
+    many = [around * (len(x) + np.hypot(np.diff(x), np.diff(y)).sum() / (3 * grid.side)) for x, y in zip(xs, ys)]
+    first, held = 0, 0.0
+    for i, n in enumerate(many):
+        if i > first and held + n > CELLS:
+            yield first, i
+            first, held = i, 0.0
+        held += n
+    if many:
+        yield first, len(many)
+
+
+def lay(grid: GridSpec, reach: float, scale: float, direction: float, same_turn: float, mouths: bool = False):
+    """A function for ``mapInArrow``: the cheapest path of each line (branch, xs, ys) through its corridor, as lists of its nodes and costs.
+
+    Corridors are made, searched and left again a group of lines at a time, so no edge is written or sent. Wanted: ``water`` (``with_water``) and ``nodes``, lists of x and y. For rivers
+    these are the nodes of the path that a line flows into; a line ends at one of the nearest three that its corridor has, else nearest to its end, and begins nearest to its start.
+    For ``mouths`` it is the node where a line begins, and it ends at the first edge of a water cell.
+    """
+
+    def group(xs, ys, tq, tr, bits, nx, ny) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        lines = lattice.Lines(xs, ys, grid)
+        e = lattice.corridor(lines, reach)
+        if not len(e.q):
+            return {}
+        water = lattice.Water(np.repeat(np.arange(lines.n), [len(t) for t in tq]), *(np.concatenate(c) for c in (tq, tr, bits)))
+        here, there = water(e.line, e.q, e.r), water(e.line, e.q + lattice.ENDS[e.k, 4], e.r + lattice.ENDS[e.k, 5])
+        base = grid.side * (1 + (e.distance / scale) ** 2) * np.where(here & there, WATER_EDGE_PENALTY, 1.0)
+        along = 0.0
+        if not mouths:
+            tx, ty = lines.tangents(e.line, e.s, TANGENT_REACH)
+            (x1, y1), (x2, y2) = lattice.xy(grid, e.x1, e.y1), lattice.xy(grid, e.x2, e.y2)
+            long = grid.side * np.hypot(tx, ty)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                along = np.where(long > 0, ((x2 - x1) * tx + (y2 - y1) * ty) / long, 0.0)
+        turn = grid.side * direction / 2
+        nodes = lattice.Nodes(e)
+        x, y = lattice.xy(grid, nodes.x, nodes.y)
+        given = np.repeat(np.arange(lines.n), [len(c) for c in nx]), np.concatenate(nx), np.concatenate(ny)
+        known = nodes.find(*given)
+        start, goal = np.full(lines.n, -1), np.zeros(len(nodes.x), bool)
+        if mouths:
+            start[given[0][known >= 0]] = known[known >= 0]
+            shore = np.flatnonzero(here | there)
+            goal[nodes.number[shore]] = goal[nodes.number[shore + len(e.q)]] = True
+        else:
+            first = lattice.nearest(nodes.line, nodes.x, nodes.y, np.hypot(x - lines.from_x[nodes.line], y - lines.from_y[nodes.line]), lines.n)
+            start[nodes.line[first]] = first
+            away = np.hypot(x - lines.to_x[nodes.line], y - lines.to_y[nodes.line])
+            forced = np.unique(known[known >= 0])
+            forced = forced[np.lexsort((nodes.y[forced], nodes.x[forced], away[forced], nodes.line[forced]))]
+            own = nodes.line[forced]
+            goal[forced[np.arange(len(own)) - np.searchsorted(own, own) < JUNCTIONS]] = True
+            end = lattice.nearest(nodes.line, nodes.x, nodes.y, away, lines.n)
+            goal[end[~np.isin(nodes.line[end], own)]] = True
+        found = lattice.cheapest(e, base + turn * (1 - along), base + turn * (1 + along), nodes, start, goal, lines.n, same_turn)
+        return {k: (nodes.x[at], nodes.y[at], cost) for k, (at, cost) in found.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys = _lists(batch.column("xs")), _lists(batch.column("ys"))
+            tiles, onto = batch.column("water"), batch.column("nodes")
+            lists = [_lists(pa.ListArray.from_arrays(c.offsets, c.values.field(n))) for c, n in ((tiles, "tq"), (tiles, "tr"), (tiles, "bits"), (onto, "x"), (onto, "y"))]
+            for a, b in _groups(xs, ys, grid, reach):
+                found = group(xs[a:b], ys[a:b], *(c[a:b] for c in lists))
+                if found:
+                    at = sorted(found)
+                    sizes = np.concatenate([[0], np.cumsum([len(found[k][0]) for k in at])])
+                    columns = [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate([found[k][i] for k in at]), kind)) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+                    yield pa.RecordBatch.from_arrays([batch.column("branch").take(pa.array(a + np.array(at), pa.int64())), *columns], names=["branch", "xs", "ys", "cost"])
+
+    return run
+
+
+def steps_of(lists: DataFrame) -> DataFrame:
+    """Paths as lists (branch, xs, ys, cost) as steps: branch, step from 0, node, n1 and n2 of the edge that led there (null at step 0), cost."""
+    node = lambda i: F.struct(F.col("xs")[i].alias("x"), F.col("ys")[i].alias("y"))
+
+    def step(i: Column) -> Column:
+        ends = [F.when(i > 0, f(node(i - 1), node(i))) for f in (F.least, F.greatest)]
+        return F.struct(i.alias("step"), node(i).alias("node"), ends[0].alias("n1"), ends[1].alias("n2"), F.col("cost")[i].alias("cost"))
+
+    return lists.select("branch", F.explode(F.transform(F.sequence(F.lit(0), F.size("xs") - 1), step)).alias("s")).select("branch", "s.*")
+
+
+def lists_of(paths: DataFrame) -> DataFrame:
+    """Steps of paths as lists of their nodes: branch, xs, ys. Lists stay as they are."""
+    if "xs" in paths.columns:
+        return paths.select("branch", "xs", "ys")
+    rows = paths.groupBy("branch").agg(F.array_sort(F.collect_list(F.struct("step", "node.x", "node.y"))).alias("v"))
+    return rows.select("branch", F.col("v.x").alias("xs"), F.col("v.y").alias("ys"))
+
+
+def snap_lists(vertices: DataFrame, branches: DataFrame, water: DataFrame, grid: GridSpec, reach: float = CORRIDOR, scale: float = SCALE, direction: float = DIRECTION_WEIGHT, same_turn: float = SAME_TURN) -> DataFrame:
+    """The paths of ``snap`` as a row each: branch, xs and ys of the nodes, and the cost at each.
+
+    What is written is a row for each branch with its line, its water and later its path; corridors are never rows. Each depth is one written table.
+    """
+    if grid.orientation != "pointy":
+        raise ValueError("edges are made for pointy grids")
+    levels = written(depths(branches), "depths")
+    rows = with_water(line_lists(vertices), water, grid, reach).join(levels, "branch")
+    # Sorted by depth, so that each depth's filter skips the row groups of the others.
+    rows = written(rows.repartitionByRange("depth", F.xxhash64("branch")).sortWithinPartitions("depth"), "lines")
+    done = None
+    deepest = levels.agg(F.max("depth")).first()[0]
+    none = F.array().cast("array<struct<x:bigint,y:bigint>>")
+    for depth in range(0 if deepest is None else deepest + 1):
+        here = rows.where(F.col("depth") == depth)
+        if done is None:
+            here = here.withColumn("nodes", none)
+        else:
+            below = done.select(F.col("branch").alias("receiver"), F.arrays_zip(F.col("xs").alias("x"), F.col("ys").alias("y")).alias("nodes"))
+            here = here.join(below, "receiver", "left").withColumn("nodes", F.coalesce("nodes", none))
+        here = spread(here.select("branch", "xs", "ys", "water", "nodes").withColumn("lane", F.xxhash64("branch")), "lane").drop("lane")
+        found = written(here.mapInArrow(lay(grid, reach, scale, direction, same_turn * grid.side), LISTS), "paths")
+        done = found if done is None else done.unionByName(found)
+    return vertices.sparkSession.createDataFrame([], LISTS) if done is None else done
+
+
 def snap(vertices: DataFrame, branches: DataFrame, water: DataFrame, grid: GridSpec, reach: float = CORRIDOR, scale: float = SCALE, direction: float = DIRECTION_WEIGHT, same_turn: float = SAME_TURN) -> DataFrame:
     """Paths of branches along hex edges: branch, step from 0, node, n1 and n2 of the edge that led there (null at step 0), cost.
 
@@ -301,29 +464,9 @@ def snap(vertices: DataFrame, branches: DataFrame, water: DataFrame, grid: GridS
     discharge; ``water``: hex_id of open water. A branch begins at its corridor's node nearest to its
     line's start. It ends at one of the three nodes nearest to its line's end on the path of the branch it flows into,
     if that was laid before and touches the corridor, else at the node nearest to its line's end.
-    A branch that cannot be joined within its corridor has no rows. Each depth is one written table.
+    A branch that cannot be joined within its corridor has no rows.
     """
-    edges = written(corridor(vertices, grid, reach), "corridors")
-    key = ["n1", "n2"]
-    edges = edges.join(tangents(vertices, edges, key), ["branch", *key])
-    levels = written(depths(branches), "depths")
-    edges = costs(edges, grid, water, scale, direction).join(levels, "branch")
-    # Sorted by depth, so that each depth's filter skips the row groups of the others.
-    edges = written(edges.select("branch", "receiver", "depth", *key, "ahead", "back").repartitionByRange("depth", "branch").sortWithinPartitions("depth", "branch"), "corridor-costs")
-    places, done = written(ends(vertices), "line-ends"), None
-    deepest = levels.agg(F.max("depth")).first()[0]
-    for depth in range(0 if deepest is None else deepest + 1):
-        here = edges.where(F.col("depth") == depth)
-        nodes = here.select("branch", "receiver", F.explode(F.array("n1", "n2")).alias("node")).distinct().join(places, "branch")
-        starts = nearest_nodes(nodes.withColumns({"to_x": F.col("from_x"), "to_y": F.col("from_y")}), grid)
-        goals = nearest_nodes(nodes, grid)
-        if done is not None:
-            on_path = nodes.join(done.select(F.col("branch").alias("receiver"), "node"), ["receiver", "node"])
-            forced = nearest_nodes(on_path, grid, JUNCTIONS)
-            goals = goals.join(forced.select("branch").distinct(), "branch", "left_anti").unionByName(forced)
-        found = written(searched(flagged(here, starts, goals), same_turn * grid.side), "paths")
-        done = found if done is None else done.unionByName(found)
-    return vertices.sparkSession.createDataFrame([], STEPS) if done is None else done
+    return steps_of(snap_lists(vertices, branches, water, grid, reach, scale, direction, same_turn))
 
 
 def path_hexes(paths: DataFrame, edges: DataFrame) -> DataFrame:
@@ -338,26 +481,22 @@ def path_metrics(paths: DataFrame, vertices: DataFrame, grid: GridSpec, reach: f
 
     ``vertices`` may be the lines before they were simplified; ``reach`` then must hold what simplifying moved.
     """
-    near = corridor(vertices, grid, reach).select("branch", "n1", "n2", "distance_m", "s")
-    near = paths.where("step > 0").join(near, ["branch", "n1", "n2"], "left")
-    tang = tangents(vertices, near.where("s is not null").select("branch", "step", "s"), ["step"])
-    each = paths.drop("cost").join(near.select("branch", "step", "distance_m"), ["branch", "step"], "left").join(tang, ["branch", "step"], "left")
-    w = Window.partitionBy("branch").orderBy("step")
-    each = each.withColumn("before", F.lag("node").over(w))
-    x, y = node_xy(grid, F.col("node"))
-    bx, by = node_xy(grid, F.col("before"))
-    each = each.withColumns({"x": x, "y": y, "dx": x - bx, "dy": y - by, "along": against(grid, F.col("before"), F.col("node"))})
-    each = each.withColumn("turn", F.signum(F.lag("dx").over(w) * F.col("dy") - F.lag("dy").over(w) * F.col("dx")))
-    each = each.withColumn("same", (F.col("turn") == F.lag("turn").over(w)) & (F.col("turn") != 0))
-    off, n = "distance_m", F.count("dx")
-    first, last = F.min_by(F.struct("x", "y"), "step"), F.max_by(F.struct("x", "y"), "step")
-    out = each.groupBy("branch").agg(
-        n.alias("edges"), (n * grid.side).alias("length_m"), *[F.coalesce(f, F.lit(0.0)).alias(a) for a, f in {
-            "offset_mean": F.avg(off), "offset_median": F.percentile(off, F.lit(0.5)), "offset_p90": F.percentile(off, F.lit(0.9)), "offset_p95": F.percentile(off, F.lit(0.95)), "offset_max": F.max(off),
-        }.items()],
-        F.count("turn").alias("turns"), F.count_if("same").alias("same_turns"), F.count_if(F.col("along") < -0.5).alias("reversals"),
-        F.hypot(last["x"] - first["x"], last["y"] - first["y"]).alias("straight_m"),
-    )
+    names = [*(f"offset_{c}" for c in ("mean", "median", "p90", "p95", "max")), "straight_m"]
+    counts = ["edges", "turns", "same_turns", "reversals"]
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys, px, py = (_lists(batch.column(c)) for c in ("lx", "ly", "xs", "ys"))
+            for a, b in _groups(xs, ys, grid, reach):
+                got = lattice.measures(grid, list(zip(px[a:b], py[a:b])), list(zip(xs[a:b], ys[a:b])), reach, TANGENT_REACH)
+                columns = [pa.array(got[c], pa.int64()) for c in counts] + [pa.array(np.nan_to_num(got[c], nan=0.0), pa.float64()) for c in names]
+                yield pa.RecordBatch.from_arrays([batch.column("branch").slice(a, b - a), *columns], names=["branch", *counts, *names])
+
+    none = F.array().cast("array<double>")
+    both = lists_of(paths).join(line_lists(vertices).withColumnsRenamed({"xs": "lx", "ys": "ly"}), "branch", "left").withColumns({"lx": F.coalesce("lx", none), "ly": F.coalesce("ly", none)})
+    both = spread(both.withColumn("lane", F.xxhash64("branch")), "lane").drop("lane")
+    out = both.mapInArrow(measured, "branch string, " + ", ".join([*(f"{c} bigint" for c in counts), *(f"{c} double" for c in names)]))
+    out = out.select("branch", "edges", (F.col("edges") * grid.side).alias("length_m"), *names[:-1], *counts[1:], "straight_m")
     line = turn_density(vertices.withColumn("branch", F.col("branch").cast("string")), "branch", "k").select("branch", F.col("turns_per_100km").alias("line_turns"))
     density = F.when(F.col("length_m") > 0, F.col("turns") / (F.col("length_m") / 100_000)).otherwise(0.0)
     out = out.join(line, "branch", "left").withColumn("turns_per_100km", density)
@@ -370,7 +509,8 @@ def mouth_gaps(paths: DataFrame, mouths: DataFrame, water: DataFrame, grid: Grid
 
     Ends and cells meet in squares of ``limit``, where each end looks into nine; a square holds as many cells as fit into it, no more.
     """
-    last = paths.groupBy("branch").agg(F.max_by("node", "step").alias("node")).join(mouths.select(F.col("branch").cast("string").alias("branch")), "branch", "left_semi")
+    ends_ = lists_of(paths).select("branch", F.struct(F.element_at("xs", -1).alias("x"), F.element_at("ys", -1).alias("y")).alias("node")) if "xs" in paths.columns else paths.groupBy("branch").agg(F.max_by("node", "step").alias("node"))
+    last = ends_.join(mouths.select(F.col("branch").cast("string").alias("branch")), "branch", "left_semi")
     x, y = node_xy(grid, F.col("node"))
     last = last.withColumns({"x": x, "y": y})
     around = F.array(*[F.struct((F.floor(F.col("x") / limit) + i).alias("cx"), (F.floor(F.col("y") / limit) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
@@ -389,13 +529,11 @@ def extend_mouths(paths: DataFrame, mouths: DataFrame, water: DataFrame, grid: G
     straight line to the nearest water. The length of an extension is its steps times a side; it belongs to no line and so to none of ``path_metrics``.
     """
     gaps = written(mouth_gaps(paths, mouths, water, grid, limit).where(F.col("gap_m") > grid.flat_to_flat), "mouth-gaps")
-    line = gaps.select("branch", F.explode(F.array(F.struct(F.lit(0).alias("k"), "x", "y"), F.struct(F.lit(1).alias("k"), F.col("to_x").alias("x"), F.col("to_y").alias("y")))).alias("v")).select("branch", "v.*")
-    ids = water.select(grid.hex_id(F.col("q"), F.col("r")).alias("hex_id")).distinct()
-    edges = corridor(line, grid, 2 * grid.flat_to_flat).withColumns({"tx": F.lit(0.0), "ty": F.lit(0.0)})
-    edges = written(costs(edges, grid, ids, scale, 0.0), "mouth-edges")
-    sides = edges.select("branch", "n1", "n2", F.explode(F.array("hex_a", "hex_b")).alias("hex_id"))
-    goals = sides.join(ids, "hex_id", "left_semi").select("branch", F.explode(F.array("n1", "n2")).alias("node")).distinct()
-    return written(searched(flagged(edges, gaps.select("branch", "node"), goals), 0.0), "extensions")
+    lines = gaps.select("branch", F.array("x", "to_x").alias("xs"), F.array("y", "to_y").alias("ys"), F.array("node").alias("nodes"))
+    reach = 2 * grid.flat_to_flat
+    rows = with_water(lines, water.select(grid.hex_id(F.col("q"), F.col("r")).alias("hex_id")), grid, reach).select("branch", "xs", "ys", "water", "nodes")
+    rows = spread(rows.withColumn("lane", F.xxhash64("branch")), "lane").drop("lane")
+    return steps_of(written(rows.mapInArrow(lay(grid, reach, scale, 0.0, 0.0, True), LISTS), "extensions"))
 
 
 def wide_river_hexes(vertices: DataFrame, grid: GridSpec, width_m: str, exaggeration: float = 1.0) -> DataFrame:

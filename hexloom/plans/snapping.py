@@ -44,8 +44,9 @@ def water_cells(s, d):
 
 
 def paths(s, d):
+    """The paths as lists, a row each."""
     water = water_cells(s, d).select(GRID.hex_id(F.col("q"), F.col("r")).alias("hex_id"))
-    return o.snap(lines(s, d), network(s, d), water, GRID, reach=6000.0, scale=3000.0)
+    return o.snap_lists(lines(s, d), network(s, d), water, GRID, reach=6000.0, scale=3000.0)
 
 
 def node_columns(df):
@@ -56,7 +57,7 @@ def rounded(df):
     return df.select(*[F.round(c, 3).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-register("g04_river_paths", lambda s, d: node_columns(paths(s, d)))
+register("g04_river_paths", lambda s, d: node_columns(o.steps_of(paths(s, d))))
 register("g05_path_metrics", lambda s, d: rounded(o.path_metrics(paths(s, d), lines(s, d), GRID, 6000.0)))
 register("g06_mouth_extensions", lambda s, d: node_columns(o.extend_mouths(paths(s, d), network(s, d), water_cells(s, d), GRID)))
 register("j32_wide_rivers", lambda s, d: o.wide_river_hexes(lines(s, d).withColumn("width", F.col("branch") % 7 * 500.0), GRID, "width", 2.0))
